@@ -37,6 +37,29 @@ def percentage(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(F.try_divide(part.cast("double") * 100.0, whole.cast("double")), digits)
 
 
+def fixed_point(value: Column, digits: int) -> Column:
+    """Text with ``digits`` decimals (at most 3), rounded by the exact binary value.
+
+    43.65 is stored a little below, so it reads 43.6; ``format_string`` rounds the
+    decimal text instead. The fraction is taken in units of 2^-52 as an integer.
+    """
+    scale, unit = 10**digits, 2**52
+    size = F.abs(value)
+    whole = F.floor(size).cast("bigint")
+    exact = (size - whole) * F.lit(float(unit))
+    bits = F.floor(exact).cast("bigint")
+    steps = bits * F.lit(scale)
+    rest = F.pmod(steps, F.lit(unit))
+    low = F.shiftright(steps, 52)
+    half = F.lit(unit // 2)
+    up = (rest > half) | ((rest == half) & ((exact > bits) | (F.pmod(low, F.lit(2)) == 1)))
+    ticks = low + F.when(up, 1).otherwise(0)
+    sign = F.when((value < 0) & ((whole > 0) | (ticks > 0)), F.lit("-")).otherwise(F.lit(""))
+    return F.format_string(
+        f"%s%d.%0{digits}d", sign, whole + F.floor(ticks / scale).cast("bigint"), F.pmod(ticks, F.lit(scale))
+    )
+
+
 def z_score(value: Column, mean: Column, deviation: Column) -> Column:
     return F.try_divide(value - mean, deviation)
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.functions import rules
-from gaugeflow.functions.scalars import percentage
+from gaugeflow.functions.scalars import fixed_point, percentage
 from gaugeflow.functions.times import boundaries
 from gaugeflow.operators.checks import unique_combination
 from gaugeflow.operators.grouping import value_counts
@@ -226,7 +226,12 @@ def extreme_check(rows: DataFrame, hours: int = 24, as_of=None, r: Roles = ROLES
         .groupBy(r.key)
         .agg(F.count(F.lit(1)).alias("n"), F.max(r.temperature).alias("t"), F.max(r.wind).alias("w"))
     )
-    text = F.format_string("Extreme events in %s: max temp %.1f°C, max wind %.1f km/h", F.col(r.key), "t", "w")
+    text = F.format_string(
+        "Extreme events in %s: max temp %s°C, max wind %s km/h",
+        F.col(r.key),
+        fixed_point(F.col("t"), 1),
+        fixed_point(F.col("w"), 1),
+    )
     return per_key.select(*_check("extreme_", F.col("n"), F.lit(0), F.lit("warning"), text, r))
 
 

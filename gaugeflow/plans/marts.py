@@ -19,6 +19,8 @@ from gaugeflow.plans.gold import with_date
 from gaugeflow.runtime import written
 from gaugeflow.spec import ROLES, Roles
 
+RANK_DIGITS = 9
+
 
 def daily_stats(staged: DataFrame, r: Roles = ROLES) -> DataFrame:
     return summarise(
@@ -78,13 +80,14 @@ def key_mart(staged: DataFrame, grain: str = "reading", updated: Column | None =
             ),
         }
     )
-    # three rankings read this: written once
-    derived = written(derived, "mart")
+    # three rankings read this: written once. Sums of doubles depend on their
+    # order, so equal averages are made equal before they are ranked.
+    derived = written(derived.withColumn("_by", F.round("avg_temp", RANK_DIGITS)), "mart")
     whole = group_size(derived, [])
-    ranked = ranks(derived, [], "avg_temp", rank="temp_rank_global", descending=True, size=whole)
-    ranked = ranks(ranked, ["observation_date"], "avg_temp", rank="temp_rank_daily", descending=True)
-    ranked = ranks(ranked, [], "avg_temp", percent_rank="temp_percentile", size=whole)
-    return ranked.withColumn("last_updated", updated if updated is not None else F.current_timestamp())
+    ranked = ranks(derived, [], "_by", rank="temp_rank_global", descending=True, size=whole)
+    ranked = ranks(ranked, ["observation_date"], "_by", rank="temp_rank_daily", descending=True)
+    ranked = ranks(ranked, [], "_by", percent_rank="temp_percentile", size=whole)
+    return ranked.drop("_by").withColumn("last_updated", updated if updated is not None else F.current_timestamp())
 
 
 def category_json(staged: DataFrame, r: Roles = ROLES) -> DataFrame:

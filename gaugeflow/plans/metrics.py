@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.functions import rules
+from gaugeflow.functions.scalars import fixed_point
 from gaugeflow.functions.times import hours_between
 from gaugeflow.sources.storage import dataset_profile
 from gaugeflow.spec import ROLES, Roles, anchor, since_hours
@@ -163,12 +164,13 @@ def quality_alert(summary: DataFrame) -> DataFrame:
 def run_alerts(runs: DataFrame) -> DataFrame:
     """Alert rows of runs ``(pipeline, status, duration_seconds, error)``."""
     failed = F.col("status") == "failure"
+    seconds = fixed_point(F.col("duration_seconds"), 2)
     title = F.concat(
         F.when(failed, F.lit("Pipeline Failed: ")).otherwise(F.lit("Pipeline Succeeded: ")), F.col("pipeline")
     )
     message = F.when(
-        failed, F.format_string("Pipeline %s failed after %.2f seconds.", "pipeline", "duration_seconds")
-    ).otherwise(F.format_string("Pipeline %s completed successfully in %.2f seconds.", "pipeline", "duration_seconds"))
+        failed, F.format_string("Pipeline %s failed after %s seconds.", "pipeline", seconds)
+    ).otherwise(F.format_string("Pipeline %s completed successfully in %s seconds.", "pipeline", seconds))
     return runs.select(
         "pipeline",
         "status",
@@ -183,17 +185,18 @@ def run_alerts(runs: DataFrame) -> DataFrame:
 def threshold_alerts(events: DataFrame, key: str = ROLES.key) -> DataFrame:
     """Alert rows of events ``(key, event_kind, value, threshold)``."""
     kind = F.col("event_kind")
+    value, threshold = fixed_point(F.col("value"), 1), fixed_point(F.col("threshold"), 1)
     message = (
         F.when(
             kind == "heatwave",
-            F.format_string("Temperature of %.1f°C exceeds threshold of %.1f°C", "value", "threshold"),
+            F.format_string("Temperature of %s°C exceeds threshold of %s°C", value, threshold),
         )
         .when(
             kind == "storm",
-            F.format_string("Wind speed of %.1f km/h exceeds threshold of %.1f km/h", "value", "threshold"),
+            F.format_string("Wind speed of %s km/h exceeds threshold of %s km/h", value, threshold),
         )
         .when(kind == "heavy_rain", F.concat(F.lit("Heavy rain detected in "), F.col(key)))
-        .when(kind == "cold_wave", F.format_string("Temperature of %.1f°C is below %.1f°C", "value", "threshold"))
+        .when(kind == "cold_wave", F.format_string("Temperature of %s°C is below %s°C", value, threshold))
         .otherwise(F.concat(F.lit("Extreme weather event in "), F.col(key)))
     )
     title = F.concat(F.lit("Extreme Weather Alert: "), F.col(key))
