@@ -1 +1,225 @@
-"""stub"""
+"""Writing and maintaining tables: each query writes to the scratch folder and reads back."""
+
+from pyspark.sql import functions as F
+
+from catalog.base import AS_OF, NOW, RAW, gold, now, observations, raw, register, silver, table, with_gold, with_raw, with_silver
+from catalog.layers import CLEAN, clean
+from gaugeflow.plans import gold as plans
+from gaugeflow.runtime import scratch_path
+from gaugeflow.sources import raw as raw_source
+from gaugeflow.sources import storage
+
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+
+
+def orders(spark, d):
+    return table(spark, d, "orders").select(*ORDER_COLUMNS)
+
+
+@register("insert_new", "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders")
+def insert_new(spark, d):
+    """Finished orders first, then all of them twice: each is kept once, as first loaded."""
+    path = scratch_path(spark, "orders")
+    rows = orders(spark, d).select("o_orderkey", "o_orderpriority", "o_totalprice", "o_orderstatus")
+    storage.insert_new(rows.filter("o_orderstatus = 'F'").drop("o_orderstatus"), path, "o_orderkey", ["o_orderpriority"])
+    changed = rows.withColumn(
+        "o_totalprice", F.when(F.col("o_orderstatus") == "F", -1.0).otherwise(F.col("o_totalprice"))
+    ).drop("o_orderstatus")
+    for _ in range(2):
+        storage.insert_new(changed, path, "o_orderkey", ["o_orderpriority"])
+    return spark.read.parquet(path)
+
+
+@register(
+    "upsert",
+    "SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderstatus = 'O' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O')",
+)
+def upsert(spark, d):
+    """Finished and open orders, then new prices of the open ones, twice."""
+    path = scratch_path(spark, "orders")
+    rows = orders(spark, d).select("o_orderkey", "o_orderpriority", "o_totalprice", "o_orderstatus")
+    storage.upsert(
+        rows.filter("o_orderstatus = 'F' OR (o_orderstatus = 'O' AND o_totalprice > 100000)").drop("o_orderstatus"),
+        path,
+        ["o_orderkey", "o_orderpriority"],
+        ["o_orderpriority"],
+    )
+    update = rows.filter("o_orderstatus = 'O'").withColumn("o_totalprice", F.col("o_totalprice") * 2).drop("o_orderstatus")
+    for _ in range(2):
+        storage.upsert(update, path, ["o_orderkey", "o_orderpriority"], ["o_orderpriority"])
+    return spark.read.parquet(path).withColumn("o_orderpriority", F.col("o_orderpriority").cast("string"))
+
+
+@register(
+    "upsert_newest",
+    with_raw(
+        "SELECT source_city AS city, observation_time, ingestion_id, temperature FROM (SELECT *, row_number() OVER (PARTITION BY source_city, observation_time "
+        "ORDER BY ingestion_time DESC, ingestion_id DESC) AS p FROM raw) AS r WHERE p = 1"
+    ),
+)
+def upsert_newest(spark, d):
+    """Corrections arrive before the first loads; the newest load still stays."""
+    path = scratch_path(spark, "silver")
+    flat = raw_source.flatten(raw(spark, d), "timestamp_ntz").select(
+        F.col("source_city").alias("city"), "observation_time", "ingestion_time", "ingestion_id", "temperature"
+    )
+    for copy in (1, 0):
+        batch = flat.filter(F.col("ingestion_id").endswith(f"-{copy}"))
+        storage.upsert(batch, path, ["city", "observation_time"], [], newest=["ingestion_time", "ingestion_id"])
+    return spark.read.parquet(path).drop("ingestion_time")
+
+
+@register(
+    "write_gold_daily",
+    f"WITH {RAW}, {CLEAN} SELECT city, CAST(observation_time AS DATE) AS observation_date, count(*) AS record_count, max(temperature_celsius) AS max_temperature FROM clean WHERE is_valid GROUP BY 1, 2",
+)
+def write_gold_daily(spark, d):
+    """The daily table is written before and after the correction of the readings."""
+    path = scratch_path(spark, "daily")
+    columns = ["city", "observation_date", "record_count", "max_temperature"]
+    before = plans.daily_view(gold(spark, d)).select(*columns)
+    after = plans.daily_view(clean(spark, d).filter("is_valid")).select(*columns)
+    # days whose readings all fail after the correction stay in the table; they are few and left out here
+    storage.write_gold(before.join(after.select("city", "observation_date"), ["city", "observation_date"], "left_semi"), path, ["observation_date"])
+    storage.write_gold(after, path, ["observation_date"])
+    return spark.read.parquet(path)
+
+
+@register(
+    "write_gold_events",
+    with_gold(
+        "SELECT city, observation_time, temperature_celsius FROM gold WHERE temperature_celsius > 35 OR wind_speed > 50 OR weather_main IN ('Thunderstorm', 'Rain')"
+    ),
+)
+def write_gold_events(spark, d):
+    path = scratch_path(spark, "events")
+    found = plans.detected_events(gold(spark, d), now()).select("city", "observation_time", "temperature_celsius")
+    for _ in range(2):
+        storage.write_gold(found, path)
+    storage.write_gold(found.filter("temperature_celsius > 1000"), path)  # empty: nothing happens
+    return spark.read.parquet(path)
+
+
+@register(
+    "append_merging_schema",
+    "SELECT s_suppkey AS id, s_name AS name, CAST(NULL AS VARCHAR) AS segment FROM supplier UNION ALL SELECT c_custkey, c_name, c_mktsegment FROM customer",
+)
+def append_merging_schema(spark, d):
+    path = scratch_path(spark, "parties")
+    storage.append(table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")), path)
+    storage.append(
+        table(spark, d, "customer").select(
+            F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")
+        ),
+        path,
+    )
+    return storage.read_if_present(spark, path)
+
+
+@register(
+    "create_tables",
+    with_silver("SELECT city, observation_time, temperature_celsius, is_valid FROM silver"),
+)
+def create_tables(spark, d):
+    """Rows of the silver table after creating it, empty, with its schema, and filling it."""
+    path = scratch_path(spark, "silver")
+    storage.create_table(spark, "silver", path)
+    rows = silver(spark, d).withColumn("observation_time", F.col("observation_time").cast("timestamp"))
+    rows = rows.withColumn("processed_time", F.col("processed_time").cast("timestamp"))
+    storage.append(rows.select(*storage.create_table(spark, "silver", path).columns), path)
+    kept = storage.create_table(spark, "silver", path)
+    return kept.select(
+        "city", F.col("observation_time").cast("timestamp_ntz").alias("observation_time"), "temperature_celsius", "is_valid"
+    )
+
+
+@register(
+    "compacted",
+    with_silver("SELECT city, observation_time, temperature_celsius, weather_main FROM obs"),
+)
+def compacted(spark, d):
+    path, target = scratch_path(spark, "silver"), scratch_path(spark, "silver-compact")
+    rows = observations(spark, d).select("city", "observation_time", "temperature_celsius", "weather_main")
+    storage.append(rows.repartition(16), path)
+    storage.compact(spark, path, target, ["city", "observation_time"], ["weather_main"])
+    return spark.read.parquet(target)
+
+
+@register(
+    "dataset_profile",
+    "SELECT CAST(1 AS BIGINT) AS num_files, count(*) AS num_records FROM lineitem",
+)
+def dataset_profile(spark, d):
+    return storage.dataset_profile(table(spark, d, "lineitem")).select("num_files", "num_records")
+
+
+@register(
+    "retention_applied",
+    with_raw(f"SELECT ingestion_id, source_city FROM raw WHERE ingestion_time >= {NOW} - INTERVAL 10 DAY"),
+)
+def retention_applied(spark, d):
+    path = scratch_path(spark, "raw")
+    storage.append(raw(spark, d).select("ingestion_id", "ingestion_time", "source_city"), path)
+    storage.apply_retention(spark, path, "ingestion_time", 10, AS_OF)
+    return spark.read.parquet(path).select("ingestion_id", "source_city")
+
+
+def points(spark, d):
+    from catalog.health import series
+
+    return series(spark, d).withColumn(
+        "tags", F.map_concat("tags", F.create_map(F.lit("part"), F.when(F.hour("timestamp") < 12, "am").otherwise("pm")))
+    )
+
+
+@register(
+    "export_csv",
+    with_silver(
+        "SELECT 'temperature.' || weather_main AS name, temperature_celsius AS value, observation_time AS timestamp, 'celsius' AS unit, city, "
+        "CASE WHEN hour(observation_time) < 12 THEN 'am' ELSE 'pm' END AS part FROM silver"
+    ),
+)
+def export_csv(spark, d):
+    path = scratch_path(spark, "metrics-csv")
+    storage.export_metrics(points(spark, d), path, "csv")
+    schema = "name string, value double, timestamp timestamp_ntz, unit string, city string, part string"
+    return spark.read.schema(schema).options(header="true", **storage.CSV_TIMES).csv(path)
+
+
+@register(
+    "export_json",
+    with_silver(
+        "SELECT 'temperature.' || weather_main AS name, temperature_celsius AS value, 'celsius' AS unit, city FROM silver"
+    ),
+)
+def export_json(spark, d):
+    path = scratch_path(spark, "metrics-json")
+    storage.export_metrics(points(spark, d), path, "json")
+    schema = "name string, value double, timestamp string, tags map<string,string>, unit string"
+    return spark.read.schema(schema).json(path).select("name", "value", "unit", F.col("tags")["city"].alias("city"))
+
+
+@register(
+    "bound_sql",
+    with_gold("SELECT city, count(*) AS readings, max(temperature_celsius) AS hottest FROM gold WHERE humidity >= 50 AND weather_main = 'Rain' GROUP BY 1"),
+)
+def bound_sql(spark, d):
+    return storage.query(
+        spark,
+        "SELECT city, count(*) AS readings, max(temperature_celsius) AS hottest FROM gf_gold "
+        "WHERE humidity >= :humidity AND weather_main = :condition GROUP BY city",
+        {"gf_gold": gold(spark, d)},
+        humidity=50,
+        condition="Rain",
+    )
+
+
+@register(
+    "model_views",
+    with_gold("SELECT observation_date, count(DISTINCT city) AS cities FROM gold GROUP BY 1"),
+)
+def model_views(spark, d):
+    """A view over a view over a table."""
+    storage.materialise(plans.with_date(gold(spark, d)), "gf_staged", "table", scratch_path(spark, "staged"))
+    storage.materialise(spark.table("gf_staged").select("observation_date", "city").distinct(), "gf_days")
+    return spark.table("gf_days").groupBy("observation_date").agg(F.count("city").alias("cities"))

@@ -1 +1,62 @@
-"""stub"""
+"""Streaming queries, run to the end of the given files and read back."""
+
+from pyspark.sql import functions as F
+
+from catalog.base import GOLD, OBS, RAW, now, observed, raw_of, register, table
+from catalog.layers import CLEAN
+from gaugeflow.plans.silver import score
+from gaugeflow.runtime import scratch_path
+from gaugeflow.streaming import pipelines
+
+
+def event_stream(spark, d):
+    """The events file as a stream."""
+    schema = table(spark, d, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+
+
+@register("stream_raw_to_silver", f"WITH {RAW}, {CLEAN} SELECT * FROM clean")
+def stream_raw_to_silver(spark, d):
+    path = scratch_path(spark, "stream-silver")
+    pipelines.raw_to_silver(
+        raw_of(observed(event_stream(spark, d))),
+        path,
+        scratch_path(spark, "stream-state"),
+        now(),
+        "timestamp_ntz",
+        (),
+    ).awaitTermination()
+    return spark.read.parquet(path).drop("ingestion_time")
+
+
+@register(
+    "stream_daily_summary",
+    f"WITH {GOLD} SELECT city, observation_date, count(*) AS record_count, avg(temperature_celsius) AS avg_temperature, max(temperature_celsius) AS max_temperature, "
+    "min(temperature_celsius) AS min_temperature, avg(humidity) AS avg_humidity, avg(wind_speed) AS avg_wind_speed FROM gold "
+    "WHERE observation_date + INTERVAL 1 DAY <= (SELECT date_trunc('millisecond', max(observation_time)) - INTERVAL 24 HOUR FROM gold) GROUP BY 1, 2",
+    "avg_temperature avg_humidity avg_wind_speed",
+)
+def stream_daily_summary(spark, d):
+    """Days that the watermark, a day behind the newest reading, has passed."""
+    rows = score(observed(event_stream(spark, d))).filter("is_valid")
+    path = scratch_path(spark, "stream-daily")
+    pipelines.append_to(
+        pipelines.daily_summary(rows), path, scratch_path(spark, "stream-state")
+    ).awaitTermination()
+    return spark.read.parquet(path)
+
+
+@register(
+    "stream_first_wins",
+    f"WITH {OBS} SELECT city, observation_time, temperature_celsius FROM obs",
+)
+def stream_first_wins(spark, d):
+    """Every reading arrives twice and is kept once."""
+    twice = observed(event_stream(spark, d)).withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    path = scratch_path(spark, "stream-first")
+    pipelines.append_to(
+        pipelines.first_wins(twice).select("city", "observation_time", "temperature_celsius"),
+        path,
+        scratch_path(spark, "stream-state"),
+    ).awaitTermination()
+    return spark.read.parquet(path)

@@ -180,12 +180,20 @@ def flat_tags(metrics: DataFrame, tags: Sequence[str] | None = None) -> DataFram
     return metrics.select(*rest, *[F.try_element_at("tags", F.lit(t)).alias(t) for t in tags])
 
 
+# microseconds are kept
+CSV_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def export_metrics(metrics: DataFrame, path: str, format: str = "json", tags: Sequence[str] | None = None) -> None:
     """Write metric rows as JSON lines, or as CSV with tags as columns."""
     if format == "json":
         metrics.write.mode("overwrite").json(path)
     elif format == "csv":
-        flat_tags(metrics, tags).write.mode("overwrite").option("header", "true").csv(path)
+        flat = flat_tags(metrics, tags)
+        flat.write.mode("overwrite").options(header="true", **CSV_TIMES).csv(path)
     else:
         raise ValueError(f"unsupported export format: {format}")
 

@@ -38,15 +38,22 @@ def raw_to_silver(
     )
 
 
+def _zoned(rows: DataFrame, r: Roles) -> DataFrame:
+    """Watermarks need a TIMESTAMP; sessions run in UTC."""
+    return rows.withColumn(r.time, F.col(r.time).cast("timestamp"))
+
+
 def first_wins(rows: DataFrame, lateness: str = "24 hours", r: Roles = ROLES) -> DataFrame:
     """Keep the first record of each reading; state is dropped after ``lateness``."""
-    return rows.withWatermark(r.time, lateness).dropDuplicatesWithinWatermark([r.key, r.time])
+    kept = _zoned(rows, r).withWatermark(r.time, lateness).dropDuplicatesWithinWatermark([r.key, r.time])
+    return kept.withColumn(r.time, F.col(r.time).cast(rows.schema[r.time].dataType))
 
 
 def daily_summary(rows: DataFrame, lateness: str = "24 hours", r: Roles = ROLES) -> DataFrame:
     """Per key and day; a day is final once the watermark has passed its end."""
     return (
-        rows.withWatermark(r.time, lateness)
+        _zoned(rows, r)
+        .withWatermark(r.time, lateness)
         .groupBy(F.window(r.time, "1 day").alias("_day"), r.key)
         .agg(
             F.count(F.lit(1)).alias("record_count"),
