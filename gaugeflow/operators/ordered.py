@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from gaugeflow.runtime import MAX_FRAME_ROWS, MAX_GROUP_ROWS, limit, written
+from gaugeflow.runtime import MAX_FRAME_ROWS, MAX_GROUP_ROWS, is_small, limit, written
 
 RUN, TIE = "_run", "_tie"
 
@@ -31,8 +31,16 @@ class Size:
     total: int
 
 
-def group_size(df: DataFrame, keys: Sequence[str]) -> Size:
-    """Rows of the largest group and of the table (one row reaches the driver)."""
+SMALL = Size(0, 0)
+
+
+def group_size(df: DataFrame, keys: Sequence[str], exact: bool = False) -> Size:
+    """Rows of the largest group and of the table (one row reaches the driver).
+
+    A table that is small as a whole needs no count, unless ``exact``.
+    """
+    if not exact and is_small(df):
+        return SMALL
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     row = counts.agg(F.coalesce(F.max("n"), F.lit(0)).alias("a"), F.coalesce(F.sum("n"), F.lit(0)).alias("b")).first()
     return Size(int(row["a"]), int(row["b"]))
@@ -46,7 +54,7 @@ def _window(keys: Sequence[str], order: Sequence[str], descending: bool = False)
     return Window.partitionBy(*keys).orderBy(*_sorted(order, descending))
 
 
-def _is_small(df: DataFrame, size: Size) -> bool:
+def _fits(df: DataFrame, size: Size) -> bool:
     return size.largest <= limit(df.sparkSession, MAX_GROUP_ROWS)
 
 
@@ -94,7 +102,7 @@ def _carry(pinned: DataFrame, keys: Sequence[str], parts: dict, descending: bool
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, size: Size | None = None) -> DataFrame:
     """1, 2, 3 .. within each key."""
     size = size or group_size(df, keys)
-    if _is_small(df, size):
+    if _fits(df, size):
         return df.withColumn(name, F.row_number().over(_window(keys, order)).cast("bigint"))
     pinned = pin_runs(df, keys, order, size.total)
     carried = _carry(pinned, keys, {"_c_n": (F.count(F.lit(1)), F.sum)})
@@ -117,7 +125,7 @@ def neighbour(
     size = size or group_size(df, keys)
     fetched = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items()])
     step = F.lead if ahead else F.lag
-    if _is_small(df, size):
+    if _fits(df, size):
         out = df.withColumn("_near", step(fetched, 1).over(_window(keys, order)))
     else:
         pinned = pin_runs(df, keys, order, size.total).withColumn("_fetch", fetched)
@@ -165,7 +173,7 @@ def running(
 ) -> DataFrame:
     """Running sum / count / min / max from the first row of a key to this one and its peers."""
     size = size or group_size(df, keys)
-    if _is_small(df, size):
+    if _fits(df, size):
         w = _window(keys, order)
         return df.withColumns({n: _PART[kind](value).over(w) for n, (kind, value) in parts.items()})
     pinned = pin_runs(df, keys, order, size.total, split_ties=False)
@@ -199,7 +207,7 @@ def rolling_rows(
             {name: _FRAME[fn](c).over(w.rowsBetween(-(n - 1), 0)) for name, (fn, c, n) in frames.items()}
         )
 
-    if _is_small(df, size):
+    if _fits(df, size):
         return framed(df, keys, order)
     halo = max(n for _, _, n in frames.values()) - 1
     block = max(limit(df.sparkSession, MAX_GROUP_ROWS), halo + 1)
@@ -234,7 +242,7 @@ def rolling_range(
     backwards over the copies give the two pieces. Keys spread over their cells,
     and cells that are still too large are cut into runs.
     """
-    size = size or group_size(df, keys)
+    size = size or group_size(df, keys, exact=True)
     if size.largest <= min(limit(df.sparkSession, MAX_FRAME_ROWS), limit(df.sparkSession, MAX_GROUP_ROWS)):
         part = "PARTITION BY " + ", ".join(f"`{k}`" for k in keys) if keys else ""
         return df.withColumns(
@@ -273,7 +281,7 @@ def _rolling_cells(df, keys, time, seconds: int, frames: dict[str, tuple[str, st
             own[f"_own_{kind}_{c}"] = (kind, F.when(~F.col("_copy"), F.col(c)))
             before[f"_bef_{kind}_{c}"] = (kind, F.when(F.col("_copy"), F.col(c)))
     size = group_size(both, cells)
-    if _is_small(df, size):
+    if _fits(df, size):
         up, down = _window(cells, ["_pos"]), _window(cells, ["_pos"], True)
         out = both.withColumns(
             {n: _PART[k](v).over(up) for n, (k, v) in own.items()}
@@ -312,7 +320,7 @@ def ranks(
     """
     size = size or group_size(df, keys)
     names = {n for n in (rank, percent_rank) if n}
-    if _is_small(df, size):
+    if _fits(df, size):
         w = _window(keys, [by], descending)
         out = df
         if rank:
@@ -348,7 +356,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], column: str, points: dict[str,
     """
     present = df.filter(F.col(column).isNotNull()).select(*keys, column)
     size = size or group_size(present, keys)
-    if _is_small(df, size):
+    if _fits(df, size):
         return present.groupBy(*keys).agg(
             *[F.percentile(column, F.lit(p)).alias(n) for n, p in points.items()]
         )

@@ -72,7 +72,7 @@ def change_percent(value: Column, previous: Column) -> Column:
 def trends(rows: DataFrame, updated: Column | None = None, r: Roles = ROLES) -> DataFrame:
     """Averages over the last 24 hours and 7 days, change and direction, per reading."""
     rows = rows.select(r.key, r.time, r.temperature)
-    size = group_size(rows, [r.key])
+    size = group_size(rows, [r.key], exact=True)
     rolled = rolling_range(
         rows,
         [r.key],

@@ -14,9 +14,9 @@ from gaugeflow.operators.grouping import (
     summarise,
     value_counts,
 )
-from gaugeflow.operators.ordered import group_size, neighbour, ranks, rolling_rows
+from gaugeflow.operators.ordered import SMALL, Size, group_size, neighbour, ranks, rolling_rows
 from gaugeflow.plans.gold import with_date
-from gaugeflow.runtime import written
+from gaugeflow.runtime import is_small, written
 from gaugeflow.spec import ROLES, Roles
 
 RANK_DIGITS = 9
@@ -80,12 +80,17 @@ def key_mart(staged: DataFrame, grain: str = "reading", updated: Column | None =
             ),
         }
     )
-    # three rankings read this: written once. Sums of doubles depend on their
-    # order, so equal averages are made equal before they are ranked.
-    derived = written(derived.withColumn("_by", F.round("avg_temp", RANK_DIGITS)), "mart")
-    whole = group_size(derived, [])
+    # Sums of doubles depend on their order, so equal averages are made equal
+    # before they are ranked.
+    derived = derived.withColumn("_by", F.round("avg_temp", RANK_DIGITS))
+    if is_small(staged):
+        per_date = whole = SMALL  # one row per reading at most
+    else:
+        derived = written(derived, "mart")
+        per_date = group_size(derived, ["observation_date"])
+        whole = Size(per_date.total, per_date.total)
     ranked = ranks(derived, [], "_by", rank="temp_rank_global", descending=True, size=whole)
-    ranked = ranks(ranked, ["observation_date"], "_by", rank="temp_rank_daily", descending=True)
+    ranked = ranks(ranked, ["observation_date"], "_by", rank="temp_rank_daily", descending=True, size=per_date)
     ranked = ranks(ranked, [], "_by", percent_rank="temp_percentile", size=whole)
     return ranked.drop("_by").withColumn("last_updated", updated if updated is not None else F.current_timestamp())
 

@@ -12,6 +12,8 @@ MAX_GROUP_ROWS = ("spark.gaugeflow.maxGroupRows", 2_000_000)
 # Sliding frames are re-evaluated per row; beyond this many rows per key a
 # linear method takes over.
 MAX_FRAME_ROWS = ("spark.gaugeflow.maxFrameRows", 20_000)
+# A table estimated below this holds no group worth splitting.
+SMALL_TABLE_BYTES = ("spark.gaugeflow.smallTableBytes", 64 * 1024 * 1024)
 
 _local_scratch: dict[str, str] = {}
 
@@ -25,6 +27,8 @@ def session(app: str = "gaugeflow", master: str | None = None, partitions: int |
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        # plans are built from many small columns; do not trace each of them
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
@@ -61,6 +65,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/gaugeflow/{label}-{uuid.uuid4().hex}"
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether the optimizer's estimate of the size, from file sizes, is small.
+
+    Costs no job. Products of joins are overestimated, so a doubtful table
+    counts as large; so does every table of a remote session, which has no
+    estimate at hand.
+    """
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
+        return False
+    size = plan.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit(df.sparkSession, SMALL_TABLE_BYTES)
+
+
 def written(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -73,3 +91,8 @@ def written(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def written_if_large(df: DataFrame, label: str = "table") -> DataFrame:
+    """``written``, unless the estimate already shows the table is small."""
+    return df if is_small(df) else written(df, label)

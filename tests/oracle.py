@@ -1,6 +1,6 @@
 """Run registered queries next to their SQL in DuckDB and compare.
 
-    python tests/oracle.py [name ...]      (SF_DIR picks the data)
+    python tests/oracle.py [name ...]      (SF_DIR picks the data, SPARK_CONF='k=v ..' sets options)
 """
 
 from __future__ import annotations
@@ -73,7 +73,7 @@ def main(names: list[str]) -> int:
     from gaugeflow.runtime import session
 
     sf_dir = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
-    conf = {k[5:].replace("_", "."): v for k, v in os.environ.items() if k.startswith("CONF_")}
+    conf = dict(kv.split("=", 1) for kv in os.environ.get("SPARK_CONF", "").split() if kv)
     spark = session("oracle", "local[8]", 8, **{"spark__driver__memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     for k, v in conf.items():
