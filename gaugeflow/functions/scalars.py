@@ -51,8 +51,9 @@ def fixed_point(value: Column, digits: int) -> Column:
     steps = bits * F.lit(scale)
     rest = F.pmod(steps, F.lit(unit))
     low = F.shiftright(steps, 52)
-    half = F.lit(unit // 2)
-    up = (rest > half) | ((rest == half) & ((exact > bits) | (F.pmod(low, F.lit(2)) == 1)))
+    # how far the remainder is over one half; what floor cut off counts too
+    over = (rest - F.lit(unit // 2)).cast("double") + (exact - bits) * scale
+    up = (over > 0) | ((over == 0) & (F.pmod(low, F.lit(2)) == 1))
     ticks = low + F.when(up, 1).otherwise(0)
     sign = F.when((value < 0) & ((whole > 0) | (ticks > 0)), F.lit("-")).otherwise(F.lit(""))
     return F.format_string(
