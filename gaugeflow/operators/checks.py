@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.operators.columns import difference
-from gaugeflow.operators.ordered import Size, neighbour
+from gaugeflow.operators.ordered import Size, group_size, neighbour
 from gaugeflow.runtime import scratch_path
 from gaugeflow.spec import anchor
 
@@ -203,6 +203,7 @@ def sequential_values(
     """
     by = list(group_by)
     counted = df.filter(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("_n"))
+    size = size or group_size(df, by)  # an upper bound for the distinct values
     near = neighbour(counted, by, [column], {f"previous_{column}": column}, size=size)
     previous = F.col(f"previous_{column}")
     due = previous + (F.expr(f"INTERVAL {int(interval)} {unit.upper()}") if unit else F.lit(interval))

@@ -29,23 +29,38 @@ RUN, TIE = "_run", "_tie"
 class Size:
     largest: int
     total: int
+    densest: int = 0  # most rows of a key in one cell of time, where asked for
 
 
 SMALL = Size(0, 0)
 
 
-def group_size(df: DataFrame, keys: Sequence[str], exact: bool = False) -> Size:
+def group_size(df: DataFrame, keys: Sequence[str]) -> Size:
     """Rows of the largest group and of the table (one row reaches the driver).
 
-    A table that is small as a whole needs no count, unless ``exact``.
+    A table that is small as a whole needs no count.
     """
-    if not exact and is_small(df):
+    if is_small(df):
         return SMALL
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     row = counts.agg(F.coalesce(F.max("n"), F.lit(0)).alias("a"), F.coalesce(F.sum("n"), F.lit(0)).alias("b")).first()
     return Size(int(row["a"]), int(row["b"]))
 
 
+def _cell(time: str, seconds: int) -> Column:
+    at = F.unix_micros(F.col(time).cast("timestamp"))
+    length = F.lit(int(seconds) * 1_000_000)
+    return ((at - F.pmod(at, length)) / length).cast("bigint")
+
+
+def time_size(df: DataFrame, keys: Sequence[str], time: str, seconds: int) -> Size:
+    """``group_size`` with the most rows a key has in one cell of ``seconds``."""
+    cells = df.groupBy(*keys, _cell(time, seconds).alias("_cell")).agg(F.count(F.lit(1)).alias("n"))
+    groups = cells.groupBy(*keys).agg(F.sum("n").alias("n"), F.max("n").alias("d"))
+    row = groups.agg(*[F.coalesce(f, F.lit(0)).alias(c) for f, c in ((F.max("n"), "a"), (F.sum("n"), "b"), (F.max("d"), "c"))])
+    return Size(*[int(x) for x in row.first()])
+
+
 def _sorted(order: Sequence[str], descending: bool) -> list[Column]:
     return [F.col(c).desc() if descending else F.col(c).asc() for c in order]
 
@@ -231,9 +246,9 @@ def rolling_range(
     """Aggregates over the last ``seconds`` up to each row, both ends included.
 
     ``frames`` maps a name to (avg | sum | count | min | max, column, seconds).
-    Keys with few rows use Spark's own RANGE frames, all in one shuffle. Those
-    frames are re-evaluated row by row, which is quadratic for dense keys, so
-    larger keys take a linear way, one frame length at a time:
+    Sparse keys use Spark's own RANGE frames, all in one shuffle. Those frames
+    are re-evaluated row by row, which is quadratic for dense keys, so these take
+    a linear way, one frame length at a time:
 
     Time is cut into cells as long as the frame. The frame of a row is then the
     start of its own cell up to the row, plus the end of the cell before from
@@ -242,8 +257,8 @@ def rolling_range(
     backwards over the copies give the two pieces. Keys spread over their cells,
     and cells that are still too large are cut into runs.
     """
-    size = size or group_size(df, keys, exact=True)
-    if size.largest <= min(limit(df.sparkSession, MAX_FRAME_ROWS), limit(df.sparkSession, MAX_GROUP_ROWS)):
+    size = size or time_size(df, keys, time, max(s for _, _, s in frames.values()))
+    if size.densest <= limit(df.sparkSession, MAX_FRAME_ROWS) and _fits(df, size):
         part = "PARTITION BY " + ", ".join(f"`{k}`" for k in keys) if keys else ""
         return df.withColumns(
             {
@@ -262,9 +277,13 @@ def rolling_range(
 
 def _rolling_cells(df, keys, time, seconds: int, frames: dict[str, tuple[str, str]]) -> DataFrame:
     length = int(seconds) * 1_000_000
-    at = F.unix_micros(F.col(time).cast("timestamp"))
-    rows = df.withColumns({"_pos": at, "_cell": ((at - F.pmod(at, F.lit(length))) / length).cast("bigint")})
-    rows = rows.withColumn("_copy", F.lit(False))
+    rows = df.withColumns(
+        {
+            "_pos": F.unix_micros(F.col(time).cast("timestamp")),
+            "_cell": _cell(time, seconds),
+            "_copy": F.lit(False),
+        }
+    )
     measures = sorted({c for _, c in frames.values()})
     copies = rows.select(
         *keys,

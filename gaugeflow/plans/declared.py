@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gaugeflow.functions import rules
 from gaugeflow.functions.times import boundaries
 from gaugeflow.operators.grouping import latest_per
-from gaugeflow.operators.ordered import neighbour, rolling_range, rolling_rows, running
+from gaugeflow.operators.ordered import SMALL, group_size, neighbour, rolling_range, rolling_rows, running
 from gaugeflow.plans.gold import DAY, with_date
 from gaugeflow.plans.reports import anomalies, key_statistics
 from gaugeflow.spec import ROLES, Roles, anchor
@@ -28,6 +28,7 @@ def global_mart_extras(mart: DataFrame, staged: DataFrame, r: Roles = ROLES) ->
         [],
         ["observation_date"],
         {"avg_temp_rolling_7d": ("avg", "global_avg_temp", 7)},
+        SMALL,  # one row per date
     )
     return rolled.withColumn("temp_range", F.col("global_max_temp") - F.col("global_min_temp")).join(
         events, "observation_date", "left"
@@ -139,9 +140,10 @@ def station_metrics(rows: DataFrame, r: Roles = ROLES) -> DataFrame:
 def event_episodes(rows: DataFrame, r: Roles = ROLES) -> DataFrame:
     """Runs of consecutive readings of a key with the same event, with their duration."""
     flagged = rows.select(r.key, r.time, rules.event_detected(r).alias("event_type"))
-    near = neighbour(flagged, [r.key], [r.time], {"_before": "event_type"})
+    size = group_size(flagged, [r.key])
+    near = neighbour(flagged, [r.key], [r.time], {"_before": "event_type"}, size=size)
     starts = F.when(F.col("event_type").eqNullSafe(F.col("_before")), 0).otherwise(1)
-    numbered = running(near, [r.key], [r.time], {"episode": ("sum", starts)})
+    numbered = running(near, [r.key], [r.time], {"episode": ("sum", starts)}, size)
     return (
         numbered.filter("event_type IS NOT NULL")
         .groupBy(r.key, "event_type", "episode")
@@ -153,8 +155,9 @@ def event_episodes(rows: DataFrame, r: Roles = ROLES) -> DataFrame:
 
 def history(log: DataFrame, keys: Sequence[str], updated: str) -> DataFrame:
     """Versions of each key with the span they were current; the open one ends with NULL."""
+    size = group_size(log, keys)  # an upper bound for the versions
     single = latest_per(log, [*keys, updated], *[c for c in log.columns if c not in (*keys, updated)])
-    return neighbour(single, keys, [updated], {"valid_to": updated}, ahead=True).withColumn(
+    return neighbour(single, keys, [updated], {"valid_to": updated}, ahead=True, size=size).withColumn(
         "valid_from", F.col(updated)
     )
 

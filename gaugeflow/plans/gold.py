@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.functions import rules
 from gaugeflow.operators.grouping import latest_per, summarise, value_counts
-from gaugeflow.operators.ordered import Size, group_size, neighbour, rolling_range, rolling_rows
+from gaugeflow.operators.ordered import Size, group_size, neighbour, rolling_range, rolling_rows, time_size
 from gaugeflow.spec import ROLES, Roles, since_days, since_hours
 
 DAY = 86_400
@@ -72,7 +72,7 @@ def change_percent(value: Column, previous: Column) -> Column:
 def trends(rows: DataFrame, updated: Column | None = None, r: Roles = ROLES) -> DataFrame:
     """Averages over the last 24 hours and 7 days, change and direction, per reading."""
     rows = rows.select(r.key, r.time, r.temperature)
-    size = group_size(rows, [r.key], exact=True)
+    size = time_size(rows, [r.key], r.time, 7 * DAY)
     rolled = rolling_range(
         rows,
         [r.key],

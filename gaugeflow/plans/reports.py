@@ -9,7 +9,7 @@ from gaugeflow.functions import rules
 from gaugeflow.functions.scalars import percentage, z_score
 from gaugeflow.functions.times import boundaries
 from gaugeflow.operators.grouping import join_groups, most_common, share_of_group, summarise, value_counts
-from gaugeflow.operators.ordered import neighbour, rolling_rows
+from gaugeflow.operators.ordered import SMALL, neighbour, rolling_rows
 from gaugeflow.plans.gold import with_date
 from gaugeflow.spec import ROLES, Roles, anchor, since_days, since_hours
 
@@ -40,6 +40,7 @@ def daily_trend(rows: DataFrame, days: int = 30, as_of=None, r: Roles = ROLES) -
         [r.key],
         ["observation_date"],
         {"rolling_7d_avg": ("avg", "avg_temp", 7), "rolling_30d_avg": ("avg", "avg_temp", 30)},
+        SMALL,  # a key has one row per date of the look-back
     ).orderBy(r.key, F.desc("observation_date"))
 
 

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 # A group with more rows than this is never handed to a single task.
 MAX_GROUP_ROWS = ("spark.gaugeflow.maxGroupRows", 2_000_000)
-# Sliding frames are re-evaluated per row; beyond this many rows per key a
-# linear method takes over.
-MAX_FRAME_ROWS = ("spark.gaugeflow.maxFrameRows", 20_000)
+# Sliding time frames are re-evaluated per row; where a key has more rows than
+# this in the length of a frame, a linear method takes over.
+MAX_FRAME_ROWS = ("spark.gaugeflow.maxFrameRows", 500)
+# Up to this many touched partitions are named in a scan filter.
+MAX_NAMED_PARTITIONS = ("spark.gaugeflow.maxNamedPartitions", 10_000)
 # A table estimated below this holds no group worth splitting.
 SMALL_TABLE_BYTES = ("spark.gaugeflow.smallTableBytes", 64 * 1024 * 1024)
 

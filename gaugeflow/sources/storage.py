@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.operators.grouping import latest_per
-from gaugeflow.runtime import written
+from gaugeflow.runtime import MAX_NAMED_PARTITIONS, limit, written
 from gaugeflow.sources.schemas import TABLES
 
 
@@ -88,9 +88,7 @@ def upsert(
         _save(source, path, "overwrite", partition_by)
         return
     if partition_by:
-        # a semi join on partition columns prunes the partitions that are read
-        touched = source.select(*partition_by).distinct()
-        target = target.join(touched, list(partition_by), "left_semi")
+        target = _touched(target, source, partition_by)
     if newest:
         both = target.unionByName(source, allowMissingColumns=True)
         complete = F.lit(True)
@@ -103,6 +101,28 @@ def upsert(
     _save(written(merged, "merged"), path, "overwrite", partition_by, dynamic=bool(partition_by))
 
 
+def _touched(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of the target in partitions that the source has rows for.
+
+    The semi join selects them. Naming the values of the partition columns, if
+    they are not too many, lets the scan leave out all other folders; there are
+    no more of them than folders, which the driver lists anyway.
+    """
+    touched = source.select(*partition_by).distinct()
+    most = limit(source.sparkSession, MAX_NAMED_PARTITIONS)
+    found = touched.limit(most + 1).collect()
+    if len(found) <= most:
+        for p in partition_by:
+            values = {r[p] for r in found}
+            named = F.col(p).isin(*[F.lit(v).cast(source.schema[p].dataType) for v in values if v is not None])
+            target = target.filter(named | F.col(p).isNull() if None in values else named)
+    same = F.lit(True)
+    seen = touched.select(*[F.col(p).alias(f"_t_{p}") for p in partition_by])
+    for p in partition_by:
+        same = same & F.col(p).eqNullSafe(F.col(f"_t_{p}"))
+    return target.join(seen, same, "left_semi")
+
+
 def write_gold(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     """Upsert by (city, date) or (city, time), whichever the table has; append otherwise.
 
