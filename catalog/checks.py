@@ -113,9 +113,10 @@ def expression_is_true(spark, d):
 
 
 def ranges_sql(proper: str, meets: str) -> str:
+    """The last range is the one no other follows, also where equal ranges tie."""
     return (
         "SELECT * EXCLUDE (is_last) FROM (SELECT o_custkey, lo AS lower_bound, hi AS upper_bound, lead(lo) OVER (PARTITION BY o_custkey ORDER BY lo, hi) AS next_lower_bound, "
-        "row_number() OVER (PARTITION BY o_custkey ORDER BY lo DESC, hi DESC) = 1 AS is_last FROM "
+        "lead(1) OVER (PARTITION BY o_custkey ORDER BY lo, hi) IS NULL AS is_last FROM "
         "(SELECT o_custkey, o_orderdate AS lo, o_orderdate + CAST(floor(o_totalprice) AS BIGINT) % 400 * INTERVAL 1 DAY AS hi FROM orders) AS r) AS w "
         f"WHERE NOT (coalesce(lower_bound {proper} upper_bound, FALSE) AND coalesce(upper_bound {meets} next_lower_bound, is_last, FALSE))"
     )

@@ -313,7 +313,7 @@ def forecast_days(spark, d):
 @register(
     "hours_since_update",
     with_gold(
-        f"SELECT city, round(date_diff('microsecond', max(observation_time), {NOW}) / 3600000000.0, 6) AS hours_since FROM gold GROUP BY city"
+        f"SELECT city, date_diff('microsecond', max(observation_time), {NOW}) / 3600000000.0 AS hours_since FROM gold GROUP BY city"
     ),
     "hours_since",
 )

@@ -25,12 +25,11 @@ def star_aggregate(spark, d):
 
 @register(
     "group_by_first",
-    "SELECT o_orderstatus, o_orderpriority, count(*) AS orders, sum(o_totalprice) AS total FROM orders GROUP BY 1, 2",
-    "total",
+    "SELECT o_orderstatus, o_orderpriority, count(*) AS orders, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1, 2",
 )
 def group_by_first(spark, d):
     rows = table(spark, d, "orders").select("o_orderstatus", "o_orderpriority", "o_totalprice")
-    return ops.group_by_first(rows, 2, F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("total"))
+    return ops.group_by_first(rows, 2, F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
 QUERY_PART = "CASE WHEN instr(url, '?') > 0 THEN substr(url, instr(url, '?') + 1) ELSE '' END"
@@ -183,8 +182,7 @@ def union_relations_include(spark, d):
 
 @register(
     "union_tables_like",
-    "SELECT 'gf_orders_' || lower(o_orderstatus) AS source_relation, count(*) AS orders, sum(o_totalprice) AS total FROM orders GROUP BY 1",
-    "total",
+    "SELECT 'gf_orders_' || lower(o_orderstatus) AS source_relation, count(*) AS orders, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1",
 )
 def union_tables_like(spark, d):
     """Views by status, found again by their names."""
@@ -195,7 +193,7 @@ def union_tables_like(spark, d):
     return (
         ops.union_relations(parts)
         .groupBy("source_relation")
-        .agg(F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("total"))
+        .agg(F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
     )
 
 
