@@ -2,9 +2,24 @@
 
 from pyspark.sql import functions as F
 
-from catalog.base import AS_OF, NOW, RAW, gold, now, observations, raw, register, silver, table, with_gold, with_raw, with_silver
+from catalog.base import (
+    AS_OF,
+    NOW,
+    RAW,
+    gold,
+    now,
+    observations,
+    raw,
+    register,
+    silver,
+    table,
+    with_gold,
+    with_raw,
+    with_silver,
+)
 from catalog.layers import CLEAN, clean
 from gaugeflow.plans import gold as plans
+from gaugeflow.plans import metrics
 from gaugeflow.runtime import scratch_path
 from gaugeflow.sources import raw as raw_source
 from gaugeflow.sources import storage
@@ -32,21 +47,19 @@ def insert_new(spark, d):
 
 @register(
     "upsert",
-    "SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderstatus = 'O' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O')",
+    "SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderstatus = 'O' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice FROM orders",
 )
 def upsert(spark, d):
-    """Finished and open orders, then new prices of the open ones, twice."""
+    """All orders but some open ones, then new prices of all the open ones, twice."""
     path = scratch_path(spark, "orders")
     rows = orders(spark, d).select("o_orderkey", "o_orderpriority", "o_totalprice", "o_orderstatus")
+    keys, parts = ["o_orderkey", "o_orderpriority"], ["o_orderpriority"]
     storage.upsert(
-        rows.filter("o_orderstatus = 'F' OR (o_orderstatus = 'O' AND o_totalprice > 100000)").drop("o_orderstatus"),
-        path,
-        ["o_orderkey", "o_orderpriority"],
-        ["o_orderpriority"],
+        rows.filter("o_orderstatus <> 'O' OR o_totalprice > 100000").drop("o_orderstatus"), path, keys, parts
     )
-    update = rows.filter("o_orderstatus = 'O'").withColumn("o_totalprice", F.col("o_totalprice") * 2).drop("o_orderstatus")
+    update = rows.filter("o_orderstatus = 'O'").withColumn("o_totalprice", F.col("o_totalprice") * 2)
     for _ in range(2):
-        storage.upsert(update, path, ["o_orderkey", "o_orderpriority"], ["o_orderpriority"])
+        storage.upsert(update.drop("o_orderstatus"), path, keys, parts)
     return spark.read.parquet(path).withColumn("o_orderpriority", F.col("o_orderpriority").cast("string"))
 
 
@@ -69,19 +82,27 @@ def upsert_newest(spark, d):
     return spark.read.parquet(path).drop("ingestion_time")
 
 
+BOTH_DAILY = (
+    "before AS (SELECT source_city AS city, CAST(observation_time AS DATE) AS observation_date, count(*) AS record_count, max(temperature) AS max_temperature FROM raw "
+    "WHERE ingestion_id LIKE '%-0' AND temperature BETWEEN -50 AND 60 AND humidity BETWEEN 0 AND 100 AND pressure BETWEEN 800 AND 1100 AND wind_speed BETWEEN 0 AND 150 GROUP BY 1, 2), "
+    "after AS (SELECT city, CAST(observation_time AS DATE) AS observation_date, count(*) AS record_count, max(temperature_celsius) AS max_temperature FROM clean WHERE is_valid GROUP BY 1, 2)"
+)
+
+
 @register(
     "write_gold_daily",
-    f"WITH {RAW}, {CLEAN} SELECT city, CAST(observation_time AS DATE) AS observation_date, count(*) AS record_count, max(temperature_celsius) AS max_temperature FROM clean WHERE is_valid GROUP BY 1, 2",
+    f"WITH {RAW}, {CLEAN}, {BOTH_DAILY} SELECT * FROM after UNION ALL "
+    "SELECT * FROM before WHERE (city, observation_date) NOT IN (SELECT city, observation_date FROM after)",
 )
 def write_gold_daily(spark, d):
-    """The daily table is written before and after the correction of the readings."""
+    """The daily table, written before and after the correction of the readings.
+
+    Days without a valid reading after the correction keep their first row.
+    """
     path = scratch_path(spark, "daily")
-    columns = ["city", "observation_date", "record_count", "max_temperature"]
-    before = plans.daily_view(gold(spark, d)).select(*columns)
-    after = plans.daily_view(clean(spark, d).filter("is_valid")).select(*columns)
-    # days whose readings all fail after the correction stay in the table; they are few and left out here
-    storage.write_gold(before.join(after.select("city", "observation_date"), ["city", "observation_date"], "left_semi"), path, ["observation_date"])
-    storage.write_gold(after, path, ["observation_date"])
+    for rows in (gold(spark, d), clean(spark, d).filter("is_valid")):
+        daily = plans.daily_view(rows).select("city", "observation_date", "record_count", "max_temperature")
+        storage.write_gold(daily, path, ["observation_date"])
     return spark.read.parquet(path)
 
 
@@ -223,3 +244,17 @@ def model_views(spark, d):
     storage.materialise(plans.with_date(gold(spark, d)), "gf_staged", "table", scratch_path(spark, "staged"))
     storage.materialise(spark.table("gf_staged").select("observation_date", "city").distinct(), "gf_days")
     return spark.table("gf_days").groupBy("observation_date").agg(F.count("city").alias("cities"))
+
+
+def file_points(t: str) -> str:
+    return (
+        f"SELECT 'delta.{t}.num_files' AS name, CAST(1 AS DOUBLE) AS value, 'files' AS unit UNION ALL "
+        f"SELECT 'delta.{t}.num_records', CAST(count(*) AS DOUBLE), 'records' FROM {t}"
+    )
+
+
+@register("table_metrics", f"{file_points('events')} UNION ALL {file_points('orders')}")
+def table_metrics(spark, d):
+    """Files and rows of two tables as metric points; bytes are left out of the comparison."""
+    points = metrics.table_metrics({t: table(spark, d, t) for t in ("events", "orders")}, AS_OF)
+    return points.filter("unit <> 'bytes'").select("name", "value", "unit")

@@ -299,15 +299,14 @@ def join_full_outer_counts(spark, d):
 
 @register(
     "join_customer_orders",
-    "SELECT c_custkey, c_mktsegment, n_name, count(o_orderkey) AS orders, sum(o_totalprice) AS total FROM customer JOIN nation ON n_nationkey = c_nationkey LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2, 3",
-    "total",
+    "SELECT c_custkey, c_mktsegment, n_name, count(o_orderkey) AS orders, round(sum(o_totalprice), 2) AS total FROM customer JOIN nation ON n_nationkey = c_nationkey LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2, 3",
 )
 def join_customer_orders(spark, d):
     """Orders are reduced to one row per customer before they are joined."""
     totals = (
         table(spark, d, "orders")
         .groupBy(F.col("o_custkey").alias("c_custkey"))
-        .agg(F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("total"))
+        .agg(F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
     )
     nations = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     return (
