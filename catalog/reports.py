@@ -104,12 +104,11 @@ def event_report(spark, d):
 @register(
     "data_health",
     with_gold(
-        "SELECT c.city, count(DISTINCT date) AS days_with_data, avg(n) AS avg_hourly_readings, min(n) AS min_hourly_readings, "
-        "max(n) AS max_hourly_readings, f.latest_update, f.hours_since_update, CASE WHEN f.hours_since_update > 4 THEN 'Stale' "
-        "WHEN count(DISTINCT date) < 7 THEN 'Incomplete' ELSE 'Healthy' END AS data_health_status FROM "
-        f"(SELECT city, observation_date AS date, count(*) AS n FROM gold WHERE {WEEK} GROUP BY 1, 2) AS c LEFT JOIN "
-        f"(SELECT city, max(observation_time) AS latest_update, date_diff('hour', max(observation_time), {NOW}) AS hours_since_update FROM gold GROUP BY city) AS f "
-        "ON c.city = f.city GROUP BY c.city, f.latest_update, f.hours_since_update"
+        "SELECT *, CASE WHEN hours_since_update > 4 THEN 'Stale' WHEN days_with_data < 7 THEN 'Incomplete' ELSE 'Healthy' END AS data_health_status "
+        f"FROM (SELECT city, count(n) FILTER (recent) AS days_with_data, avg(n) FILTER (recent) AS avg_hourly_readings, min(n) FILTER (recent) AS min_hourly_readings, "
+        f"max(n) FILTER (recent) AS max_hourly_readings, max(newest) AS latest_update, date_diff('hour', max(newest), {NOW}) AS hours_since_update FROM days GROUP BY city) AS k "
+        "WHERE days_with_data > 0",
+        f"days AS (SELECT city, observation_date, observation_date >= {TODAY} - 7 AS recent, count(*) AS n, max(observation_time) AS newest FROM gold GROUP BY ALL)",
     ),
     "avg_hourly_readings",
 )

@@ -77,7 +77,9 @@ def pin_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], total: in
     """Cut ``df`` into ordered runs of even size, numbered in ``_run``.
 
     With ``split_ties`` rows of equal order may fall into different runs; a hash
-    of the row decides, so that a repeated task cuts the same way.
+    of the row decides, so that a repeated task cuts the same way. Without, they
+    stay together, as frames that count peers need: remove copies of a reading
+    first (``latest_per``).
     """
     runs = max(2, -(-total // limit(df.sparkSession, MAX_GROUP_ROWS)))
     tied = df.withColumn(TIE, F.xxhash64(*df.columns) if split_ties else F.lit(0))

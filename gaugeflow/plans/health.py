@@ -152,8 +152,7 @@ def poor_validation(validated: DataFrame, below: float = 90) -> DataFrame:
 
 
 # ---------------------------------------------------------------- checks with severities
-
-CHECK_COLUMNS = ("name", "value", "expected", "severity", "description")
+# Names and texts of the checks are fixed values.
 
 
 def _check(prefix: str, value: Column, expected: Column, severity: Column, text: Column, r: Roles) -> list[Column]:

@@ -1,4 +1,7 @@
-"""Metric points ``(name, value, timestamp, tags, unit)`` as rows, and alerts."""
+"""Metric points ``(name, value, timestamp, tags, unit)`` as rows, and alerts.
+
+Metric names and units are fixed values.
+"""
 
 from __future__ import annotations
 
@@ -131,6 +134,7 @@ def metric_summary(metrics: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- alerts
+# Titles, messages and sources are fixed values.
 
 
 def _alert(title: Column, message: Column, severity: Column, source: str) -> list[Column]:

@@ -57,10 +57,17 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
 
 
 def insert_new(source: DataFrame, path: str, key: str, partition_by: Sequence[str] = ()) -> None:
-    """Append the rows whose key the table lacks. A repeated load adds nothing."""
+    """Append the rows whose key the table lacks. A repeated load adds nothing.
+
+    The keys already present are found from the side of the table, by a semi
+    join with the source: a load small enough to be broadcast then costs a scan
+    of the key column and no shuffle of the table.
+    """
     target = read_if_present(source.sparkSession, path)
     if target is not None:
-        source = written(source.join(target.select(key), key, "left_anti"), "insert")
+        source = written(source, "source")
+        known = target.select(key).join(source.select(key), key, "left_semi").distinct()
+        source = source.join(known, key, "left_anti")
     append(source, path, partition_by)
 
 
