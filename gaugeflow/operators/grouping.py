@@ -13,14 +13,12 @@ from gaugeflow.runtime import written_if_large
 def latest_per(df: DataFrame, keys: Sequence[str], *newest: str) -> DataFrame:
     """The row of each key that is greatest by ``newest``.
 
-    An aggregate rather than ``row_number() = 1``: copies are reduced before the
-    shuffle, so a key with very many copies does not gather in one task.
+    For ``row_number() = 1`` Spark keeps one row per key already before the
+    shuffle (WindowGroupLimit), so a key with very many copies sends one row per
+    task and does not gather in one. Ties are broken by further columns.
     """
-    rest = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.struct(*newest))
-    return (
-        df.groupBy(*keys).agg(best.alias("_best")).select(*[c if c in keys else F.col(f"_best.{c}") for c in df.columns])
-    )
+    order = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in newest])
+    return df.withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place")
 
 
 def most_common(count: str, category: str) -> Column:

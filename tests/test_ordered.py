@@ -163,3 +163,14 @@ def test_a_carried_table_has_at_most_a_row_per_run(spark, table, tiny_groups):
     assert going_on.groupBy("_run").count().filter("count > 1").count() == 0
     # no run holds more than a small multiple of the limit
     assert pinned.groupBy("_run").count().agg(F.max("count")).first()[0] <= 75
+
+
+def test_copies_are_reduced_before_the_shuffle(table):
+    from gaugeflow.operators.grouping import latest_per
+
+    plan = latest_per(table, ["k"], "t", "id")._jdf.queryExecution().executedPlan().toString()
+    lines = [line.strip(" :+-") for line in plan.splitlines()]
+    order = [i for i, line in enumerate(lines) if line.startswith(("Exchange hash", "WindowGroupLimit"))]
+    assert "Final" in lines[order[0]] and lines[order[1]].startswith("Exchange") and "Partial" in lines[order[2]]
+    want = sorted(((k, max(g, key=lambda r: (r[2], r[0]))[0]) for k, g in groups().items()), key=repr)
+    assert rows(latest_per(table, ["k"], "t", "id"), "k", "id") == want
