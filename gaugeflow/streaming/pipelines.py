@@ -39,7 +39,7 @@ def raw_to_silver(
 
 
 def _zoned(rows: DataFrame, r: Roles) -> DataFrame:
-    """Watermarks need a TIMESTAMP; sessions run in UTC."""
+    """Watermarks need a TIMESTAMP."""
     return rows.withColumn(r.time, F.col(r.time).cast("timestamp"))
 
 
@@ -51,8 +51,12 @@ def first_wins(rows: DataFrame, lateness: str = "24 hours", r: Roles = ROLES) ->
 
 def daily_summary(rows: DataFrame, lateness: str = "24 hours", r: Roles = ROLES) -> DataFrame:
     """Per key and day; a day is final once the watermark has passed its end."""
+    # windows are cut in UTC: let them see the wall clock of the session zone
+    wall = F.from_utc_timestamp(F.col(r.time), F.current_timezone())
+    start = F.date_from_unix_date((F.unix_seconds("_day.start") / 86_400).cast("int"))
     return (
         _zoned(rows, r)
+        .withColumn(r.time, wall)
         .withWatermark(r.time, lateness)
         .groupBy(F.window(r.time, "1 day").alias("_day"), r.key)
         .agg(
@@ -65,7 +69,7 @@ def daily_summary(rows: DataFrame, lateness: str = "24 hours", r: Roles = ROLES)
         )
         .select(
             r.key,
-            F.to_date("_day.start").alias("observation_date"),
+            start.alias("observation_date"),
             "record_count",
             "avg_temperature",
             "max_temperature",
