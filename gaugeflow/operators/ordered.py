@@ -19,6 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeflow.runtime import MAX_FRAME_ROWS, MAX_GROUP_ROWS, is_small, limit, written
 
@@ -35,12 +36,12 @@ class Size:
 SMALL = Size(0, 0)
 
 
-def group_size(df: DataFrame, keys: Sequence[str]) -> Size:
+def group_size(df: DataFrame, keys: Sequence[str], exact: bool = False) -> Size:
     """Rows of the largest group and of the table (one row reaches the driver).
 
-    A table that is small as a whole needs no count.
+    A table that is small as a whole needs no count, unless ``exact``.
     """
-    if is_small(df):
+    if not exact and is_small(df):
         return SMALL
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     row = counts.agg(F.coalesce(F.max("n"), F.lit(0)).alias("a"), F.coalesce(F.sum("n"), F.lit(0)).alias("b")).first()
@@ -82,7 +83,8 @@ def pin_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], total: in
     first (``latest_per``).
     """
     runs = max(2, -(-total // limit(df.sparkSession, MAX_GROUP_ROWS)))
-    tied = df.withColumn(TIE, F.xxhash64(*df.columns) if split_ties else F.lit(0))
+    hashed = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    tied = df.withColumn(TIE, F.xxhash64(*hashed) if split_ties else F.lit(0))
     ranged = tied.repartitionByRange(runs, *[F.col(c) for c in [*keys, *order, TIE]])
     return written(ranged.withColumn(RUN, F.spark_partition_id()), "runs")
 
@@ -372,16 +374,17 @@ def ranks(
 def quantiles(df: DataFrame, keys: Sequence[str], column: str, points: dict[str, float], size: Size | None = None) -> DataFrame:
     """Exact interpolated quantiles per key, one row per key.
 
-    ``percentile`` keeps the values of a group in one buffer; for hot groups the
-    values are numbered instead and the rows at the wanted places picked.
+    ``percentile`` keeps the values of a group in one buffer, so it serves only
+    groups of a tenth of the usual limit; for larger ones the values are numbered
+    instead and the rows at the wanted places picked.
     """
     present = df.filter(F.col(column).isNotNull()).select(*keys, column)
-    size = size or group_size(present, keys)
-    if _fits(df, size):
+    size = size or group_size(present, keys, exact=True)
+    if size.largest * 10 <= limit(df.sparkSession, MAX_GROUP_ROWS):
         return present.groupBy(*keys).agg(
             *[F.percentile(column, F.lit(p)).alias(n) for n, p in points.items()]
         )
-    numbered = row_numbers(present, keys, [column], "_n", size)
+    numbered = row_numbers(present, keys, [column], "_n", size)  # splits only groups above the limit
     counts = written(present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all")), "sizes")
     placed = numbered.join(counts, list(keys)).withColumn("_at", F.col("_n") - 1)
     sides = []

@@ -167,81 +167,78 @@ def _check(prefix: str, value: Column, expected: Column, severity: Column, text:
 
 def freshness_check(rows: DataFrame, as_of=None, r: Roles = ROLES) -> DataFrame:
     hours = F.col("hours_old")
-    return freshness(rows, as_of=as_of, r=r).select(
-        *_check(
-            "freshness_",
-            hours,
-            F.lit(4),
-            rules.freshness_severity(hours),
-            F.concat(F.lit("Data freshness for "), F.col(r.key)),
-            r,
-        )
-    )
+    text = F.concat(F.lit("Data freshness for "), F.col(r.key))
+    severity = rules.freshness_severity(hours)
+    return freshness(rows, as_of=as_of, r=r).select(*_check("freshness_", hours, F.lit(4), severity, text, r))
 
 
-def score_check(silver: DataFrame, hours: int = 24, as_of=None, r: Roles = ROLES) -> DataFrame:
-    per_key = (
-        since_hours(silver, hours, as_of, r.time).groupBy(r.key).agg(F.avg("quality_checks_passed").alias("score"))
-    )
-    return per_key.select(
-        *_check(
-            "quality_",
-            F.col("score"),
-            F.lit(5),
-            rules.score_severity(F.col("score")),
-            F.concat(F.lit("Average quality score for "), F.col(r.key)),
-            r,
-        )
-    )
+def _is_extreme(r: Roles) -> Column:
+    return (F.col(r.temperature) > 35) | (F.col(r.temperature) < -10) | (F.col(r.wind) > 50)
 
 
-def volume_check(rows: DataFrame, hours: int = 24, as_of=None, r: Roles = ROLES) -> DataFrame:
-    """Readings against the hours they span; nothing is missing if they span none."""
+def recent_figures(silver: DataFrame, hours: int = 24, as_of=None, r: Roles = ROLES) -> DataFrame:
+    """What the checks of the last hours need, per key, from one scan."""
+    extreme = _is_extreme(r)
     per_key = (
-        since_hours(rows, hours, as_of, r.time)
+        since_hours(silver, hours, as_of, r.time)
         .groupBy(r.key)
-        .agg(F.count(F.lit(1)).alias("records"), F.min(r.time).alias("a"), F.max(r.time).alias("b"))
-        .withColumn("span", boundaries("HOUR", F.col("a"), F.col("b")))
+        .agg(
+            F.avg("quality_checks_passed").alias("score"),
+            F.count(F.lit(1)).alias("records"),
+            F.min(r.time).alias("_first"),
+            F.max(r.time).alias("_last"),
+            F.count_if(extreme).alias("extremes"),
+            F.max(F.when(extreme, F.col(r.temperature))).alias("extreme_temp"),
+            F.max(F.when(extreme, F.col(r.wind))).alias("extreme_wind"),
+        )
+        .withColumn("span", boundaries("HOUR", F.col("_first"), F.col("_last")))
     )
+    # nothing is missing where the readings span no hour
     missing = F.when(F.col("span") > 0, 1 - F.col("records") / F.col("span")).otherwise(F.lit(0.0))
-    return per_key.withColumn("missing", missing).select(
-        *_check(
-            "volume_",
-            F.col("records"),
-            F.col("span"),
-            rules.volume_severity(F.col("missing")),
-            F.concat(F.lit("Data volume for "), F.col(r.key)),
-            r,
-        ),
-        F.col("missing").alias("missing_ratio"),
-    )
+    return per_key.withColumn("missing", missing).drop("_first", "_last")
 
 
-def extreme_check(rows: DataFrame, hours: int = 24, as_of=None, r: Roles = ROLES) -> DataFrame:
-    extreme = (F.col(r.temperature) > 35) | (F.col(r.temperature) < -10) | (F.col(r.wind) > 50)
-    per_key = (
-        since_hours(rows, hours, as_of, r.time)
-        .filter(extreme)
-        .groupBy(r.key)
-        .agg(F.count(F.lit(1)).alias("n"), F.max(r.temperature).alias("t"), F.max(r.wind).alias("w"))
-    )
+def _score_check(r: Roles) -> list[Column]:
+    score, text = F.col("score"), F.concat(F.lit("Average quality score for "), F.col(r.key))
+    return _check("quality_", score, F.lit(5), rules.score_severity(score), text, r)
+
+
+def _volume_check(r: Roles) -> list[Column]:
+    text = F.concat(F.lit("Data volume for "), F.col(r.key))
+    severity = rules.volume_severity(F.col("missing"))
+    return _check("volume_", F.col("records"), F.col("span"), severity, text, r)
+
+
+def _extreme_check(r: Roles) -> list[Column]:
     text = F.format_string(
         "Extreme events in %s: max temp %s°C, max wind %s km/h",
         F.col(r.key),
-        fixed_point(F.col("t"), 1),
-        fixed_point(F.col("w"), 1),
+        fixed_point(F.col("extreme_temp"), 1),
+        fixed_point(F.col("extreme_wind"), 1),
     )
-    return per_key.select(*_check("extreme_", F.col("n"), F.lit(0), F.lit("warning"), text, r))
+    return _check("extreme_", F.col("extremes"), F.lit(0), F.lit("warning"), text, r)
+
+
+def score_check(silver: DataFrame, hours: int = 24, as_of=None, r: Roles = ROLES) -> DataFrame:
+    return recent_figures(silver, hours, as_of, r).select(*_score_check(r))
+
+
+def volume_check(silver: DataFrame, hours: int = 24, as_of=None, r: Roles = ROLES) -> DataFrame:
+    """Readings against the hours they span."""
+    return recent_figures(silver, hours, as_of, r).select(*_volume_check(r), F.col("missing").alias("missing_ratio"))
+
+
+def extreme_check(silver: DataFrame, hours: int = 24, as_of=None, r: Roles = ROLES) -> DataFrame:
+    figures = recent_figures(silver.filter(_is_extreme(r)), hours, as_of, r)
+    return figures.select(*_extreme_check(r))
 
 
 def all_checks(silver: DataFrame, as_of=None, r: Roles = ROLES) -> DataFrame:
-    """All four checks in long form."""
-    return (
-        freshness_check(silver, as_of, r)
-        .unionByName(score_check(silver, as_of=as_of, r=r))
-        .unionByName(volume_check(silver, as_of=as_of, r=r).drop("missing_ratio"))
-        .unionByName(extreme_check(silver, as_of=as_of, r=r))
-    )
+    """All four checks in long form: one scan for freshness, one of the last day for the others."""
+    kinds = F.array(F.struct(*_score_check(r)), F.struct(*_volume_check(r)), F.struct(*_extreme_check(r)))
+    recent = recent_figures(silver, as_of=as_of, r=r).select("extremes", F.inline(kinds))
+    found = recent.filter((F.col("extremes") > 0) | ~F.col("name").startswith("extreme_")).drop("extremes")
+    return freshness_check(silver, as_of, r).unionByName(found)
 
 
 def check_summary(checks: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ MAX_FRAME_ROWS = ("spark.gaugeflow.maxFrameRows", 500)
 # Up to this many touched partitions are named in a scan filter.
 MAX_NAMED_PARTITIONS = ("spark.gaugeflow.maxNamedPartitions", 10_000)
 # A table estimated below this holds no group worth splitting.
-SMALL_TABLE_BYTES = ("spark.gaugeflow.smallTableBytes", 64 * 1024 * 1024)
+SMALL_TABLE_BYTES = ("spark.gaugeflow.smallTableBytes", 32 * 1024 * 1024)
 
 _local_scratch: dict[str, str] = {}
 
