@@ -18,10 +18,15 @@ from gaugeflow.runtime import MAX_NAMED_PARTITIONS, limit, written
 from gaugeflow.sources.schemas import TABLES
 
 
-def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path`` with the columns of all its files, None if there is none."""
+def read_if_present(spark: SparkSession, path: str, schema=None, merge: bool = True) -> DataFrame | None:
+    """The table at ``path``, None if there is none.
+
+    With ``merge`` it has the columns of all its files, which costs a job over
+    their footers; a known ``schema`` saves that.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", str(merge).lower())
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
+        return reader.parquet(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -63,7 +68,7 @@ def insert_new(source: DataFrame, path: str, key: str, partition_by: Sequence[st
     join with the source: a load small enough to be broadcast then costs a scan
     of the key column and no shuffle of the table.
     """
-    target = read_if_present(source.sparkSession, path)
+    target = read_if_present(source.sparkSession, path, merge=False)  # the key is in all files
     if target is not None:
         source = written(source, "source")
         known = target.select(key).join(source.select(key), key, "left_semi").distinct()
@@ -77,12 +82,14 @@ def upsert(
     keys: Sequence[str],
     partition_by: Sequence[str] = (),
     newest: Sequence[str] = (),
+    schema=None,
 ) -> None:
     """Replace rows of equal key, add the others.
 
     With ``newest``, of two rows of a key the one greater by these columns
     stays, whichever side it comes from; otherwise the source wins. The source
-    must not hold a key twice. Rows with a NULL key match nothing.
+    must not hold a key twice. Rows with a NULL key match nothing. ``schema`` is
+    that of the table, if known; otherwise the columns of its files are merged.
     """
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must be part of the key")
@@ -90,7 +97,7 @@ def upsert(
     source = written(source, "source")
     if source.groupBy(*keys).count().filter("count > 1").limit(1).count():
         raise ValueError(f"source holds several rows for the same {list(keys)}")
-    target = read_if_present(spark, path)
+    target = read_if_present(spark, path, schema)
     if target is None:
         _save(source, path, "overwrite", partition_by)
         return
