@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import simhash
+from gaugeflow.llm import simhash, substring, toxicity
 
 
 @dataclass(frozen=True)
@@ -26,6 +26,34 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+SUBSTRING_SQL = """
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x != '') AS ws
+           FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM d),
+s AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS pos FROM d WHERE len(ws) >= 20),
+k AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY array_to_string(ws[pos:pos + 19], ' ') ORDER BY doc_id, pos) > 1 AS again
+      FROM s),
+c AS (SELECT w.doc_id, w.word, w.pos,
+             coalesce(bool_or(again) OVER (PARTITION BY w.doc_id ORDER BY w.pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), FALSE) AS gone
+      FROM w LEFT JOIN k ON k.doc_id = w.doc_id AND k.pos = w.pos),
+g AS (SELECT doc_id, count(*) AS n_words, sum(gone::INT) AS n_removed,
+             coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT gone), '') AS kept FROM c GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN g ON d.doc_id = g.doc_id
+"""
+
 QUERIES: dict[str, Query] = {
     "op2_simhash": Query(op2_simhash),
+    "op5_substring": Query(op5_substring, SUBSTRING_SQL),
+    "op10_toxicity": Query(op10_toxicity),
 }
