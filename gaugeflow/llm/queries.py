@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import simhash, substring, toxicity
+from gaugeflow.llm import mixing, simhash, substring, toxicity
 
 
 @dataclass(frozen=True)
@@ -26,6 +26,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -35,8 +39,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-SUBSTRING_SQL = """
-WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x != '') AS ws
+SUBSTRING_SQL = r"""
+WITH d AS (SELECT doc_id, [x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x != ''] AS ws
            FROM documents),
 w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM d),
 s AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS pos FROM d WHERE len(ws) >= 20),
@@ -54,6 +58,7 @@ FROM d LEFT JOIN g ON d.doc_id = g.doc_id
 
 QUERIES: dict[str, Query] = {
     "op2_simhash": Query(op2_simhash),
+    "op3_mixing": Query(op3_mixing),
     "op5_substring": Query(op5_substring, SUBSTRING_SQL),
     "op10_toxicity": Query(op10_toxicity),
 }
