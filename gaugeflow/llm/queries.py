@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import mixing, simhash, substring, toxicity
+from gaugeflow.llm import mixing, pieces, simhash, substring, toxicity
 
 
 @dataclass(frozen=True)
@@ -35,6 +35,15 @@ def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of a segmentation as a digest; the operator returns them as they are."""
+    got = pieces.sample(table(spark, sf_dir, "documents"))
+    return got.select(
+        "doc_id", "sample", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_digest"),
+        "log_probability", "perturbed", "log_inclusion", "round_trip",
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -60,5 +69,6 @@ QUERIES: dict[str, Query] = {
     "op2_simhash": Query(op2_simhash),
     "op3_mixing": Query(op3_mixing),
     "op5_substring": Query(op5_substring, SUBSTRING_SQL),
+    "op6_sentencepiece": Query(op6_sentencepiece),
     "op10_toxicity": Query(op10_toxicity),
 }
