@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import mixing, pieces, simhash, substring, toxicity
+from gaugeflow.llm import embedding_dedup, mixing, pieces, simhash, substring, toxicity
 
 
 @dataclass(frozen=True)
@@ -30,6 +30,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -68,6 +72,7 @@ FROM d LEFT JOIN g ON d.doc_id = g.doc_id
 QUERIES: dict[str, Query] = {
     "op2_simhash": Query(op2_simhash),
     "op3_mixing": Query(op3_mixing),
+    "op4_embedding_dedup": Query(op4_embedding_dedup),
     "op5_substring": Query(op5_substring, SUBSTRING_SQL),
     "op6_sentencepiece": Query(op6_sentencepiece),
     "op10_toxicity": Query(op10_toxicity),
