@@ -23,10 +23,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.common import components, name, stored, type_of
+from gaugeflow.llm.common import components, name, stored
 from gaugeflow.llm.vectors import lists, matrix, ranked, usable
 
 BITS = 63

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import embedding_dedup, mixing, pieces, simhash, substring, toxicity
+from gaugeflow.llm import embedding_dedup, mixing, neighbours, pieces, simhash, substring, toxicity
 
 
 @dataclass(frozen=True)
@@ -48,6 +48,11 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -75,5 +80,6 @@ QUERIES: dict[str, Query] = {
     "op4_embedding_dedup": Query(op4_embedding_dedup),
     "op5_substring": Query(op5_substring, SUBSTRING_SQL),
     "op6_sentencepiece": Query(op6_sentencepiece),
+    "op8_neighbours": Query(op8_neighbours),
     "op10_toxicity": Query(op10_toxicity),
 }
