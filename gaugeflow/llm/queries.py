@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import embedding_dedup, mixing, neighbours, pieces, simhash, substring, toxicity
+from gaugeflow.llm import embedding_dedup, html_text, mixing, neighbours, pieces, simhash, substring, toxicity, url_filter
 
 
 @dataclass(frozen=True)
@@ -48,11 +48,20 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = html_text.main_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return got.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
     return found.select("query_id", "rank", "vec_id", "score")
 
 
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -74,12 +83,53 @@ SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(
 FROM d LEFT JOIN g ON d.doc_id = g.doc_id
 """
 
+def _urls_sql() -> str:
+    """Rules as a longest match; values by the same rounds, one after the other."""
+    s = url_filter.Settings()
+    rules = ", ".join(f"('{r.host}', '{r.path}', '{r.text}', '{r.verdict}')" for r in url_filter.RULES)
+    part = lambda url, what: (
+        f"CASE WHEN instr({url}, '://') > 0 THEN regexp_extract(substr({url}, instr({url}, '://') + 3), {what}) ELSE '' END"
+    )
+    host = lambda url: f"coalesce(translate({part(url, chr(39) + '^[^/?#]*' + chr(39))}, '{url_filter.UPPER}', '{url_filter.LOWER}'), '')"
+    where = "'(?s)^[^/?#]*([^?#]*)', 1"
+    link = url_filter.LINK.replace("'", "''")
+    rounds = "v0 AS (SELECT host, trust, distrust FROM seed)"
+    for i in range(s.rounds):
+        rounds += f""",
+v{i + 1} AS (SELECT host, sum(trust) AS trust, sum(distrust) AS distrust FROM (
+  SELECT b AS host, trust * t * {s.damping} AS trust, distrust * d * {s.damping} AS distrust FROM v{i} JOIN moves ON a = host
+  UNION ALL SELECT host, trust * (1 - {s.damping}), distrust * (1 - {s.damping}) FROM seed) AS x GROUP BY host)"""
+    return f"""
+WITH r(host, path, rule, verdict) AS (VALUES {rules}),
+p AS (SELECT page_id, {host("url")} AS host, coalesce({part("url", where)}, '') AS path, html FROM pages),
+m AS (SELECT p.page_id, p.host, p.path, max_by(r.rule, length(r.rule)) AS rule, max_by(r.verdict, length(r.rule)) AS verdict
+      FROM p LEFT JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+      GROUP BY p.page_id, p.host, p.path),
+n AS (SELECT host, count(*) FILTER (WHERE verdict = 'allow') AS allowed, count(*) FILTER (WHERE verdict = 'block') AS blocked
+      FROM m WHERE verdict IS NOT NULL GROUP BY host),
+seed AS (SELECT host, allowed / greatest(sum(allowed) OVER (), 1) AS trust, blocked / greatest(sum(blocked) OVER (), 1) AS distrust FROM n),
+l AS (SELECT host AS src, unnest(regexp_extract_all(coalesce(html, ''), '{link}', 1)) AS link FROM p),
+h AS (SELECT src, {host("(CASE WHEN starts_with(link, '//') THEN 'http:' || link ELSE link END)")} AS dst FROM l),
+e AS (SELECT src, dst, count(*) AS n FROM h WHERE src != dst AND src != '' AND dst != '' GROUP BY src, dst),
+moves AS (SELECT src AS a, dst AS b, n / sum(n) OVER (PARTITION BY src) AS t, 0.0 AS d FROM e
+          UNION ALL SELECT dst, src, 0.0, n / sum(n) OVER (PARTITION BY dst) FROM e),
+{rounds}
+SELECT m.page_id, m.host, m.path, m.rule,
+       coalesce(m.verdict, CASE WHEN v.distrust > {s.threshold} * (v.trust + v.distrust) THEN 'block' ELSE 'allow' END) AS verdict
+FROM m LEFT JOIN v{s.rounds} AS v ON m.host = v.host
+"""
+
+
+URLS_SQL = _urls_sql()
+
 QUERIES: dict[str, Query] = {
     "op2_simhash": Query(op2_simhash),
     "op3_mixing": Query(op3_mixing),
     "op4_embedding_dedup": Query(op4_embedding_dedup),
     "op5_substring": Query(op5_substring, SUBSTRING_SQL),
     "op6_sentencepiece": Query(op6_sentencepiece),
+    "op7_html": Query(op7_html),
     "op8_neighbours": Query(op8_neighbours),
+    "op9_urls": Query(op9_urls, URLS_SQL),
     "op10_toxicity": Query(op10_toxicity),
 }
