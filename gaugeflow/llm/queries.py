@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import embedding_dedup, html_text, mixing, neighbours, pieces, simhash, substring, toxicity, url_filter
+from gaugeflow.llm import embedding_dedup, html_text, licenses, mixing, neighbours, pieces, simhash, substring, toxicity, url_filter
 
 
 @dataclass(frozen=True)
@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: the source is the top directory, the language the next."""
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return licenses.scan(table(spark, sf_dir, "documents"), "doc_id", path)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
@@ -83,6 +89,46 @@ SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(
 FROM d LEFT JOIN g ON d.doc_id = g.doc_id
 """
 
+def _licenses_sql() -> str:
+    """All lines against all templates, without the prefilter."""
+    s = licenses.Settings()
+    rows = [(i, license_, t, n) for i, ((license_, _), c) in enumerate(zip(licenses.TEMPLATES, licenses.counts(), strict=True)) for t, n in c.items()]
+    values = ", ".join(f"({i}, '{name}', '{t}', {n})" for i, name, t, n in rows)
+    return rf"""
+WITH c(template, license, term, k) AS (VALUES {values}),
+d AS (SELECT doc_id, concat_ws('/', source, lang, CAST(doc_id AS VARCHAR)) AS path, concat_ws('/', source, lang) AS dir,
+             coalesce(text, '') AS text FROM documents),
+n AS (SELECT count(*) AS n FROM d),
+df AS (SELECT term, count(*) AS df FROM (
+         SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM d) AS x
+       WHERE term IN (SELECT term FROM c) GROUP BY term),
+w AS (SELECT c.term, ln((1.0 + n) / (1.0 + coalesce(max(df), 0))) + 1.0 AS idf FROM c LEFT JOIN df ON c.term = df.term, n GROUP BY c.term, n),
+t AS (SELECT template, license, c.term, k * idf / sqrt(sum((k * idf) ** 2) OVER (PARTITION BY template)) AS t FROM c JOIN w ON c.term = w.term),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS ln_ FROM d),
+z AS (SELECT doc_id, ln_, len([x FOR x IN string_split_regex(line, '[\x20\x09-\x0D]+') IF x != '']) AS words,
+             unnest(regexp_extract_all(lower(line), '[a-z0-9]+')) AS term FROM l),
+f AS (SELECT doc_id, ln_, words, z.term, count(*) * coalesce(max(idf), (SELECT ln((1.0 + n) / 2.0) + 1.0 FROM n)) AS w
+      FROM z LEFT JOIN w ON z.term = w.term GROUP BY doc_id, ln_, words, z.term),
+g AS (SELECT doc_id, ln_, sqrt(sum(w * w)) AS size FROM f GROUP BY doc_id, ln_),
+s AS (SELECT f.doc_id, f.ln_, words, template, license, round(sum(w * t) / any_value(size), {s.digits}) AS score
+      FROM f JOIN t ON f.term = t.term JOIN g ON f.doc_id = g.doc_id AND f.ln_ = g.ln_ GROUP BY f.doc_id, f.ln_, words, template, license),
+b AS (SELECT doc_id, ln_, words, max(struct_pack(score := score, license := license)) AS best FROM s WHERE score >= {s.least} GROUP BY doc_id, ln_, words),
+o AS (SELECT doc_id, max(best) AS best, sum(words) AS in_lines FROM b GROUP BY doc_id),
+q AS (SELECT d.*, best, in_lines, len([x FOR x IN string_split_regex(text, '[\x20\x09-\x0D]+') IF x != '']) AS n_words
+      FROM d LEFT JOIN o ON d.doc_id = o.doc_id),
+u AS (SELECT dir, best FROM (SELECT dir, best, row_number() OVER (PARTITION BY dir ORDER BY best.score DESC, path) AS p FROM q
+      WHERE in_lines >= {s.share} * n_words) AS x WHERE p = 1),
+a AS (SELECT q.doc_id, u.dir AS up, u.best, row_number() OVER (PARTITION BY q.doc_id ORDER BY length(u.dir) DESC) AS p
+      FROM q JOIN u ON q.dir = u.dir OR starts_with(q.dir, u.dir || '/') OR u.dir = '')
+SELECT q.doc_id, q.path, coalesce(q.best.license, a.best.license) AS license, coalesce(q.best.score, a.best.score) AS score,
+       CASE WHEN q.best IS NOT NULL THEN q.path ELSE a.up END AS origin
+FROM q LEFT JOIN a ON q.doc_id = a.doc_id AND a.p = 1
+"""
+
+
+LICENSES_SQL = _licenses_sql()
+
+
 def _urls_sql() -> str:
     """Rules as a longest match; values by the same rounds, one after the other."""
     s = url_filter.Settings()
@@ -123,6 +169,7 @@ FROM m LEFT JOIN v{s.rounds} AS v ON m.host = v.host
 URLS_SQL = _urls_sql()
 
 QUERIES: dict[str, Query] = {
+    "op1_licenses": Query(op1_licenses, LICENSES_SQL),
     "op2_simhash": Query(op2_simhash),
     "op3_mixing": Query(op3_mixing),
     "op4_embedding_dedup": Query(op4_embedding_dedup),
