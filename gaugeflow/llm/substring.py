@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,7 @@ from pyspark.sql import types as T
 from gaugeflow.llm.common import name, type_of, word_chunks
 
 SEGMENT = 1 << 20  # counters in a part of the sketch that one group merges
+RUN = 1 << 17  # words in work at a time, or one text
 FLUSH = 1 << 22  # sketch entries a task holds before it sends them on
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
@@ -51,16 +53,6 @@ class Settings:
     max_bytes: int = 128 << 20
 
 
-@dataclass(frozen=True)
-class Windows:
-    """Hashes of the windows of a text, and of their signatures."""
-
-    high: np.ndarray
-    low: np.ndarray
-    signature: np.ndarray
-    marks: np.ndarray  # the signatures by place: the entries of the sketch
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(MIX[0])
     x = (x ^ (x >> np.uint64(27))) * np.uint64(MIX[1])
@@ -88,35 +80,69 @@ def _slide(x: np.ndarray, n: int, best) -> np.ndarray:
     return best(x[: len(x) - (n - have)], x[n - have :]) if n > have else x
 
 
-class Hasher:
+class Hashes(dict):
     """Hashes of words, kept between texts up to a bound."""
 
-    def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
-
-    def words(self, data: bytes) -> tuple[np.ndarray, int]:
-        known, parts, total = self.known, [], 0
-        for words in word_chunks(data):
-            for w in words:
-                if w not in known:
-                    known[w] = xxhash.xxh64_intdigest(w, 5)
-            parts.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
-            total += len(words)
-            if len(known) > 500_000:
-                known.clear()
-        return (np.concatenate(parts) if parts else np.empty(0, np.uint64)), total
-
-
-def windows(words: np.ndarray, s: Settings) -> Windows | None:
-    if len(words) < s.width:
-        return None
-    grams = _mix(_sums(words, 3, s.gram))
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        found = self[word] = xxhash.xxh64_intdigest(word, 5)
+        return found
+
+    def of(self, data: bytes) -> np.ndarray:
+        parts = [np.fromiter(map(self.__getitem__, words), np.uint64, len(words)) for words in word_chunks(data)]
+        return np.concatenate(parts) if len(parts) != 1 else parts[0]
+
+
+@dataclass(frozen=True)
+class Some:
+    """Word hashes of texts laid end to end: text i is ``words[edges[i] : edges[i + 1]]``."""
+
+    words: np.ndarray
+    edges: np.ndarray
+
+    def starts(self, s: Settings) -> np.ndarray:
+        """Whether a window starts at a word; none goes on into the next text."""
+        whole = np.zeros(len(self.words) + 1, np.int32)
+        n = np.diff(self.edges)
+        has = n >= s.width
+        np.add.at(whole, self.edges[:-1][has], 1)
+        np.add.at(whole, self.edges[1:][has] - s.width + 1, -1)
+        return np.cumsum(whole[:-1]) > 0
+
+
+def _together(texts: list[bytes], hashes: Hashes) -> Iterator[tuple[int, int, Some]]:
+    """Texts in runs of some hundred thousand words, so that arrays are worth their cost: (from, to, words)."""
+    parts, size, first = [np.empty(0, np.uint64)], 0, 0
+    for i, t in enumerate(texts):
+        parts.append(hashes.of(t) if t else np.empty(0, np.uint64))
+        size += len(parts[-1])
+        if size >= RUN or i + 1 == len(texts):
+            yield first, i + 1, Some(np.concatenate(parts), np.cumsum([0, *[len(x) for x in parts[1:]]]))
+            parts, size, first = [np.empty(0, np.uint64)], 0, i + 1
+
+
+def _signatures(some: Some, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of windows, their signatures, and the signatures by place: the entries of the sketch."""
+    none = np.empty(0, np.uint64)
+    if len(some.words) < s.width:
+        return np.empty(0, np.int64), none, none
+    grams = _mix(_sums(some.words, 3, s.gram)) | np.uint64(1)
     span = s.width - s.gram + 1
     signature = _slide(grams, span, np.minimum)
+    valid = some.starts(s)[: len(signature)]
     # a place is an entry if its gram is the least of some window over it
     pad = np.zeros(span - 1, np.uint64)
-    marks = grams[_slide(np.concatenate([pad, signature, pad]), span, np.maximum) == grams]
-    return Windows(_mix(_sums(words, 1, s.width)), _mix(_sums(_mix(words), 2, s.width)), signature, marks)
+    marks = grams[_slide(np.concatenate([pad, np.where(valid, signature, 0), pad]), span, np.maximum) == grams]
+    at = np.flatnonzero(valid)
+    return at, signature[at], marks
+
+
+def _window_hash(words: np.ndarray, at: np.ndarray, seed: int, s: Settings) -> np.ndarray:
+    out = np.zeros(len(at), np.uint64)
+    for j, c in enumerate(_factors(seed, s.width)):
+        out += words[at + j] * c
+    return _mix(out)
 
 
 def _cells(signature: np.ndarray, row: int, bits: int) -> np.ndarray:
@@ -153,16 +179,15 @@ def _build(texts: DataFrame, s: Settings) -> tuple[int, object]:
     per_row = 1 << (bits - 20)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, held, size = Hasher(), [], 0
+        hashes, held, size = Hashes(), [], 0
         for b in batches:
-            for t in b.column(0).cast(pa.large_binary()):
-                if (w := windows(hasher.words(t.as_py() or b"")[0], s)) is not None:
-                    held.append(w.marks)
-                    size += len(w.marks)
+            for _, _, some in _together(_bytes(b.column(0)), hashes):
+                held.append(_signatures(some, s)[2])
+                size += len(held[-1])
                 if size >= FLUSH:
                     yield from _parts(np.concatenate(held), s.depth, bits)
                     held, size = [], 0
-        if held:
+        if size:
             yield from _parts(np.concatenate(held), s.depth, bits)
 
     def merge(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,15 +237,17 @@ def _places(texts: DataFrame, id_type: str, s: Settings, bits: int, sent) -> Dat
     """(high, low, id, start) of windows estimated repeated; per task and hash the smallest place only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, sketch = Hasher(), Sketch(bits, sent.value)
+        hashes, sketch = Hashes(), Sketch(bits, sent.value)
         for b in batches:
             order = pc.rank(b.column(0), sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy()
             found = []
-            for i, t in enumerate(b.column(1).cast(pa.large_binary())):
-                if (w := windows(hasher.words(t.as_py() or b"")[0], s)) is None:
-                    continue
-                at = np.flatnonzero(sketch.repeated(w.signature))
-                found.append((w.high[at], w.low[at], np.full(len(at), i, np.int64), at))
+            for first, _, some in _together(_bytes(b.column(1)), hashes):
+                at, signature, _ = _signatures(some, s)
+                at = at[sketch.repeated(signature)]
+                row = np.searchsorted(some.edges, at, side="right") - 1
+                found.append(
+                    (_window_hash(some.words, at, 1, s), _window_hash(_mix(some.words), at, 2, s), first + row, at - some.edges[row])
+                )
             if not found:
                 continue
             high, low, row, at = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -269,37 +296,45 @@ def remove_repeats(
     text_at = shown.columns.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, sketch = Hasher(), Sketch(bits, sent.value)
+        hashes, sketch = Hashes(), Sketch(bits, sent.value)
         for b in batches:
-            numbers, removed, texts = [], [], []
-            for t, firsts in zip(b.column(text_at).cast(pa.large_binary()), b.column(len(fields)), strict=True):
-                words, kept = cut_text(t.as_py() or b"", firsts, hasher, sketch, s)
-                numbers.append(words)
-                removed.append(words - kept[0])
-                texts.append(kept[1])
-            columns = [*b.columns[: len(fields)], pa.array(numbers, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())]
+            texts, firsts = _bytes(b.column(text_at)), b.column(len(fields))
+            numbers, removed, kept = [], [], []
+            for first, last, some in _together(texts, hashes):
+                covered = _covered(some, firsts.slice(first, last - first), sketch, s)
+                gone = np.add.reduceat(np.r_[covered, False], some.edges[:-1], dtype=np.int64) * (np.diff(some.edges) > 0)
+                for i in range(first, last):
+                    words, lo, hi = texts[i].split(), some.edges[i - first], some.edges[i - first + 1]
+                    if gone[i - first]:
+                        words = list(compress(words, (~covered[lo:hi]).tolist()))
+                    kept.append(b" ".join(words).decode())
+                numbers += np.diff(some.edges).tolist()
+                removed += gone.tolist()
+            columns = [*b.columns[: len(fields)], pa.array(numbers, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema.fields])
 
     return joined.mapInArrow(cut, schema)
 
 
-def cut_text(data: bytes, firsts: pa.Scalar, hasher: Hasher, sketch: Sketch, s: Settings) -> tuple[int, tuple[int, str]]:
-    """Words of the text; number and text of the words that stay."""
-    words = data.split()
-    found = windows(hasher.words(data)[0], s)
-    if found is not None and (maybe := sketch.repeated(found.signature)).any():
-        mine = firsts.values.to_numpy(zero_copy_only=False) if firsts.is_valid else np.empty(0, np.int64)
-        at = np.flatnonzero(maybe)
-        marks = at.astype(np.int64) << 32 | (found.low[at] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        gone = at[~np.isin(marks, mine)]
-        edges = np.zeros(len(words) + 1, np.int64)
-        np.add.at(edges, gone, 1)
-        np.add.at(edges, gone + s.width, -1)
-        covered = np.cumsum(edges[:-1]) > 0
-        left = [w for w, c in zip(words, covered.tolist(), strict=True) if not c]
-    else:
-        left = words
-    return len(words), (len(left), b" ".join(left).decode())
+def _bytes(texts: pa.Array) -> list[bytes]:
+    return [t or b"" for t in texts.cast(pa.large_binary()).to_pylist()]
+
+
+def _covered(some: Some, firsts: pa.Array, sketch: Sketch, s: Settings) -> np.ndarray:
+    """Whether a word is in a window that also starts earlier; ``firsts``: per text its windows that don't."""
+    at, signature, _ = _signatures(some, s)
+    at = at[sketch.repeated(signature)]
+    edges = np.zeros(len(some.words) + 1, np.int32)
+    if len(at):
+        low = _window_hash(_mix(some.words), at, 2, s) & np.uint64(0xFFFFFFFF)
+        lists = firsts.fill_null([])
+        marks = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        base = np.repeat(some.edges[:-1], pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        known = (base + (marks >> 32)) << 32 | (marks & 0xFFFFFFFF)
+        gone = at[~np.isin(at.astype(np.int64) << 32 | low.astype(np.int64), known)]
+        edges[gone] += 1
+        edges[gone + s.width] -= 1
+    return np.cumsum(edges[:-1]) > 0
 
 
 def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
