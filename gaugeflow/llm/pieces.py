@@ -181,8 +181,11 @@ class Lattice:
         logp = weight + sums[high] - sums[low]
         per = np.bincount(low, minlength=size)
         first = np.cumsum(per) - per
-        total = np.cumsum(np.exp(logp))
-        upto = (total - np.r_[0.0, total][first[low]]).astype(np.float32)
+        upto, turn = np.exp(logp), np.arange(len(low)) - first[low]
+        for k in range(1, int(per.max(initial=0))):  # summed node by node: the same wherever a word stands
+            more = np.flatnonzero(turn == k)
+            upto[more] += upto[more - 1]
+        upto = upto.astype(np.float32)
         upto[(first + per - 1)[per > 0]] = 2.0  # the last edge of each node closes it
         old = len(self.to)
         self.first = np.concatenate([self.first[:-1], old + first, [old + len(low)]])
@@ -336,7 +339,6 @@ def search(texts: list[str], keys: list[int], lat: Lattice, k: int) -> list[list
             sizes = [len(x) for x in nodes]
             which, edges = lat.draw(np.concatenate(nodes), np.concatenate(seeds))
             cut = np.searchsorted(which, np.cumsum([0, *sizes]))
-            total = np.r_[0.0, np.cumsum(lat.logp[edges])]
             retry = []
             for (s, g), a, b in zip(waiting, cut[:-1].tolist(), cut[1:].tolist(), strict=True):
                 word, node, mass, path, top, without = g
@@ -345,7 +347,7 @@ def search(texts: list[str], keys: list[int], lat: Lattice, k: int) -> list[list
                 if mark in without:
                     retry.append((s, g))
                     continue
-                p = float(total[b] - total[a])
+                p = float(lat.logp[rest].sum(dtype=np.float64))
                 s.done.append((path, mass + p if not without else _mass(path, lat) + p, top, rest))
                 if p < -1e-12:
                     left = mass + (math.log(-math.expm1(p)) if p > -30 else 0.0)
@@ -357,7 +359,7 @@ def search(texts: list[str], keys: list[int], lat: Lattice, k: int) -> list[list
 
 
 def _mass(path: list[int], lat: Lattice) -> float:
-    return float(lat.logp[path].sum()) if path else 0.0
+    return float(lat.logp[path].sum(dtype=np.float64)) if path else 0.0
 
 
 def _logaddexp(a: float, b: float) -> float:
