@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -33,7 +34,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
     names = os.environ.get("BENCH_QUERIES", "").split() or HEADLINE
-    spark = session("bench", f"local[{cpus}]", int(cpus) if cpus.isdigit() else 8, spark__driver__memory="16g")
+    partitions = int(cpus) if cpus.isdigit() else 8
+    shared = tempfile.mkdtemp(prefix="bench-")
+    spark = session("bench", f"local[{cpus}]", partitions, spark__driver__memory="16g", spark__checkpoint__dir=shared)
     spark.sparkContext.setLogLevel("ERROR")
 
     def run(name: str) -> float:

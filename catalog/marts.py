@@ -18,7 +18,7 @@ STATS = (
     "max(temperature_celsius) AS max_temp, min(temperature_celsius) AS min_temp, avg(humidity) AS avg_humidity, avg(wind_speed) AS avg_wind_speed "
     "FROM gold GROUP BY 1, 2) AS s JOIN ("
     + mode_sql("gold", "city, observation_date", "weather_main", "most_common_weather")
-    + ") AS m USING (city, observation_date))"
+    + ") AS m ON s.city IS NOT DISTINCT FROM m.city AND s.observation_date IS NOT DISTINCT FROM m.observation_date)"
 )
 
 READINGS = f"""readings AS (
@@ -36,7 +36,10 @@ LAST = (
 
 
 def metrics_sql(source: str) -> str:
-    return f"metrics AS (SELECT * FROM {source} JOIN stats USING (city, observation_date))"
+    return (
+        f"metrics AS (SELECT stats.*, s.* EXCLUDE (city, observation_date) FROM stats LEFT JOIN {source} AS s "
+        "ON stats.city IS NOT DISTINCT FROM s.city AND stats.observation_date IS NOT DISTINCT FROM s.observation_date)"
+    )
 
 
 MART = f"""mart AS (
@@ -123,7 +126,7 @@ GLOBAL_DOUBLES = (
 
 def global_table(spark, d):
     rows = staged(spark, d)
-    return plans.global_mart(plans.key_mart(rows, updated=now()), rows, now())
+    return plans.global_mart(rows, now())
 
 
 @register("global_mart", with_gold("SELECT * FROM global", ALL), GLOBAL_DOUBLES)

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeflow.runtime import written_if_large
 
 
 def latest_per(df: DataFrame, keys: Sequence[str], *newest: str) -> DataFrame:
@@ -126,7 +125,7 @@ def share_of_group(counts: DataFrame, keys: Sequence[str], count: str, name: str
 def join_groups(rows: DataFrame, groups: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join rows to one record per group.
 
-    Unless they are known to be few, the groups are written first, so the plan
-    has their true size: broadcast if small, a skew-aware sort-merge join if not.
+    Adaptive execution broadcasts the groups where they turn out small and
+    splits hot groups of the rows where they don't.
     """
-    return rows.join(written_if_large(groups, "groups"), list(on), how)
+    return rows.join(groups, list(on), how)

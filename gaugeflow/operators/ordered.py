@@ -7,8 +7,10 @@ into *runs*: a range partitioning by (key, order) of even size, written once so
 that every later pass sees the same cut. Each run is worked on by itself, and
 what the runs before it contribute (a count, a sum, a last row) is carried in.
 Since runs follow the order, only the first key of a run can have started in an
-earlier one: the carried table has at most one row per run, which bounds its
-broadcast.
+earlier one: the carried table has at most one row per run.
+
+Both ways give the same rows and the same types: NULL keys are a group, rows of
+equal order are told apart by a hash of the row.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeflow.runtime import MAX_FRAME_ROWS, MAX_GROUP_ROWS, is_small, limit, written
+from gaugeflow.runtime import MAX_FRAME_ROWS, MAX_GROUP_ROWS, limit, written
 
 RUN, TIE = "_run", "_tie"
 
@@ -33,30 +35,34 @@ class Size:
     densest: int = 0  # most rows of a key in one cell of time, where asked for
 
 
-SMALL = Size(0, 0)
-
+SMALL = Size(0, 0)  # for tables known to hold few rows per group
 
-def group_size(df: DataFrame, keys: Sequence[str], exact: bool = False) -> Size:
-    """Rows of the largest group and of the table (one row reaches the driver).
 
-    A table that is small as a whole needs no count, unless ``exact``.
-    """
-    if not exact and is_small(df):
-        return SMALL
+def group_size(df: DataFrame, keys: Sequence[str]) -> Size:
+    """Rows of the largest group and of the table (one row reaches the driver)."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     row = counts.agg(F.coalesce(F.max("n"), F.lit(0)).alias("a"), F.coalesce(F.sum("n"), F.lit(0)).alias("b")).first()
     return Size(int(row["a"]), int(row["b"]))
 
 
-def _cell(time: str, seconds: int) -> Column:
-    at = F.unix_micros(F.col(time).cast("timestamp"))
+def _micros(df: DataFrame, time: str) -> Column:
+    """Microseconds since 1970; times without a zone are taken as they read, whatever the session's zone."""
+    t = F.col(time)
+    if not isinstance(df.schema[time].dataType, T.TimestampNTZType):
+        return F.unix_micros(t.cast("timestamp"))
+    second = (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
+    minutes = (F.unix_date(F.to_date(t)).cast("bigint") * 24 + F.hour(t)) * 60 + F.minute(t)
+    return minutes * 60_000_000 + second
+
+
+def _cell(at: Column, seconds: int) -> Column:
     length = F.lit(int(seconds) * 1_000_000)
     return ((at - F.pmod(at, length)) / length).cast("bigint")
 
 
 def time_size(df: DataFrame, keys: Sequence[str], time: str, seconds: int) -> Size:
     """``group_size`` with the most rows a key has in one cell of ``seconds``."""
-    cells = df.groupBy(*keys, _cell(time, seconds).alias("_cell")).agg(F.count(F.lit(1)).alias("n"))
+    cells = df.groupBy(*keys, _cell(_micros(df, time), seconds).alias("_cell")).agg(F.count(F.lit(1)).alias("n"))
     groups = cells.groupBy(*keys).agg(F.sum("n").alias("n"), F.max("n").alias("d"))
     row = groups.agg(*[F.coalesce(f, F.lit(0)).alias(c) for f, c in ((F.max("n"), "a"), (F.sum("n"), "b"), (F.max("d"), "c"))])
     return Size(*[int(x) for x in row.first()])
@@ -70,6 +76,10 @@ def _window(keys: Sequence[str], order: Sequence[str], descending: bool = False)
     return Window.partitionBy(*keys).orderBy(*_sorted(order, descending))
 
 
+def _hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+
+
 def _fits(df: DataFrame, size: Size) -> bool:
     return size.largest <= limit(df.sparkSession, MAX_GROUP_ROWS)
 
@@ -83,8 +93,7 @@ def pin_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], total: in
     first (``latest_per``).
     """
     runs = max(2, -(-total // limit(df.sparkSession, MAX_GROUP_ROWS)))
-    hashed = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    tied = df.withColumn(TIE, F.xxhash64(*hashed) if split_ties else F.lit(0))
+    tied = df.withColumn(TIE, _hash(df) if split_ties else F.lit(0))
     ranged = tied.repartitionByRange(runs, *[F.col(c) for c in [*keys, *order, TIE]])
     return written(ranged.withColumn(RUN, F.spark_partition_id()), "runs")
 
@@ -115,14 +124,15 @@ def _carry(pinned: DataFrame, keys: Sequence[str], parts: dict, descending: bool
         [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in keys],
         F.col(RUN) == F.col("_c_run"),
     )
-    return pinned.join(F.broadcast(carried), same, "left").drop("_c_run", *[f"_c_{k}" for k in keys])
+    return pinned.join(carried, same, "left").drop("_c_run", *[f"_c_{k}" for k in keys])
 
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, size: Size | None = None) -> DataFrame:
-    """1, 2, 3 .. within each key."""
+    """1, 2, 3 .. within each key; rows of equal order by a hash of the row."""
     size = size or group_size(df, keys)
     if _fits(df, size):
-        return df.withColumn(name, F.row_number().over(_window(keys, order)).cast("bigint"))
+        w = Window.partitionBy(*keys).orderBy(*_sorted(order, False), _hash(df))
+        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     pinned = pin_runs(df, keys, order, size.total)
     carried = _carry(pinned, keys, {"_c_n": (F.count(F.lit(1)), F.sum)})
     local = F.row_number().over(_window([RUN, *keys], [*order, TIE]))
@@ -145,7 +155,8 @@ def neighbour(
     fetched = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items()])
     step = F.lead if ahead else F.lag
     if _fits(df, size):
-        out = df.withColumn("_near", step(fetched, 1).over(_window(keys, order)))
+        w = Window.partitionBy(*keys).orderBy(*_sorted(order, False), _hash(df))
+        out = df.withColumn("_near", step(fetched, 1).over(w))
     else:
         pinned = pin_runs(df, keys, order, size.total).withColumn("_fetch", fetched)
         edge = F.struct(*order, TIE)
@@ -227,7 +238,7 @@ def rolling_rows(
         )
 
     if _fits(df, size):
-        return framed(df, keys, order)
+        return framed(df.withColumn(TIE, _hash(df)), keys, [*order, TIE]).drop(TIE)
     halo = max(n for _, _, n in frames.values()) - 1
     block = max(limit(df.sparkSession, MAX_GROUP_ROWS), halo + 1)
     numbered = row_numbers(df, keys, order, "_n", size).withColumn("_at", F.col("_n") - 1)
@@ -283,13 +294,14 @@ def _rolling_cells(df, keys, time, seconds: int, frames: dict[str, tuple[str, st
     length = int(seconds) * 1_000_000
     rows = df.withColumns(
         {
-            "_pos": F.unix_micros(F.col(time).cast("timestamp")),
-            "_cell": _cell(time, seconds),
+            "_pos": _micros(df, time),
+            "_cell": _cell(_micros(df, time), seconds),
             "_copy": F.lit(False),
         }
     )
     measures = sorted({c for _, c in frames.values()})
-    copies = rows.select(
+    # rows without a time are peers of each other and in no other frame
+    copies = rows.filter(F.col("_pos").isNotNull()).select(
         *keys,
         *[F.col(c) for c in measures if c not in keys],
         (F.col("_pos") + length).alias("_pos"),
@@ -317,10 +329,11 @@ def _rolling_cells(df, keys, time, seconds: int, frames: dict[str, tuple[str, st
     def total(kind: str, c: str) -> Column:
         return _merge(kind, F.col(f"_own_{kind}_{c}"), F.col(f"_bef_{kind}_{c}"))
 
-    result = {
-        n: total("sum", c) / F.nullif(total("count", c), F.lit(0)) if fn == "avg" else total(fn, c)
-        for n, (fn, c) in frames.items()
-    }
+    def typed(fn: str, c: str) -> Column:
+        value = total("sum", c) / F.nullif(total("count", c), F.lit(0)) if fn == "avg" else total(fn, c)
+        return value.cast(df.select(_FRAME[fn](c).alias("v")).schema["v"].dataType)
+
+    result = {n: typed(fn, c) for n, (fn, c) in frames.items()}
     return out.filter(~F.col("_copy")).withColumns(result).select(*df.columns, *frames)
 
 
@@ -359,8 +372,7 @@ def ranks(
     out = tied.withColumn("_rank", F.coalesce("_c_rank", "_rank"))
     if percent_rank:
         if keys:
-            counts = written(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all")), "sizes")
-            out = out.join(counts, list(keys), "left")
+            out = _with_counts(out, df, keys)
         else:
             out = out.withColumn("_all", F.lit(size.total))
         out = out.withColumn(
@@ -371,6 +383,16 @@ def ranks(
     return out.select(*df.columns, *[n for n in (rank, percent_rank) if n in names])
 
 
+def _with_counts(rows: DataFrame, of: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add ``_all``, the rows that ``of`` has for the keys; NULL keys are keys."""
+    counts = of.groupBy(*[F.col(k).alias(f"_s_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_all"))
+    counts = written(counts, "sizes")
+    if not keys:
+        return rows.withColumn("_all", F.lit(counts.first()["_all"]))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
+    return rows.join(counts, same).drop(*[f"_s_{k}" for k in keys])
+
+
 def quantiles(df: DataFrame, keys: Sequence[str], column: str, points: dict[str, float], size: Size | None = None) -> DataFrame:
     """Exact interpolated quantiles per key, one row per key.
 
@@ -379,18 +401,17 @@ def quantiles(df: DataFrame, keys: Sequence[str], column: str, points: dict[str,
     instead and the rows at the wanted places picked.
     """
     present = df.filter(F.col(column).isNotNull()).select(*keys, column)
-    size = size or group_size(present, keys, exact=True)
+    size = size or group_size(present, keys)
     if size.largest * 10 <= limit(df.sparkSession, MAX_GROUP_ROWS):
         return present.groupBy(*keys).agg(
             *[F.percentile(column, F.lit(p)).alias(n) for n, p in points.items()]
         )
     numbered = row_numbers(present, keys, [column], "_n", size)  # splits only groups above the limit
-    counts = written(present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all")), "sizes")
-    placed = numbered.join(counts, list(keys)).withColumn("_at", F.col("_n") - 1)
+    placed = _with_counts(numbered, present, keys).withColumn("_at", F.col("_n") - 1)
     sides = []
     for n, p in points.items():
         place = (F.col("_all") - 1) * F.lit(p)
         low, part = F.floor(place), place - F.floor(place)
         weight = F.when(F.col("_at") == low, 1 - part).when(F.col("_at") == low + 1, part)
-        sides.append(F.sum(F.when(weight > 0, F.col(column) * weight)).alias(n))
+        sides.append(F.sum(F.when(weight > 0, F.col(column).cast("double") * weight)).alias(n))
     return placed.groupBy(*keys).agg(*sides)

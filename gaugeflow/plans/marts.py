@@ -7,16 +7,14 @@ from pyspark.sql import functions as F
 
 from gaugeflow.functions import rules
 from gaugeflow.operators.grouping import (
-    join_groups,
     latest_per,
     most_common,
     share_of_group,
     summarise,
     value_counts,
 )
-from gaugeflow.operators.ordered import SMALL, Size, group_size, neighbour, ranks, rolling_rows
+from gaugeflow.operators.ordered import group_size, neighbour, rolling_rows, running
 from gaugeflow.plans.gold import with_date
-from gaugeflow.runtime import is_small, written
 from gaugeflow.spec import ROLES, Roles
 
 RANK_DIGITS = 9
@@ -67,32 +65,65 @@ def key_metrics(staged: DataFrame, grain: str = "reading", r: Roles = ROLES) ->
         readings = latest_per(readings, [r.key, "observation_date"], r.time)
     elif grain != "reading":
         raise ValueError(f"grain must be 'reading' or 'day', not {grain!r}")
-    return join_groups(readings, daily_stats(staged, r), [r.key, "observation_date"])
+    return _by_day(daily_stats(staged, r), readings, r)
+
+
+def _by_day(days: DataFrame, readings: DataFrame, r: Roles) -> DataFrame:
+    """Every day with its readings; a NULL key or date is one like others."""
+    on = [r.key, "observation_date"]
+    there = readings.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in readings.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on]
+    return days.join(there, same, "left").drop(*[f"_r_{c}" for c in on])
+
+
+def _places(days: DataFrame, keys: list[str], weight: Column, name: str) -> DataFrame:
+    """Per value of ``_by`` within ``keys``: the rows up to it (``upto``, NULL first), at it and in all."""
+    values = days.groupBy(*keys, "_by").agg(F.sum(weight).cast("bigint").alias("n"))
+    upto = running(values, keys, ["_by"], {"upto": ("sum", F.col("n"))})
+    whole = values.groupBy(*[F.col(k).alias(f"_w_{k}") for k in keys]).agg(F.sum("n").alias("whole"))
+    same = [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys] or [F.lit(0) * F.col("n") == F.lit(0) * F.col("whole")]
+    placed = upto.join(whole, same)
+    return placed.select(
+        *[F.col(k).alias(f"_{name}_{k}") for k in [*keys, "_by"]],
+        (F.col("whole") - F.col("upto") + 1).cast("bigint").alias(f"{name}_rank"),
+        F.when(F.col("whole") > 1, (F.col("upto") - F.col("n")) / (F.col("whole") - 1)).otherwise(0.0).alias(f"{name}_percent"),
+    )
+
+
+def ranked_days(days: DataFrame, weight: Column) -> DataFrame:
+    """Days with the ranks of their average temperature among all readings, of which a day has ``weight``.
+
+    A day's average is the same for all its readings, so values of days are
+    ordered, not readings. Sums of doubles depend on their order, so equal averages
+    are made equal before they are ranked.
+    """
+    days = days.withColumn("_by", F.round("avg_temp", RANK_DIGITS))
+    out = days
+    for keys, name in (([], "g"), (["observation_date"], "d")):
+        places = _places(days, keys, weight, name)
+        same = [F.col(k).eqNullSafe(F.col(f"_{name}_{k}")) for k in [*keys, "_by"]]
+        out = out.join(places, same, "left").drop(*[f"_{name}_{k}" for k in [*keys, "_by"]])
+    named = {"g_rank": "temp_rank_global", "d_rank": "temp_rank_daily", "g_percent": "temp_percentile"}
+    return out.withColumnsRenamed(named).drop("_by", "d_percent")
 
 
 def key_mart(staged: DataFrame, grain: str = "reading", updated: Column | None = None, r: Roles = ROLES) -> DataFrame:
     """Key metrics with deviation, day alert and temperature ranks."""
-    derived = key_metrics(staged, grain, r).withColumns(
+    readings = classified_readings(staged, r)
+    if grain == "day":
+        readings = latest_per(readings, [r.key, "observation_date"], r.time)
+    elif grain != "reading":
+        raise ValueError(f"grain must be 'reading' or 'day', not {grain!r}")
+    days = ranked_days(daily_stats(staged, r), F.col("hourly_readings") if grain == "reading" else F.lit(1))
+    return _by_day(days, readings, r).withColumns(
         {
             "temp_vs_7d_avg": F.col("avg_temp") - F.col("rolling_7d_avg_temp"),
             "weather_alert": rules.day_alert(
                 F.col("avg_temp"), F.col("avg_humidity"), F.col("avg_wind_speed"), F.col("most_common_weather")
             ),
+            "last_updated": updated if updated is not None else F.current_timestamp(),
         }
     )
-    # Sums of doubles depend on their order, so equal averages are made equal
-    # before they are ranked.
-    derived = derived.withColumn("_by", F.round("avg_temp", RANK_DIGITS))
-    if is_small(staged):
-        per_date = whole = SMALL  # one row per reading at most
-    else:
-        derived = written(derived, "mart")
-        per_date = group_size(derived, ["observation_date"])
-        whole = Size(per_date.total, per_date.total)
-    ranked = ranks(derived, [], "_by", rank="temp_rank_global", descending=True, size=whole)
-    ranked = ranks(ranked, ["observation_date"], "_by", rank="temp_rank_daily", descending=True, size=per_date)
-    ranked = ranks(ranked, [], "_by", percent_rank="temp_percentile", size=whole)
-    return ranked.drop("_by").withColumn("last_updated", updated if updated is not None else F.current_timestamp())
 
 
 def category_json(staged: DataFrame, r: Roles = ROLES) -> DataFrame:
@@ -109,16 +140,15 @@ def category_json(staged: DataFrame, r: Roles = ROLES) -> DataFrame:
     )
 
 
-def global_mart(mart: DataFrame, staged: DataFrame, updated: Column | None = None, r: Roles = ROLES) -> DataFrame:
+def global_mart(staged: DataFrame, updated: Column | None = None, r: Roles = ROLES) -> DataFrame:
     """One row per date over all keys: averages, extremes, common weather, distribution.
 
-    The mart repeats a day for each reading, and averages weigh days so. Equal
-    rows are counted first, then grouped by (date, category), then by date.
+    The key mart repeats a day for each reading, and averages weigh days so: days
+    with their numbers of readings say the same. They are grouped by (date,
+    category), then by date.
     """
     day = "observation_date"
-    days = mart.groupBy(day, r.key, "avg_temp", "avg_humidity", "avg_wind_speed", "most_common_weather").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    days = daily_stats(staged, r).withColumnRenamed("hourly_readings", "n")
 
     def weighed(c: str) -> list[Column]:
         return [
@@ -158,8 +188,10 @@ def global_mart(mart: DataFrame, staged: DataFrame, updated: Column | None = Non
         F.min("wet")["k"].alias("highest_humidity_city"),
         (-F.min("wet")["o"]).alias("highest_humidity_value"),
     )
+    shares = category_json(staged, r).withColumnRenamed(day, "_s_date")
     return (
-        per_day.join(category_json(staged, r), day, "left")
+        per_day.join(shares, F.col(day).eqNullSafe(F.col("_s_date")), "left")
+        .drop("_s_date")
         .withColumn("last_updated", updated if updated is not None else F.current_timestamp())
         .orderBy(F.desc(day))
     )

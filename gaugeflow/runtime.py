@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +15,7 @@ MAX_GROUP_ROWS = ("spark.gaugeflow.maxGroupRows", 2_000_000)
 MAX_FRAME_ROWS = ("spark.gaugeflow.maxFrameRows", 500)
 # Up to this many touched partitions are named in a scan filter.
 MAX_NAMED_PARTITIONS = ("spark.gaugeflow.maxNamedPartitions", 10_000)
-# A table estimated below this holds no group worth splitting.
-SMALL_TABLE_BYTES = ("spark.gaugeflow.smallTableBytes", 32 * 1024 * 1024)
-
-_local_scratch: dict[str, str] = {}
+_scratch: dict[str, str] = {}
 
 
 def session(app: str = "gaugeflow", master: str | None = None, partitions: int | None = None, **conf) -> SparkSession:
@@ -47,38 +45,32 @@ def limit(spark: SparkSession, setting: tuple[str, int]) -> int:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``.
+    """The session's folder for intermediate tables, which all executors share.
 
-    A machine-local folder is used only in local mode, where driver and
-    executors are one process.
+    It stands in the folder of ``spark.checkpoint.dir``; without that setting, in
+    the warehouse. It is deleted when the program ends.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.conf.get("spark.app.id", "local")
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return _local_scratch[app]
+    if app not in _scratch:
+        shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+        _scratch[app] = f"{shared.rstrip('/')}/gaugeflow-{app}-{uuid.uuid4().hex[:8]}"
+        atexit.register(_clear, spark, _scratch[app])
+    return _scratch[app]
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_dir(spark)}/gaugeflow/{label}-{uuid.uuid4().hex}"
+def _clear(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone; the folder then is left to expire
+        delete(spark, path)
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether the optimizer's estimate of the size, from file sizes, is small.
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it exists."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
-    Costs no job. Products of joins are overestimated, so a doubtful table
-    counts as large; so does every table of a remote session, which has no
-    estimate at hand.
-    """
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
-        return False
-    size = plan.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit(df.sparkSession, SMALL_TABLE_BYTES)
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str = "table") -> DataFrame:
@@ -93,8 +85,3 @@ def written(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def written_if_large(df: DataFrame, label: str = "table") -> DataFrame:
-    """``written``, unless the estimate already shows the table is small."""
-    return df if is_small(df) else written(df, label)

@@ -10,10 +10,11 @@ SF_DIR = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from gaugeflow.runtime import session
 
-    s = session("tests", "local[8]", 4, spark__driver__memory="8g")
+    shared = str(tmp_path_factory.mktemp("shared"))
+    s = session("tests", "local[8]", 4, spark__driver__memory="8g", spark__checkpoint__dir=shared)
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
@@ -22,7 +23,7 @@ def spark():
 @pytest.fixture()
 def tiny_groups(spark):
     """Settings under which every group of more than a few rows is split."""
-    names = {"spark.gaugeflow.maxGroupRows": "25", "spark.gaugeflow.maxFrameRows": "5", "spark.gaugeflow.smallTableBytes": "0"}
+    names = {"spark.gaugeflow.maxGroupRows": "25", "spark.gaugeflow.maxFrameRows": "5"}
     for k, v in names.items():
         spark.conf.set(k, v)
     yield

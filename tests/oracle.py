@@ -9,6 +9,7 @@ import glob
 import math
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -74,7 +75,7 @@ def main(names: list[str]) -> int:
 
     sf_dir = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     conf = dict(kv.split("=", 1) for kv in os.environ.get("SPARK_CONF", "").split() if kv)
-    spark = session("oracle", "local[8]", 8, **{"spark__driver__memory": "12g"})
+    spark = session("oracle", "local[8]", 8, spark__driver__memory="12g", spark__checkpoint__dir=tempfile.mkdtemp())
     spark.sparkContext.setLogLevel("ERROR")
     for k, v in conf.items():
         spark.conf.set(k, v)

@@ -154,7 +154,7 @@ def test_marts(hourly):
     by_reading, by_day = marts.key_mart(staged), marts.key_mart(staged, "day")
     assert (by_reading.count(), by_day.count()) == (192, 8)
     assert rows(by_day.filter("city = 'Dubai'"), "temp_rank_global", "temp_rank_daily", "temp_percentile") == [(1, 1, 1.0)]
-    line = marts.global_mart(by_reading, staged).first()
+    line = marts.global_mart(staged).first()
     assert (line["active_cities"], line["hottest_city"], line["coldest_city"]) == (8, "Dubai", "London")
     assert line["weather_distribution"].startswith('[{"weather":"Clear","count":48,"percentage":25.0}')
 
