@@ -35,7 +35,6 @@ from bisect import insort
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -46,7 +45,7 @@ from gaugeflow.llm.common import name, type_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-FAR = -4.0
+FAR = -3.0
 NEAR_END = 8  # with fewer words left, a node's children are always drawn one by one
 END = "\x00"
 BATCH_CHARS = 4 << 20
@@ -98,10 +97,23 @@ def _unit(pieces: dict[str, int]) -> str:
 
 def decode_ids(ids, table: list[bytes]) -> str:
     """The text of a segmentation; the blank put before the text goes."""
-    text = b"".join([table[i] for i in ids]).decode("utf-8", "replace")
+    text = b"".join(map(table.__getitem__, ids)).decode("utf-8", "replace")
     return text[1:] if text.startswith(" ") else text
 
 
+class Starts(dict):
+    """The first node of each word; a word that isn't laid out yet gets -1, -2 .. and is noted."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        self[word] = -len(self.new)
+        return -len(self.new)
+
+
 class Lattice:
     """The lattices of words, laid out one behind the other in arrays that grow.
 
@@ -111,10 +123,18 @@ class Lattice:
     """
 
     def __init__(self, v: Vocabulary, alpha: float) -> None:
-        self.v, self.found = v, ahocorasick.Automaton()
-        for text, i in v.pieces.items():
-            self.found.add_word(text, i << 8 | len(text))
-        self.found.make_automaton()
+        self.v = v
+        # beginnings of pieces by hash: the piece that is one, else -1
+        begun = {t[:n]: -1 for t in v.pieces for n in range(1, len(t) + 1)} | v.pieces
+        texts = list(begun)
+        keys = np.zeros(len(texts), np.uint64)
+        for n in range(max(map(len, texts))):
+            own = np.array([i for i, t in enumerate(texts) if len(t) > n], np.int64)
+            keys[own] = _longer(keys[own], np.array([ord(texts[i][n]) for i in own.tolist()], np.uint64))
+        by = np.argsort(keys)
+        self.begun, self.piece = keys[by], np.fromiter(begun.values(), np.int64, len(texts))[by]
+        self.maybe = np.zeros(1 << 22, bool)
+        self.maybe[self.begun >> np.uint64(42)] = True
         self.weight = np.zeros(len(v.table))
         for i, n in v.rank.items():
             self.weight[i] = -alpha * math.log(n + 2.7)
@@ -123,8 +143,9 @@ class Lattice:
         self.clear()
 
     def clear(self) -> None:
-        self.start: dict[str, int] = {}
+        self.start = Starts()
         self.nodes = 0
+        self.final = np.empty(0, bool)  # nodes at which a word ends
         self.first = np.zeros(1, np.int64)  # first edge of a node; one more at the end
         self.to = np.empty(0, np.int32)
         self.upto = np.empty(0, np.float32)
@@ -133,21 +154,25 @@ class Lattice:
         self.n = np.empty(0, np.int32)
         self.ids = np.empty(0, np.int32)
 
-    def add(self, words: list[str]) -> None:
-        """Lay out the words that aren't there yet."""
-        new = [w for w in words if w not in self.start]
-        if not new:
-            return
+    def starts(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """The first node of each word of each text; lays out the words that aren't there yet."""
+        found = [np.fromiter(map(self.start.__getitem__, words), np.int64, len(words)) for words in texts]
+        if new := self.start.new:
+            self.start.new = []
+            placed = self._lay(new)
+            for x in found:
+                fresh = x < 0
+                x[fresh] = placed[-1 - x[fresh]]
+        return found
+
+    def _lay(self, new: list[str]) -> np.ndarray:
         text = END.join(new) + END
         lengths = np.array([len(w) for w in new], np.int64)
         offsets = np.concatenate([[0], np.cumsum(lengths[:-1] + 1)])
         base = self.nodes
-        for w, o in zip(new, offsets.tolist(), strict=True):
-            self.start[w] = base + o
+        self.start.update(zip(new, (base + offsets).tolist(), strict=True))
         size = len(text)
-        got = np.fromiter((e << 24 | x for e, x in self.found.iter(text)), np.int64)
-        high = (got >> 24) + 1
-        low, piece = high - (got & 255), (got >> 8) & 0xFFFF
+        low, high, piece = self._matches(text)
         weight = self.weight[piece]
         # characters without a piece of their own are written as bytes
         lone = np.ones(size, bool)
@@ -195,15 +220,35 @@ class Lattice:
         self.at = np.concatenate([self.at, (len(self.ids) + at).astype(np.int32)])
         self.n = np.concatenate([self.n, n.astype(np.int32)])
         self.ids = np.concatenate([self.ids, ids])
+        last = np.zeros(size, bool)
+        last[ends] = True
+        self.final = np.concatenate([self.final, last])
         self.nodes += size
-
-    def ended(self, node: np.ndarray) -> np.ndarray:
-        return self.first[node] == self.first[node + 1]
+        return base + offsets
+
+    def _matches(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All places of pieces: (from, to, id). All starts are lengthened together while a piece begins so."""
+        chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        at, key, n, out = np.arange(len(chars)), np.zeros(len(chars), np.uint64), 0, []
+        while len(at):
+            key = _longer(key, chars[at + n])
+            n += 1
+            on = np.flatnonzero(self.maybe[key >> np.uint64(42)])
+            at, key = at[on], key[on]
+            place = np.minimum(np.searchsorted(self.begun, key), len(self.begun) - 1)
+            on = np.flatnonzero(self.begun[place] == key)
+            at, key, piece = at[on], key[on], self.piece[place[on]]
+            whole = np.flatnonzero(piece >= 0)
+            out.append((at[whole], at[whole] + n, piece[whole]))
+            more = np.flatnonzero(at + n < len(chars))
+            at, key = at[more], key[more]
+        low, high, piece = (np.concatenate(x) for x in zip(*out, strict=True))
+        return low, high, piece
 
     def draw(self, node: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A path from each node to the end of its word: (which word, edge) in order of the words."""
         at, which, edges = node.copy(), [], []
-        live = np.flatnonzero(~self.ended(at))
+        live = np.flatnonzero(~self.final[at])
         at, seed = at[live], seed[live]
         turn = 0
         while len(live):
@@ -217,7 +262,7 @@ class Lattice:
             which.append(live)
             edges.append(e)
             at = self.to[e]
-            stay = np.flatnonzero(~self.ended(at))
+            stay = np.flatnonzero(~self.final[at])
             live, at, seed = live[stay], at[stay], seed[stay]
         if not edges:
             return np.empty(0, np.int64), np.empty(0, np.int64)
@@ -240,6 +285,12 @@ class Lattice:
         return self.ids[flat], n
 
 
+def _longer(key: np.ndarray, char: np.ndarray) -> np.ndarray:
+    """The hash of a text with one more character."""
+    x = (key + char + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
+
+
 def _uniform(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -312,7 +363,7 @@ def _descend(s: Search, lat: Lattice) -> tuple | None:
 
 
 def _next(s: Search, lat: Lattice, word: int, node: int) -> tuple[int, int]:
-    if lat.first[node] != lat.first[node + 1]:
+    if not lat.final[node]:
         return word, node
     return word + 1, int(s.starts[word + 1]) if word + 1 < len(s.starts) else -1
 
@@ -320,12 +371,11 @@ def _next(s: Search, lat: Lattice, word: int, node: int) -> tuple[int, int]:
 def search(texts: list[str], keys: list[int], lat: Lattice, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """Per text its samples, best first: (ids, log-probability, perturbed value, log inclusion score)."""
     split = [lat.unit.findall(" " + t) if t else [] for t in texts]
-    lat.add(list({w for words in split for w in words}))
     states = []
-    for words, key in zip(split, keys, strict=True):
-        s = Search(np.fromiter(map(lat.start.__getitem__, words), np.int64, len(words)), random.Random(key), key, k)
-        if words:
-            s.push(_gumbel(s.rng, 0.0), 0, int(s.starts[0]), 0.0, [], ())
+    for starts, key in zip(lat.starts(split), keys, strict=True):
+        s = Search(starts, random.Random(key), key, k)
+        if len(starts):
+            s.push(_gumbel(s.rng, 0.0), 0, int(starts[0]), 0.0, [], ())
         states.append(s)
     for _ in range(k):
         waiting = [(s, got) for s in states if s.agenda and len(s.done) < k and (got := _descend(s, lat)) is not None]
@@ -355,7 +405,13 @@ def search(texts: list[str], keys: list[int], lat: Lattice, k: int) -> list[list
                     bound = -_logaddexp(-top, -g_left)
                     s.push(bound, word, node, left, path, (*without, mark))
             waiting, again = retry, again + 1
-    return [_finish(s, lat) for s in states]
+    # ids of all samples at once
+    done = [x for s in states for x in s.done]
+    edges = [np.array(path, np.int64) if rest is None else np.concatenate([np.array(path, np.int64), rest]) for path, _, _, rest in done]
+    ids, n = lat.spelled(np.concatenate([np.empty(0, np.int64), *edges]))
+    ends = np.r_[0, np.cumsum(n)][np.cumsum([0, *map(len, edges)])].tolist()
+    spelled = iter([ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)])
+    return [_finish(s, spelled) for s in states]
 
 
 def _mass(path: list[int], lat: Lattice) -> float:
@@ -367,14 +423,13 @@ def _logaddexp(a: float, b: float) -> float:
     return m + math.log1p(math.exp(-abs(a - b)))
 
 
-def _finish(s: Search, lat: Lattice) -> list[tuple[np.ndarray, float, float, float]]:
+def _finish(s: Search, spelled: Iterator[np.ndarray]) -> list[tuple[np.ndarray, float, float, float]]:
     threshold = -s.agenda[0][0] if s.agenda else -math.inf
     out = []
-    for path, p, top, rest in s.done:
-        edges = np.array(path, np.int64) if rest is None else np.concatenate([np.array(path, np.int64), rest])
+    for _, p, top, _ in s.done:
         over = p - threshold
         inclusion = 0.0 if over > 36 else over if over < -36 else math.log(-math.expm1(-math.exp(over)))
-        out.append((lat.spelled(edges)[0], p, top, min(inclusion, 0.0)))
+        out.append((next(spelled), p, top, min(inclusion, 0.0)))
     if not len(s.starts):
         out.append((np.empty(0, np.int32), 0.0, 0.0, 0.0))
     return out
