@@ -23,6 +23,7 @@ from gaugeflow.plans import metrics
 from gaugeflow.runtime import scratch_path
 from gaugeflow.sources import raw as raw_source
 from gaugeflow.sources import storage
+from gaugeflow.sources.schemas import TABLES
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 
@@ -147,7 +148,7 @@ def create_tables(spark, d):
     storage.create_table(spark, "silver", path)
     rows = silver(spark, d).withColumn("observation_time", F.col("observation_time").cast("timestamp"))
     rows = rows.withColumn("processed_time", F.col("processed_time").cast("timestamp"))
-    storage.append(rows.select(*storage.create_table(spark, "silver", path).columns), path)
+    storage.append(rows.select(*storage.create_table(spark, "silver", path).columns), path, TABLES["silver"].partition_by)
     kept = storage.create_table(spark, "silver", path)
     return kept.select(
         "city", F.col("observation_time").cast("timestamp_ntz").alias("observation_time"), "temperature_celsius", "is_valid"
@@ -180,8 +181,9 @@ def dataset_profile(spark, d):
 )
 def retention_applied(spark, d):
     path = scratch_path(spark, "raw")
-    storage.append(raw(spark, d).select("ingestion_id", "ingestion_time", "source_city"), path)
-    storage.apply_retention(spark, path, "ingestion_time", 10, AS_OF)
+    day = F.to_date("ingestion_time").alias("loaded")
+    storage.append(raw(spark, d).select("ingestion_id", "ingestion_time", "source_city", day), path, ["loaded"])
+    storage.apply_retention(spark, path, "ingestion_time", 10, AS_OF, ["loaded"])
     return spark.read.parquet(path).select("ingestion_id", "source_city")
 
 
@@ -253,6 +255,21 @@ def file_points(t: str) -> str:
     )
 
 
+@register("upsert_replay", with_raw("SELECT ingestion_id, source_city AS city, CASE WHEN ingestion_id LIKE '%7-0' THEN NULL ELSE observation_time END AS observation_time FROM raw WHERE ingestion_id LIKE '%-0'"))
+def upsert_replay(spark, d):
+    """The same load three times, some readings without a time: it counts once."""
+    path = scratch_path(spark, "replay")
+    flat = raw_source.flatten(raw(spark, d), "timestamp_ntz").filter(F.col("ingestion_id").endswith("-0"))
+    time = F.when(~F.col("ingestion_id").endswith("7-0"), F.col("observation_time"))
+    rows = flat.select("ingestion_id", F.col("source_city").alias("city"), time.alias("observation_time"))
+    for _ in range(3):
+        storage.upsert(
+            rows, path, ["city", "observation_time"], ["observation_date"], ["ingestion_id"],
+            derived={"observation_date": F.to_date("observation_time")},
+        )
+    return spark.read.parquet(path).drop("observation_date")
+
+
 @register("table_metrics", f"{file_points('events')} UNION ALL {file_points('orders')}")
 def table_metrics(spark, d):
     """Files and rows of two tables as metric points; bytes are left out of the comparison."""

@@ -24,9 +24,8 @@ def stream_raw_to_silver(spark, d):
         scratch_path(spark, "stream-state"),
         now(),
         "timestamp_ntz",
-        (),
     ).awaitTermination()
-    return spark.read.parquet(path).drop("ingestion_time")
+    return spark.read.parquet(path).drop("ingestion_time", "observation_date")
 
 
 @register(

@@ -207,7 +207,9 @@ def running(
         w = _window(keys, order)
         return df.withColumns({n: _PART[kind](value).over(w) for n, (kind, value) in parts.items()})
     pinned = pin_runs(df, keys, order, size.total, split_ties=False)
-    return _scan(pinned, keys, order, parts, False).drop(RUN, TIE)
+    kinds = df.select(*[_PART[kind](value).alias(n) for n, (kind, value) in parts.items()]).schema
+    out = _scan(pinned, keys, order, parts, False).drop(RUN, TIE)
+    return out.withColumns({n: F.col(n).cast(kinds[n].dataType) for n in parts})
 
 
 # ---------------------------------------------------------------- rolling frames
@@ -284,10 +286,11 @@ def rolling_range(
                 for n, (fn, c, s) in frames.items()
             }
         )
+    out = df
     for seconds in sorted({s for _, _, s in frames.values()}):
         of_length = {n: (fn, c) for n, (fn, c, s) in frames.items() if s == seconds}
-        df = _rolling_cells(df, keys, time, seconds, of_length)
-    return df
+        out = _rolling_cells(out, keys, time, seconds, of_length)
+    return out.select(*df.columns, *frames)
 
 
 def _rolling_cells(df, keys, time, seconds: int, frames: dict[str, tuple[str, str]]) -> DataFrame:

@@ -13,8 +13,6 @@ MAX_GROUP_ROWS = ("spark.gaugeflow.maxGroupRows", 2_000_000)
 # Sliding time frames are re-evaluated per row; where a key has more rows than
 # this in the length of a frame, a linear method takes over.
 MAX_FRAME_ROWS = ("spark.gaugeflow.maxFrameRows", 500)
-# Up to this many touched partitions are named in a scan filter.
-MAX_NAMED_PARTITIONS = ("spark.gaugeflow.maxNamedPartitions", 10_000)
 _scratch: dict[str, str] = {}
 
 

@@ -1,34 +1,96 @@
 """Writing and maintaining partitioned parquet tables.
 
-Parquet has no MERGE. Upserts rewrite the partitions that the source touches:
-their merged content is written to the shared folder first and then replaces
-them by a dynamic partition overwrite, so nothing reads what it overwrites.
+Parquet has no MERGE, and overwriting a folder in place loses it if the job dies.
+So whatever replaces data is first written whole beside the table, in a folder
+``<table>.next`` that a marker file names complete. Only then is it put in place:
+an unpartitioned table by a rename, touched partitions by a dynamic overwrite,
+which can be repeated. Whoever reads or writes the table next finishes a
+replacement that was complete and drops one that wasn't.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeflow.operators.grouping import latest_per
-from gaugeflow.runtime import MAX_NAMED_PARTITIONS, limit, written
+from gaugeflow.runtime import delete, written
 from gaugeflow.sources.schemas import TABLES
 
+DONE = "_SUCCESS"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(old).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.rename(path(old), path(new)):
+        raise OSError(f"could not rename {old} to {new}")
+
+
+def _next(path: str, partition_by: Sequence[str]) -> str:
+    """Where the next content stands; partition columns are part of the name, for whoever finishes the job."""
+    return f"{path.rstrip('/')}.next" + "".join(f"+{c}" for c in partition_by)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish or drop a replacement that was begun and not ended."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.globStatus(at.suffix(".next*")) or []:
+        staged = status.getPath().toString()
+        if _exists(spark, f"{staged}/{DONE}"):
+            _put(spark, staged, path)
+        else:
+            delete(spark, staged)
+
+
+def _put(spark: SparkSession, staged: str, path: str) -> None:
+    """Put complete content in place; may be repeated after a failure at any point."""
+    columns = staged.rsplit(".next", 1)[1].split("+")[1:]
+    if columns:
+        # content is staged without partition folders, so the columns have kept their types
+        _save(spark.read.parquet(staged), path, "overwrite", columns, dynamic=True)
+        delete(spark, staged)
+    else:
+        delete(spark, path)
+        _rename(spark, staged, path)
+
+
+def _replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), whole: bool = True) -> None:
+    """Replace the table, or (not ``whole``) its partitions that ``df`` has rows for. ``df`` may read the table."""
+    spark = df.sparkSession
+    if whole and partition_by:
+        staged = _next(path, ())
+        _save(df, staged, "overwrite", partition_by)
+    else:
+        staged = _next(path, partition_by)
+        df.write.mode("overwrite").parquet(staged)
+    _put(spark, staged, path)
+
 
 def read_if_present(spark: SparkSession, path: str, schema=None, merge: bool = True) -> DataFrame | None:
     """The table at ``path``, None if there is none.
 
     With ``merge`` it has the columns of all its files, which costs a job over
-    their footers; a known ``schema`` saves that.
+    their footers; a known ``schema`` saves that. A folder without any file is an
+    error unless the schema is known: it may be a table that was lost.
     """
+    recover(spark, path)
     reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", str(merge).lower())
     try:
         return reader.parquet(path)
     except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
@@ -44,21 +106,22 @@ def _save(df: DataFrame, path: str, mode: str, partition_by: Sequence[str] = (),
 def create_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     """An empty table of a known schema, unless it exists; then the table."""
     layout = TABLES[name]
-    existing = read_if_present(spark, path)
+    existing = read_if_present(spark, path, layout.schema)
     if existing is None:
-        spark.createDataFrame([], layout.schema).write.parquet(path)
+        _save(spark.createDataFrame([], layout.schema), path, "errorifexists", layout.partition_by)
         existing = spark.read.schema(layout.schema).parquet(path)
     return existing
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Add rows; new columns widen the table."""
+    recover(df.sparkSession, path)
     _save(df, path, "append", partition_by)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace the table. The input may read the table: it is written aside first."""
-    _save(written(df, "overwrite"), path, "overwrite", partition_by)
+    """Replace the table. The input may read the table."""
+    _replace(df, path, partition_by)
 
 
 def insert_new(source: DataFrame, path: str, key: str, partition_by: Sequence[str] = ()) -> None:
@@ -83,61 +146,70 @@ def upsert(
     partition_by: Sequence[str] = (),
     newest: Sequence[str] = (),
     schema=None,
+    derived: Mapping[str, Column] | None = None,
 ) -> None:
     """Replace rows of equal key, add the others.
 
     With ``newest``, of two rows of a key the one greater by these columns
     stays, whichever side it comes from; otherwise the source wins. The source
-    must not hold a key twice. Rows with a NULL key match nothing. ``schema`` is
+    must not hold a complete key twice. A row with a NULL in its key replaces
+    nothing and is kept once, so a repeated load changes nothing. ``schema`` is
     that of the table, if known; otherwise the columns of its files are merged.
+
+    Only partitions that the source touches are read and written. Partition
+    columns must be part of the key or, as ``derived``, functions of it (the date of
+    its time): both sides of a match then stand in the same partition.
     """
-    if not set(partition_by) <= set(keys):
-        raise ValueError("partition columns must be part of the key")
+    derived = dict(derived or {})
+    if not set(partition_by) <= set(keys) | set(derived):
+        raise ValueError("partition columns must be part of the key or derived from it")
     spark = source.sparkSession
-    source = written(source, "source")
-    if source.groupBy(*keys).count().filter("count > 1").limit(1).count():
+    source = written(source.withColumns(derived) if derived else source, "source")
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    if source.filter(complete).groupBy(*keys).count().filter("count > 1").limit(1).count():
         raise ValueError(f"source holds several rows for the same {list(keys)}")
     target = read_if_present(spark, path, schema)
     if target is None:
-        _save(source, path, "overwrite", partition_by)
+        _replace(_once(source, complete), path, partition_by)
         return
     if partition_by:
         target = _touched(target, source, partition_by)
     if newest:
         both = target.unionByName(source, allowMissingColumns=True)
-        complete = F.lit(True)
-        for k in keys:
-            complete = complete & F.col(k).isNotNull()
         merged = latest_per(both.filter(complete), keys, *newest).unionByName(both.filter(~complete))
     else:
-        kept = target.join(source.select(*keys), list(keys), "left_anti")
+        kept = target.join(source.filter(complete).select(*keys), list(keys), "left_anti")
         merged = kept.unionByName(source, allowMissingColumns=True)
-    _save(written(merged, "merged"), path, "overwrite", partition_by, dynamic=bool(partition_by))
+    _replace(_once(merged, complete), path, partition_by, whole=not partition_by)
+
+
+def _once(rows: DataFrame, complete: Column) -> DataFrame:
+    """Rows without a complete key once each; they are told apart by all columns that can be compared."""
+    columns = [f.name for f in rows.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return rows.filter(complete).unionByName(rows.filter(~complete).dropDuplicates(columns))
 
 
 def _touched(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of the target in partitions that the source has rows for.
 
-    The semi join selects them. Naming the values of the partition columns, if
-    they are not too many, lets the scan leave out all other folders; there are
-    no more of them than folders, which the driver lists anyway.
+    A semi join selects them. The scan leaves out folders beyond the smallest and
+    the greatest value of each column in the source, whatever their number: one row
+    tells them.
     """
-    touched = source.select(*partition_by).distinct()
-    most = limit(source.sparkSession, MAX_NAMED_PARTITIONS)
-    found = touched.limit(most + 1).collect()
-    if len(found) <= most:
-        for p in partition_by:
-            values = {r[p] for r in found}
-            named = F.col(p).isin(*[F.lit(v).cast(source.schema[p].dataType) for v in values if v is not None])
-            target = target.filter(named | F.col(p).isNull() if None in values else named)
-    same = F.lit(True)
-    seen = touched.select(*[F.col(p).alias(f"_t_{p}") for p in partition_by])
-    for p in partition_by:
-        same = same & F.col(p).eqNullSafe(F.col(f"_t_{p}"))
-    return target.join(seen, same, "left_semi")
-
-
-def write_gold(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+    names = [F.col(p) for p in partition_by]
+    spans = source.agg(*[f(p).alias(f"{n}{i}") for i, p in enumerate(names) for f, n in ((F.min, "lo"), (F.max, "hi"))],
+                       *[F.count(F.when(p.isNull(), 1)).alias(f"no{i}") for i, p in enumerate(names)]).first()
+    for i, p in enumerate(partition_by):
+        kind = source.schema[p].dataType
+        within = F.col(p).between(F.lit(spans[f"lo{i}"]).cast(kind), F.lit(spans[f"hi{i}"]).cast(kind))
+        target = target.filter(within | F.col(p).isNull() if spans[f"no{i}"] else within)
+    seen = source.select(*[F.col(p).alias(f"_t_{p}") for p in partition_by]).distinct()
+    return target.join(seen, [F.col(p).eqNullSafe(F.col(f"_t_{p}")) for p in partition_by], "left_semi")
+
+
+def write_gold(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), derived: Mapping[str, Column] | None = None
+) -> str:
     """Upsert by (city, date) or (city, time), whichever the table has; append otherwise.
 
     An empty input writes nothing. Returns what was done.
@@ -146,7 +218,7 @@ def write_gold(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> st
         return "skipped"
     for keys in (["city", "observation_date"], ["city", "observation_time"]):
         if set(keys) <= set(df.columns):
-            upsert(df, path, keys, partition_by)
+            upsert(df, path, keys, partition_by, derived=derived)
             return "upserted on " + ", ".join(keys)
     append(df, path, partition_by)
     return "appended"
@@ -199,10 +271,34 @@ def dataset_profile(df: DataFrame) -> DataFrame:
 
 
 def apply_retention(spark: SparkSession, path: str, column: str, days: int, as_of, partition_by: Sequence[str] = ()) -> None:
-    """Keep only the last ``days`` days of a table."""
+    """Keep only the last ``days`` days of a table.
+
+    Where the table is partitioned, folders without a row to drop stay as they are.
+    """
     from gaugeflow.sources.raw import retained
 
-    overwrite(retained(spark.read.parquet(path), days, as_of, column), path, partition_by)
+    recover(spark, path)
+    table = spark.read.parquet(path)
+    kept = retained(table, days, as_of, column)
+    if not partition_by:
+        overwrite(kept, path)
+        return
+    # per folder: rows, and rows that stay
+    of = lambda df, n: df.groupBy(*[F.col(p).alias(f"{n}_{p}") for p in partition_by]).agg(F.count(F.lit(1)).alias(n))
+    same = [F.col(f"a_{p}").eqNullSafe(F.col(f"b_{p}")) for p in partition_by]
+    folders = written(of(table, "a").join(of(kept, "b"), same, "left").select(*[F.col(f"a_{p}").alias(p) for p in partition_by], "a", "b"))
+    mixed = folders.filter("b < a")
+    if mixed.limit(1).count():
+        _replace(_touched(kept, mixed, partition_by), path, partition_by, whole=False)
+    for row in folders.filter("b IS NULL").select(*partition_by).toLocalIterator():  # a folder each, one at a time
+        delete(spark, path.rstrip("/") + "".join(f"/{p}={_folder(spark, row[p])}" for p in partition_by))
+
+
+def _folder(spark: SparkSession, value) -> str:
+    """A partition value as part of a path."""
+    if value is None:
+        return "__HIVE_DEFAULT_PARTITION__"
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))
 
 
 def flat_tags(metrics: DataFrame, tags: Sequence[str] | None = None) -> DataFrame:

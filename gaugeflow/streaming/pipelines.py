@@ -17,18 +17,21 @@ def raw_to_silver(
     checkpoint: str,
     processed: Column | None = None,
     time_type: str = "timestamp",
-    partition_by: tuple[str, ...] = ("city",),
+    partition_by: tuple[str, ...] = ("observation_date",),
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Upsert each micro-batch of raw records; the latest load of a reading stays.
 
     The load time is kept with the table, so a record that arrives late does not
-    replace a newer one, and a repeated batch changes nothing.
+    replace a newer one, and a repeated batch changes nothing. The table is
+    partitioned by the day of the reading: a batch rewrites the days it touches.
     """
+    days = {"observation_date": F.to_date("observation_time")} if "observation_date" in partition_by else {}
 
     def merge(batch: DataFrame, _: int) -> None:
         silver = clean(batch, processed, time_type, keep_load_time=True)
-        upsert(silver, path, ["city", "observation_time"], partition_by, newest=("ingestion_time", "ingestion_id"))
+        newest = ("ingestion_time", "ingestion_id")
+        upsert(silver, path, ["city", "observation_time"], partition_by, newest, derived=days)
 
     return (
         raw.writeStream.foreachBatch(merge)

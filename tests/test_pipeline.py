@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.errors import AnalysisException
 from conftest import CITIES, rows
 from pyspark.sql import functions as F
 
@@ -194,11 +195,69 @@ def test_upsert_is_idempotent_and_prunes(spark):
         storage.upsert(change, path, ["observation_time"], ["city"])
 
 
-def test_null_keys_always_insert(spark):
+def test_null_keys_replace_nothing_and_replay_once(spark):
     path = scratch_path(spark, "t")
-    for _ in range(2):
-        storage.upsert(frame(spark, [(None, 1, 1), ("a", 1, 2)]), path, ["city", "observation_time"])
-    assert rows(spark.read.parquet(path)) == sorted([(None, 1, 1), (None, 1, 1), ("a", 1, 2)], key=repr)
+    keys = ["city", "observation_time"]
+    for _ in range(3):
+        storage.upsert(frame(spark, [(None, 1, 1), (None, 1, 2), (None, 1, 2), ("a", 1, 2)]), path, keys)
+    assert rows(spark.read.parquet(path)) == sorted([(None, 1, 1), (None, 1, 2), ("a", 1, 2)], key=repr)
+
+
+@pytest.mark.parametrize("partition_by", [[], ["city"]])
+def test_replacement_survives_a_kill(spark, partition_by, monkeypatch):
+    path = scratch_path(spark, "t")
+    keys = ["city", "observation_time"]
+    storage.upsert(frame(spark, [("a", 1, 1), ("b", 1, 3)]), path, keys, partition_by)
+    put = storage._put
+
+    def killed(spark, staged, path):
+        # the worst moment: the new content is complete, the old one is gone
+        storage.delete(spark, f"{path}/city=a" if partition_by else path)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(storage, "_put", killed)
+    with pytest.raises(KeyboardInterrupt):
+        storage.upsert(frame(spark, [("a", 1, 10), ("a", 2, 20)]), path, keys, partition_by)
+    monkeypatch.setattr(storage, "_put", put)
+    storage.upsert(frame(spark, [("a", 1, 10), ("a", 2, 20)]), path, keys, partition_by)
+    assert rows(spark.read.parquet(path), *keys, "v") == [("a", 1, 10), ("a", 2, 20), ("b", 1, 3)]
+    # content that wasn't complete is dropped
+    frame(spark, [("z", 1, 1)]).write.parquet(storage._next(path, partition_by))
+    storage.delete(spark, storage._next(path, partition_by) + "/_SUCCESS")
+    assert rows(storage.read_if_present(spark, path), *keys, "v") == [("a", 1, 10), ("a", 2, 20), ("b", 1, 3)]
+
+
+def test_an_emptied_folder_is_no_new_table(spark):
+    path = scratch_path(spark, "t")
+    storage.upsert(frame(spark, [("a", 1, 1)]), path, ["city", "observation_time"])
+    for f in spark.read.parquet(path).inputFiles():
+        storage.delete(spark, f)
+    with pytest.raises(AnalysisException):
+        storage.upsert(frame(spark, [("b", 1, 1)]), path, ["city", "observation_time"])
+
+
+def test_upsert_by_a_derived_day_reads_touched_days_only(spark):
+    path = scratch_path(spark, "t")
+    day = {"day": F.date_add(F.lit("2024-01-01").cast("date"), F.col("observation_time"))}
+    keys = ["city", "observation_time"]
+    storage.upsert(frame(spark, [("a", t, t) for t in range(30)]), path, keys, ["day"], derived=day)
+    storage.upsert(frame(spark, [("a", 3, 33), ("a", 4, 44), ("b", 4, 1)]), path, keys, ["day"], derived=day)
+    want = [("a", t, {3: 33, 4: 44}.get(t, t)) for t in range(30)] + [("b", 4, 1)]
+    assert rows(spark.read.parquet(path), *keys, "v") == sorted(want, key=repr)
+    source = frame(spark, [("a", 3, 33), ("a", 4, 44)]).withColumns(day)
+    plan = storage._touched(spark.read.parquet(path), source, ["day"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "2024-01-04" in plan and "2024-01-05" in plan
+
+
+def test_retention_drops_folders(spark):
+    path = scratch_path(spark, "t")
+    df = payloads(spark).select("ingestion_id", "ingestion_time").withColumn("day", F.to_date("ingestion_time"))
+    storage.append(df, path, ["day"])
+    before = set(spark.read.parquet(path).inputFiles())
+    storage.apply_retention(spark, path, "ingestion_time", 30, NOW, ["day"])
+    after = set(spark.read.parquet(path).inputFiles())
+    assert rows(spark.read.parquet(path), "ingestion_id") == [("1",), ("2",), ("3",), ("4",)]
+    assert before & after  # folders that keep all rows aren't written again
 
 
 def test_router(spark):
