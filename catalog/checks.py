@@ -221,7 +221,7 @@ def recency_by_date(spark, d):
 
 @register(
     "check_relationships_where",
-    "SELECT o_custkey, count(*) AS n_records FROM orders WHERE o_orderstatus = 'F' AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY 1",
+    "SELECT o_custkey, count(*) AS failing_rows FROM orders WHERE o_orderstatus = 'F' AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY 1",
 )
 def relationships_where(spark, d):
     return checks.relationships_where(
@@ -347,6 +347,10 @@ TESTS = {
     "humidity_range": "SELECT count(*) FROM obs WHERE humidity < 0 OR humidity > 100",
     "duplicates": "SELECT count(*) FROM (SELECT 1 FROM obs GROUP BY city, observation_time HAVING count(*) > 1) AS q",
     "city_not_null": "SELECT count(*) FROM obs WHERE city IS NULL",
+    "hot_in_range": "SELECT count(*) FROM obs WHERE temperature_celsius > 35",
+    "partners": "SELECT count(*) FROM obs WHERE weather_main NOT IN (SELECT weather_main FROM obs WHERE weather_main <> 'Rain')",
+    "sequence": "SELECT count(*) FROM (SELECT humidity - lag(humidity) OVER (PARTITION BY city ORDER BY humidity) AS step FROM obs WHERE humidity IS NOT NULL) AS q WHERE step <> 1",
+    "equal": "SELECT count(*) + abs(sum(side)) FROM (SELECT 1 AS side FROM (SELECT DISTINCT city, humidity FROM obs EXCEPT SELECT city, humidity FROM obs WHERE humidity > 50) AS a)",
 }
 
 
@@ -354,7 +358,7 @@ TESTS = {
     "check_run",
     with_silver(
         " UNION ALL ".join(
-            f"SELECT '{n}' AS test, failures, CASE WHEN failures = 0 THEN 'pass' ELSE 'warn' END AS status FROM (SELECT ({q}) AS failures) AS x"
+            f"SELECT '{n}' AS test, CAST(failures AS BIGINT) AS failures, CASE WHEN failures = 0 THEN 'pass' ELSE 'warn' END AS status FROM (SELECT ({q}) AS failures) AS x"
             for n, q in TESTS.items()
         )
     ),
@@ -366,8 +370,16 @@ def run(spark, d):
             "temperature_range": health.temperature_range(rows),
             "humidity_range": health.humidity_range(rows),
             "duplicates": health.duplicate_readings(rows),
-            "city_not_null": checks.not_null(rows, "city"),
+            "partners": checks.relationships_where(
+                rows, "weather_main", rows, "weather_main", to_condition="weather_main <> 'Rain'"
+            ),
+            "sequence": checks.sequential_values(rows, "humidity", group_by=["city"]),
+            "equal": checks.equality(rows, rows.filter("humidity > 50"), ["city", "humidity"]),
         }
+    ).unionByName(
+        checks.run_row_checks(
+            rows, {"city_not_null": F.col("city").isNotNull(), "hot_in_range": F.col("temperature_celsius") <= 35}
+        )
     )
 
 

@@ -186,7 +186,7 @@ SCORE = (
 )
 VOLUME = (
     "vol AS (SELECT 'volume_' || city AS name, CAST(n AS DOUBLE) AS value, CAST(span AS DOUBLE) AS expected, CASE WHEN missing > 0.5 THEN 'critical' WHEN missing > 0.2 THEN 'warning' ELSE 'info' END AS severity, "
-    "'Data volume for ' || city AS description, missing AS missing_ratio FROM (SELECT *, CASE WHEN span > 0 THEN 1 - CAST(n AS DOUBLE) / span ELSE 0.0 END AS missing FROM "
+    "printf('Data volume for %s (missing %.1f%%)', city, missing * 100) AS description, missing AS missing_ratio FROM (SELECT *, CASE WHEN span > 0 THEN 1 - CAST(n AS DOUBLE) / span ELSE 0.0 END AS missing FROM "
     f"(SELECT city, count(*) AS n, date_diff('hour', min(observation_time), max(observation_time)) AS span FROM silver WHERE {DAY} GROUP BY 1) AS a) AS f)"
 )
 EXTREME = (
@@ -358,7 +358,7 @@ def weather_metrics(spark, d):
     from gaugeflow.sources.storage import flat_tags
 
     points = metrics.weather_metrics(silver(spark, d), 24, AS_OF)
-    return flat_tags(points.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")))
+    return flat_tags(points.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")), ["period"])
 
 
 @register("quality_metrics", with_silver(QUALITY_POINTS, QUALITY), "value")

@@ -204,7 +204,7 @@ def points(spark, d):
 )
 def export_csv(spark, d):
     path = scratch_path(spark, "metrics-csv")
-    storage.export_metrics(points(spark, d), path, "csv")
+    storage.export_metrics(points(spark, d), path, "csv", ["city", "part"])
     schema = "name string, value double, timestamp timestamp_ntz, unit string, city string, part string"
     return spark.read.schema(schema).options(header="true", **storage.CSV_TIMES).csv(path)
 

@@ -62,7 +62,7 @@ CONDITIONS = ["Clear", "Clouds", "Mist", "Rain", "Thunderstorm"]
 def pivot(spark, d):
     """The pivoted values come from the data, most frequent first."""
     rows = gold(spark, d)
-    values = ops.column_values(rows, "weather_main", max_records=50)
+    values = ops.column_values(rows, "weather_main")
     return ops.pivot(rows, ["city"], "weather_main", values, prefix="n_", suffix="_x")
 
 
@@ -187,7 +187,7 @@ def union_relations_include(spark, d):
 def union_tables_like(spark, d):
     """Views by status, found again by their names."""
     orders = table(spark, d, "orders")
-    for status in ("F", "O", "P"):
+    for status in ops.column_values(orders, "o_orderstatus"):
         orders.filter(F.col("o_orderstatus") == status).createOrReplaceTempView(f"gf_orders_{status.lower()}")
     parts = ops.tables_like(spark, "gf_orders__", prefix="gf_")
     return (

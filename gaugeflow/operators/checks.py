@@ -1,4 +1,8 @@
-"""Declarative data tests: each returns the rows that fail."""
+"""Declarative data tests: each returns the rows that fail.
+
+A line may stand for several failing rows; it then has their number in
+``failing_rows``, which the runner sums.
+"""
 
 from __future__ import annotations
 
@@ -65,7 +69,10 @@ def fewer_rows_than(df: DataFrame, compare: DataFrame, group_by: Sequence[str] =
 
 
 def equality(df: DataFrame, compare: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows on one side only, with the side they are on."""
+    """Rows on one side only, with the side they are on.
+
+    The test's number of failures is that of ``equality_failures``.
+    """
     names = list(columns or df.columns)
     a, b = df.select(*names), compare.select(*names)
     return (
@@ -75,6 +82,12 @@ def equality(df: DataFrame, compare: DataFrame, columns: Sequence[str] | None =
     )
 
 
+def equality_failures(failing: DataFrame) -> Column:
+    """Rows on one side only, plus how many more one side has of them than the other."""
+    side = F.sum(F.when(F.col("only_in") == "model", 1).otherwise(-1))
+    return F.count(F.lit(1)) + F.coalesce(F.abs(side), F.lit(0))
+
+
 def expression_is_true(df: DataFrame, expression: str | Column) -> DataFrame:
     return df.filter(_fails(F.expr(expression) if isinstance(expression, str) else expression))
 
@@ -177,14 +190,14 @@ def relationships_where(
     from_condition: str = "true",
     to_condition: str = "true",
 ) -> DataFrame:
-    """Values without a partner, one row per failing row.
+    """Values without a partner, with the number of rows that fail.
 
     The values looked for are counted first, so that a value with very many
     rows crosses the join once.
     """
     left = df.filter(from_condition).filter(F.col(column).isNotNull())
     right = to.filter(to_condition).select(F.col(field).alias(column)).distinct()
-    counted = left.groupBy(column).agg(F.count(F.lit(1)).alias("n_records"))
+    counted = left.groupBy(column).agg(F.count(F.lit(1)).alias("failing_rows"))
     return counted.join(right, column, "left_anti")
 
 
@@ -226,27 +239,36 @@ def is_json(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNotNull() & F.try_parse_json(F.col(column)).isNull())
 
 
-
-
 def run_checks(tests: dict[str, DataFrame], severity: str = "warn") -> DataFrame:
     """One row per test: failing rows and status."""
     out = None
     for name, failing in tests.items():
-        row = failing.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(name).alias("test"),
-            "failures",
-            F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit(severity)).alias("status"),
-        )
+        if "only_in" in failing.columns:
+            number = equality_failures(failing)
+        elif "failing_rows" in failing.columns:
+            number = F.coalesce(F.sum("failing_rows"), F.lit(0))
+        else:
+            number = F.count(F.lit(1))
+        row = failing.agg(number.cast("bigint").alias("failures")).select(F.lit(name).alias("test"), "failures", _status(severity))
         out = row if out is None else out.unionByName(row)
     return out
 
 
+def _status(severity: str) -> Column:
+    return F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit(severity)).alias("status")
+
+
+def run_row_checks(df: DataFrame, conditions: dict[str, Column], severity: str = "warn") -> DataFrame:
+    """Tests that look at one row at a time, all in one scan: conditions that must not be false (NULL passes)."""
+    counts = df.agg(*[F.count(F.when(_fails(c), 1)).alias(n) for n, c in conditions.items()])
+    lines = counts.unpivot([], list(conditions), "test", "failures")
+    return lines.select("test", "failures", _status(severity))
+
+
 def store_failures(tests: dict[str, DataFrame], folder: str | None = None) -> dict[str, str]:
-    """Write the failing rows of each test; returns where."""
+    """Write the failing rows of each test; returns where. Read them back to count them without computing them again."""
     places = {}
     for name, failing in tests.items():
         places[name] = f"{folder}/{name}" if folder else scratch_path(failing.sparkSession, f"failures-{name}")
         failing.write.mode("overwrite").parquet(places[name])
     return places
-
-

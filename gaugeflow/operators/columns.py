@@ -45,7 +45,13 @@ def pivot(
     otherwise: Column | int | None = 0,
     distinct: bool = False,
 ) -> DataFrame:
-    """One conditional aggregate per value, in a single grouping."""
+    """One conditional aggregate per value, in a single grouping.
+
+    More values than ``spark.sql.pivotMaxValues`` are refused, none is left out.
+    """
+    most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
+    if len(values) > most:
+        raise ValueError(f"{len(values)} values to pivot, more than spark.sql.pivotMaxValues ({most})")
     tests = {
         "=": lambda c, v: c == v,
         "!=": lambda c, v: c != v,
@@ -81,22 +87,24 @@ def unpivot(
 
 
 def column_values(
-    df: DataFrame,
+    df: DataFrame | None,
     column: str,
-    max_records: int,
+    max_records: int | None = None,
     order_by: Column | None = None,
     where: Column | str | None = None,
     default: Sequence | None = None,
 ) -> list:
     """Distinct values, the most frequent first unless ordered otherwise, as a list.
 
-    For naming the columns of a pivot: ``max_records`` bounds what reaches the
-    driver. Without any row the default is returned.
+    For naming the columns of a pivot; ``max_records`` keeps the first ones only.
+    Without a table, or without any row, the default is returned.
     """
+    if df is None:
+        return list(default or [])
     source = df if where is None else df.filter(where)
     counts = source.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
     ordered = counts.orderBy(*([order_by] if order_by is not None else []), F.desc("n"), "value")
-    found = [r["value"] for r in ordered.limit(max_records).collect()]
+    found = [r["value"] for r in (ordered if max_records is None else ordered.limit(max_records)).collect()]
     return found or list(default or [])
 
 
@@ -161,16 +169,35 @@ def difference(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.distinct().subtract(b.select(*a.columns).distinct())
 
 
+FIXED_UNITS = {"second": 1, "minute": 60, "hour": 3_600, "day": 86_400, "week": 604_800}
+SPINE_BLOCK = 4_096
+
+
 def date_spine(bounds: DataFrame, start: str, end: str, unit: str = "day", name: str = "date_day") -> DataFrame:
     """Times from ``start`` (included) to ``end`` (excluded) in steps of ``unit``.
 
     ``bounds`` is a one-row table of the two ends, so they may come from data.
-    Its other columns are kept.
+    Its other columns are kept. Steps of a fixed length are numbered in two levels, so that no
+    array holds the whole series.
     """
+    kind, unit = bounds.schema[start].dataType, unit.lower()
+    rest = [c for c in bounds.columns if c not in (start, end)]
+    if unit in FIXED_UNITS and not (isinstance(kind, T.DateType) and FIXED_UNITS[unit] < 86_400):
+        length = FIXED_UNITS[unit]
+        if isinstance(kind, T.DateType):
+            steps, value = F.datediff(end, start) / (length // 86_400), F.expr(f"date_add(`{start}`, CAST(_i * {length // 86_400} AS INT))")
+        else:
+            # one step more: clocks may have been changed in between
+            steps = F.timestamp_diff("SECOND", F.col(start), F.col(end)) / length + 1
+            value = F.timestamp_add(unit.upper(), F.col("_i").cast("int"), F.col(start))
+        blocks = F.when(F.col(end) > F.col(start), F.sequence(F.lit(0).cast("bigint"), F.floor(steps / SPINE_BLOCK)))
+        places = F.sequence(F.col("_b") * SPINE_BLOCK, F.col("_b") * SPINE_BLOCK + SPINE_BLOCK - 1)
+        numbered = bounds.withColumn("_b", F.explode(blocks)).withColumn("_i", F.explode(places))
+        line = numbered.select(*rest, F.col(end).alias("_end"), value.cast(kind).alias(name))
+        return line.filter(F.col(name) < F.col("_end")).drop("_end")
     step = F.expr(f"INTERVAL 1 {unit.upper()}")
     last = (F.col(end) - step).cast(bounds.schema[end].dataType)
     line = F.when(F.col(end) > F.col(start), F.sequence(F.col(start), last, step))
-    rest = [c for c in bounds.columns if c not in (start, end)]
     return bounds.select(*rest, F.explode(line).alias(name))
 
 

@@ -98,18 +98,13 @@ def trends(rows: DataFrame, updated: Column | None = None, r: Roles = ROLES) ->
 
 
 def change_24h(rows: DataFrame, r: Roles = ROLES) -> DataFrame:
-    """Change against the oldest reading of the last 24 hours.
-
-    An equi-join with the value at the start of the frame; the start itself is
-    the minimum time of the frame.
-    """
-    slim = rows.select(r.key, r.time, r.temperature).withColumn("_at", F.unix_micros(F.col(r.time).cast("timestamp")))
-    framed = rolling_range(slim, [r.key], r.time, {"_from": ("min", "_at", DAY)})
-    start = slim.select(r.key, F.col("_at").alias("_from"), F.col(r.temperature).alias("temp_24h_ago"))
+    """Change against the oldest reading of the last 24 hours; of several at that time, the smallest value."""
+    slim = rows.select(r.key, r.time, r.temperature).withColumn("_first", F.struct(r.time, r.temperature))
+    framed = rolling_range(slim, [r.key], r.time, {"_from": ("min", "_first", DAY)})
     return (
-        framed.join(start, [r.key, "_from"])
+        framed.withColumn("temp_24h_ago", F.col("_from")[r.temperature])
         .withColumn("temp_change_24h", F.col(r.temperature) - F.col("temp_24h_ago"))
-        .drop("_at", "_from")
+        .drop("_first", "_from")
     )
 
 
@@ -192,7 +187,7 @@ def key_alerts(rows: DataFrame, key: str, limit: int = 10, days: int = 7, as_of=
         .withColumn("alert_level", level)
         .filter("alert_level <> 'Normal'")
         .select(r.time, r.temperature, r.wind, r.category, "alert_level")
-        .orderBy(F.desc(r.time))
+        .orderBy(F.desc(r.time), F.desc(r.temperature), F.desc(r.wind), r.category)
         .limit(limit)
     )
 

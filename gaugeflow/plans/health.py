@@ -204,7 +204,7 @@ def _score_check(r: Roles) -> list[Column]:
 
 
 def _volume_check(r: Roles) -> list[Column]:
-    text = F.concat(F.lit("Data volume for "), F.col(r.key))
+    text = F.format_string("Data volume for %s (missing %s%%)", F.col(r.key), fixed_point(F.col("missing") * 100, 1))
     severity = rules.volume_severity(F.col("missing"))
     return _check("volume_", F.col("records"), F.col("span"), severity, text, r)
 

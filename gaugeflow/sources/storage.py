@@ -302,10 +302,9 @@ def _folder(spark: SparkSession, value) -> str:
 
 
 def flat_tags(metrics: DataFrame, tags: Sequence[str] | None = None) -> DataFrame:
-    """Metric rows with one column per tag. Tag names are a vocabulary; by default those in use."""
+    """Metric rows with one column per named tag; without names, all tags as one JSON text."""
     if tags is None:
-        used = metrics.select(F.explode(F.map_keys("tags")).alias("t")).distinct()
-        tags = sorted(r["t"] for r in used.collect())
+        return metrics.withColumn("tags", F.to_json("tags"))
     rest = [c for c in metrics.columns if c != "tags"]
     return metrics.select(*rest, *[F.try_element_at("tags", F.lit(t)).alias(t) for t in tags])
 

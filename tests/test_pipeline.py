@@ -147,7 +147,7 @@ def test_metrics(spark, hourly):
     assert rows(summary.filter("name = 'quality.valid_ratio'"), "current", "count", "unit") == [(100.0, 1, "percent")]
     with pytest.raises(ValueError):
         storage.export_metrics(points, scratch_path(spark, "x"), "xml")
-    assert storage.flat_tags(points).columns == ["name", "value", "timestamp", "unit", "period"]
+    assert storage.flat_tags(points, ["period"]).columns == ["name", "value", "timestamp", "unit", "period"]
 
 
 def test_marts(hourly):
