@@ -89,6 +89,20 @@ SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(
 FROM d LEFT JOIN g ON d.doc_id = g.doc_id
 """
 
+EMBEDDINGS_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+f AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
+        AND len([x FOR x IN e IF x != 0]) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM f AS a JOIN f AS b ON a.label = b.label AND a.vec_id != b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r(id, root) AS (SELECT vec_id, vec_id FROM v UNION SELECT p.b, r.root FROM r JOIN p ON p.a = r.id),
+c AS (SELECT id, min(root) AS component_id FROM r GROUP BY id),
+n AS (SELECT a, count(*) AS n_links FROM p GROUP BY a)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN c ON v.vec_id = c.id LEFT JOIN n ON v.vec_id = n.a
+"""
+
+
 def _licenses_sql() -> str:
     """All lines against all templates, without the prefilter."""
     s = licenses.Settings()
@@ -172,7 +186,7 @@ QUERIES: dict[str, Query] = {
     "op1_licenses": Query(op1_licenses, LICENSES_SQL),
     "op2_simhash": Query(op2_simhash),
     "op3_mixing": Query(op3_mixing),
-    "op4_embedding_dedup": Query(op4_embedding_dedup),
+    "op4_embedding_dedup": Query(op4_embedding_dedup, EMBEDDINGS_SQL),
     "op5_substring": Query(op5_substring, SUBSTRING_SQL),
     "op6_sentencepiece": Query(op6_sentencepiece),
     "op7_html": Query(op7_html),
