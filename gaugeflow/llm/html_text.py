@@ -49,7 +49,9 @@ MARKED = frozenset(
     "overlay newsletter subscribe subscription signup login search share sharing social related recommended recommendations comment comments "
     "disqus reply replies respond pagination pager toolbar widget widgets copyright skip hidden".split()
 )
-TOP = frozenset("html body main article".split())
+TOP = frozenset("html body main".split())
+# Of these, what can mark an article that isn't the page's.
+OTHER = frozenset("ad ads advert advertisement sponsored promo related recommended comment comments reply replies teaser".split())
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
     r"""([^<>"']*(?:(?:"[^"]*"|'[^']*')[^<>"']*)*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""",
@@ -76,6 +78,8 @@ def _skipped(tag: str, attributes: str, inside: bool) -> bool:
     if UNSEEN.search(attributes):
         return True
     words = {w for m in MARK.finditer(attributes) for w in re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower())}
+    if tag == "article":
+        return not OTHER.isdisjoint(words)
     return not MARKED.isdisjoint(words) or ("header" in words and not inside)
 
 
@@ -86,6 +90,7 @@ class Page:
         self.lines: list[Line] = []
         self.stack: list[tuple[str, bool]] = []
         self.skip = self.links = self.articles = 0
+        self.named = False  # an article has been seen
         self.parts: list[str] = []
         self.linked = 0
 
@@ -120,10 +125,11 @@ class Page:
                         break
         if tag in VOID or attributes.endswith("/"):
             return
-        if tag in ("article", "main") and self.skip:
+        skipped = _skipped(tag, attributes, self.articles > 0)
+        if tag in ("article", "main") and not skipped and not self.named:
             while self.skip:  # whatever was left open before it
                 self.pop()
-        skipped = _skipped(tag, attributes, self.articles > 0)
+            self.named = True
         if skipped and not self.skip:
             self.flush()
             self.gap()

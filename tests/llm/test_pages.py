@@ -23,6 +23,7 @@ PAGES = {
     f"<body class=has-sidebar><article><header><h1>Title</h1></header><p>{ARTICLE}<form>Your mail</form></article></body>": f"Title {ARTICLE}",
     f"<div class=ad>never closed<article><p>{ARTICLE}</article>": ARTICLE,
     "<ul><li>one<li>two</ul>": "one two",
+    f"<article><p>{ARTICLE}</article><section class=comments><article><p>nice</article></section><article class='comment odd'>me too</article>": ARTICLE,
     "<p hidden>no</p><p style='display:none'>no</p><p>yes</p>": "yes",
     "<table><tr><td>a<td>b<tr><td>c</table>": "a b c",
     "<p title='a > b'>quoted</p><p title=\"x>open": "quoted open",
