@@ -21,7 +21,8 @@ own bound, taken up again only if its turn comes. This changes nothing in the
 distribution. Those draws are done for all words of a batch together.
 
 No piece crosses from a word into the blank after it, so the lattice of a text is
-a chain of the lattices of its words; each different word is laid out once a task.
+a chain of the lattices of its words (and of what else no piece crosses). A different
+word, known by a 64-bit hash, is laid out once and kept for the texts that follow.
 Numbers are seeded by the row's key: they don't depend on batches or order.
 """
 
@@ -37,6 +38,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,10 +48,13 @@ from gaugeflow.llm.common import name, type_of
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 FAR = -3.0
+POWER = 0x2545F4914F6CDD1D
 NEAR_END = 8  # with fewer words left, a node's children are always drawn one by one
 END = "\x00"
-BATCH_CHARS = 4 << 20
-NODES = 5 << 19  # lattice nodes a task keeps between batches
+STOPS = ".,;:!?)\""
+BATCH_CHARS = 1 << 20
+NODES = 1 << 20  # lattice nodes a task keeps between batches
+KEPT = 1 << 19  # of these, nodes that stay: those laid out first, frequent words among them
 
 
 @dataclass(frozen=True)
@@ -60,7 +65,9 @@ class Vocabulary:
     bytes_: list[int]
     rank: dict[int, int]
     table: list[bytes]
-    unit: str  # pattern of what a text is cut into; no piece crosses a cut
+    cut_blank: bool  # no piece goes on from a character into a blank
+    cut_line: bool  # no piece holds a line end
+    held: dict[str, int]  # per character the stops (as bits) that some piece holds behind it
 
 
 def vocabulary(model: str = MODEL) -> Vocabulary:
@@ -82,17 +89,13 @@ def vocabulary(model: str = MODEL) -> Vocabulary:
     # runs of blanks and the like have no rank of their own: they come first
     order = sorted(pieces.values(), key=lambda i: (-sp.get_score(i) if sp.get_score(i) > -1e8 else 0, i))
     rank = {i: n for n, i in enumerate(order)}
-    return Vocabulary(pieces, bytes_, rank, table, _unit(pieces))
-
-
-def _unit(pieces: dict[str, int]) -> str:
-    """Cut before blanks, around line ends and between a letter and a stop, as far as no piece crosses there."""
     inside = {t[i : i + 2] for t in pieces for i in range(len(t) - 1)}
-    if any(b[1] == " " != b[0] or "\n" in b for b in inside):
-        return r"(?s).+"
-    stops = ".,;:!?"
-    held = "".join(sorted({b[0] for b in inside if b[1] in stops and re.match(r"\w", b[0])} | {"_"}))
-    return rf" *(?:[^ \n{stops}]*(?![{re.escape(held)}])\w(?=[{stops}])|[^ \n]+)|\n| +"
+    held: dict[str, int] = {}
+    for pair in inside:
+        if pair[1] in STOPS:
+            held[pair[0]] = held.get(pair[0], 0) | 1 << STOPS.index(pair[1])
+    cut_blank = not any(p[1] == " " != p[0] for p in inside)
+    return Vocabulary(pieces, bytes_, rank, table, cut_blank, not any("\n" in p for p in inside), held)
 
 
 def decode_ids(ids, table: list[bytes]) -> str:
@@ -101,19 +104,6 @@ def decode_ids(ids, table: list[bytes]) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
-class Starts(dict):
-    """The first node of each word; a word that isn't laid out yet gets -1, -2 .. and is noted."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        self.new.append(word)
-        self[word] = -len(self.new)
-        return -len(self.new)
-
-
 class Lattice:
     """The lattices of words, laid out one behind the other in arrays that grow.
 
@@ -133,17 +123,21 @@ class Lattice:
             keys[own] = _longer(keys[own], np.array([ord(texts[i][n]) for i in own.tolist()], np.uint64))
         by = np.argsort(keys)
         self.begun, self.piece = keys[by], np.fromiter(begun.values(), np.int64, len(texts))[by]
-        self.maybe = np.zeros(1 << 22, bool)
-        self.maybe[self.begun >> np.uint64(42)] = True
+        # where keys with the same first bits stand; one more key that nothing equals ends the search
+        self.begun, self.piece = np.append(self.begun, np.uint64((1 << 64) - 1)), np.append(self.piece, -1)
+        self.slot = np.searchsorted(self.begun, np.arange(1 << 20, dtype=np.uint64) << np.uint64(44)).astype(np.int32)
+        self.held = np.zeros(max(map(ord, v.held), default=0) + 2, np.uint8)
+        for c, bits in v.held.items():
+            self.held[ord(c)] = bits
+        self.power, self.inverse = np.ones(1, np.uint64), np.ones(1, np.uint64)
         self.weight = np.zeros(len(v.table))
         for i, n in v.rank.items():
             self.weight[i] = -alpha * math.log(n + 2.7)
         self.byte_weight = -alpha * math.log(len(v.rank) + 2.7)
-        self.unit = re.compile(v.unit)
         self.clear()
 
     def clear(self) -> None:
-        self.start = Starts()
+        self.start: dict[int, int] = {}  # first node by the hash of a word
         self.nodes = 0
         self.final = np.empty(0, bool)  # nodes at which a word ends
         self.first = np.zeros(1, np.int64)  # first edge of a node; one more at the end
@@ -154,23 +148,71 @@ class Lattice:
         self.n = np.empty(0, np.int32)
         self.ids = np.empty(0, np.int32)
 
-    def starts(self, texts: list[list[str]]) -> list[np.ndarray]:
+    def trim(self) -> None:
+        """Forget the words laid out last."""
+        ends = np.flatnonzero(self.final[:KEPT])
+        if self.nodes <= NODES or not len(ends):
+            return
+        self.nodes = int(ends[-1]) + 1
+        edges = int(self.first[self.nodes])
+        ids = int((self.at[:edges] + self.n[:edges]).max(initial=0))
+        self.final, self.first = self.final[: self.nodes].copy(), self.first[: self.nodes + 1].copy()
+        self.to, self.upto, self.logp = self.to[:edges].copy(), self.upto[:edges].copy(), self.logp[:edges].copy()
+        self.at, self.n, self.ids = self.at[:edges].copy(), self.n[:edges].copy(), self.ids[:ids].copy()
+        self.start = {w: at for w, at in self.start.items() if at < self.nodes}
+
+    def starts(self, texts: list[str]) -> list[np.ndarray]:
         """The first node of each word of each text; lays out the words that aren't there yet."""
-        found = [np.fromiter(map(self.start.__getitem__, words), np.int64, len(words)) for words in texts]
-        if new := self.start.new:
-            self.start.new = []
-            placed = self._lay(new)
-            for x in found:
-                fresh = x < 0
-                x[fresh] = placed[-1 - x[fresh]]
-        return found
+        whole = "".join([" " + t for t in texts if t])
+        sizes = np.array([len(t) + 1 if t else 0 for t in texts], np.int64)
+        ends = np.cumsum(sizes)
+        if not whole:
+            return [np.empty(0, np.int64) for _ in texts]
+        chars = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+        cut = self._cuts(chars)
+        cut[(ends - sizes)[sizes > 0]] = True
+        low = np.flatnonzero(cut)
+        high = np.append(low[1:], len(chars))
+        keys, first, which = np.unique(self._hashes(chars, low, high), return_index=True, return_inverse=True)
+        known = self.start.get
+        nodes = np.array([known(k, -1) for k in keys.tolist()], np.int64)
+        if len(new := np.flatnonzero(nodes < 0)):
+            at = first[new]
+            nodes[new] = self._lay([whole[a:b] for a, b in zip(low[at].tolist(), high[at].tolist(), strict=True)])
+            self.start.update(zip(keys[new].tolist(), nodes[new].tolist(), strict=True))
+        return np.split(nodes[which], np.searchsorted(low, ends[:-1]))
+
+    def _cuts(self, chars: np.ndarray) -> np.ndarray:
+        """Whether a word begins at a character: before blanks, around line ends, before stops; where no piece crosses."""
+        cut = np.zeros(len(chars), bool)
+        before, here = chars[:-1], chars[1:]
+        if self.v.cut_blank:
+            cut[1:] = (here == 32) & (before != 32)
+            if self.v.cut_line:
+                cut[1:] |= (here == 10) | (before == 10)
+        for k, stop in enumerate(STOPS):
+            at = np.flatnonzero(here == ord(stop))
+            held = self.held[np.minimum(before[at], len(self.held) - 1)] >> k & 1
+            cut[1 + at[held == 0]] = True
+        return cut
+
+    def _hashes(self, chars: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """64-bit hashes of stretches: sums of characters times powers, shifted to the stretch's beginning."""
+        while len(self.power) <= len(chars):
+            for name_, base in (("power", POWER), ("inverse", pow(POWER, -1, 1 << 64))):
+                old = getattr(self, name_)
+                setattr(self, name_, np.concatenate([old, old * np.uint64(pow(base, len(old), 1 << 64))]))
+        c = (chars.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        c ^= c >> np.uint64(29)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(c * self.power[: len(c)])])
+        x = (sums[high] - sums[low]) * self.inverse[low] + (high - low).astype(np.uint64)
+        return (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
 
     def _lay(self, new: list[str]) -> np.ndarray:
         text = END.join(new) + END
         lengths = np.array([len(w) for w in new], np.int64)
         offsets = np.concatenate([[0], np.cumsum(lengths[:-1] + 1)])
         base = self.nodes
-        self.start.update(zip(new, (base + offsets).tolist(), strict=True))
         size = len(text)
         low, high, piece = self._matches(text)
         weight = self.weight[piece]
@@ -233,9 +275,11 @@ class Lattice:
         while len(at):
             key = _longer(key, chars[at + n])
             n += 1
-            on = np.flatnonzero(self.maybe[key >> np.uint64(42)])
-            at, key = at[on], key[on]
-            place = np.minimum(np.searchsorted(self.begun, key), len(self.begun) - 1)
+            place = self.slot[key >> np.uint64(44)]
+            low = np.flatnonzero(self.begun[place] < key)
+            while len(low):
+                place[low] += 1
+                low = low[self.begun[place[low]] < key[low]]
             on = np.flatnonzero(self.begun[place] == key)
             at, key, piece = at[on], key[on], self.piece[place[on]]
             whole = np.flatnonzero(piece >= 0)
@@ -370,9 +414,8 @@ def _next(s: Search, lat: Lattice, word: int, node: int) -> tuple[int, int]:
 
 def search(texts: list[str], keys: list[int], lat: Lattice, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """Per text its samples, best first: (ids, log-probability, perturbed value, log inclusion score)."""
-    split = [lat.unit.findall(" " + t) if t else [] for t in texts]
     states = []
-    for starts, key in zip(lat.starts(split), keys, strict=True):
+    for starts, key in zip(lat.starts(texts), keys, strict=True):
         s = Search(starts, random.Random(key), key, k)
         if len(starts):
             s.push(_gumbel(s.rng, 0.0), 0, int(starts[0]), 0.0, [], ())
@@ -452,19 +495,17 @@ def sample(
         v = Vocabulary(**sent.value)
         lat = Lattice(v, alpha)
         for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            names = b.column(0).to_pylist()
+            sizes = pc.fill_null(pc.binary_length(b.column(1)), 0).to_pylist()
             at = 0
-            while at < len(texts):
-                end, chars = at, 0
-                while end < len(texts) and (end == at or chars + len(texts[end]) < BATCH_CHARS):
-                    chars += len(texts[end])
+            while at < len(sizes):
+                end, size = at, 0
+                while end < len(sizes) and (end == at or size + sizes[end] < BATCH_CHARS):
+                    size += sizes[end]
                     end += 1
-                if lat.nodes > NODES:
-                    lat.clear()
-                keys = [xxhash.xxh64_intdigest(str(i).encode(), seed) for i in names[at:end]]
-                got = search(texts[at:end], keys, lat, k)
-                yield _batch(b.column(0).slice(at, end - at), texts[at:end], got, v.table)
+                names, texts = b.column(0).slice(at, end - at), [t or "" for t in b.column(1).slice(at, end - at).to_pylist()]
+                keys = [xxhash.xxh64_intdigest(str(i).encode(), seed) for i in names.to_pylist()]
+                yield _batch(names, texts, search(texts, keys, lat, k), v.table)
+                lat.trim()
                 at = end
 
     schema = (
@@ -474,11 +515,27 @@ def sample(
     return docs.select(name(id_col), name(text_col).cast("string")).mapInArrow(run, schema)
 
 
+def _round_trips(ids: np.ndarray, offsets: np.ndarray, texts: list[str], table: list[bytes]) -> list[bool]:
+    """Whether the ids from offset to offset decode to the text; all are put together and compared at once."""
+    sizes = np.array([len(x) for x in table], np.int64)
+    begin = np.cumsum(sizes) - sizes
+    n = sizes[ids]
+    ends = np.cumsum(n)
+    total = int(ends[-1]) if len(ends) else 0
+    written = np.frombuffer(b"".join(table), np.uint8)[np.repeat(begin[ids] - (ends - n), n) + np.arange(total)]
+    want = b"".join([b" " + t.encode("utf-8", "surrogatepass") if t else b"" for t in texts])
+    if want == written.tobytes():
+        there = np.cumsum([len(t.encode("utf-8", "surrogatepass")) + 1 if t else 0 for t in texts])
+        if (np.r_[0, ends][offsets[1:]] == there).all():
+            return [True] * len(texts)
+    return [decode_ids(ids[a:b].tolist(), table) == t for a, b, t in zip(offsets[:-1], offsets[1:], texts, strict=True)]
+
+
 def _batch(ids: pa.Array, texts: list[str], got: list, table: list[bytes]) -> pa.RecordBatch:
     flat = [(i, n + 1, *x) for i, some in enumerate(got) for n, x in enumerate(some)]
     offsets = np.cumsum([0, *[len(x[2]) for x in flat]]).astype(np.int32)
     lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([x[2] for x in flat]).astype(np.int32)))
-    right = [decode_ids(x[2].tolist(), table) == texts[x[0]] for x in flat]
+    right = _round_trips(lists.values.to_numpy(), offsets, [texts[x[0]] for x in flat], table)
     columns = [
         ids.take(pa.array([x[0] for x in flat], pa.int64())), pa.array([x[1] for x in flat], pa.int32()), lists,
         pa.array([x[3] for x in flat], pa.float64()), pa.array([x[4] for x in flat], pa.float64()),
