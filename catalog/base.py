@@ -19,9 +19,9 @@ from gaugeflow.plans.silver import score
 
 AS_OF = "2024-01-31 00:00:00"
 DIGITS = 6
-# Averages of 2^k values often end in an exact half of the last digit, where the
-# order of summation would decide; both sides move off it before rounding.
-NUDGE = 3e-8
+# Averages of 2^k values often end in an exact half of the last digit, where errors
+# of summation would decide: both sides round as decimals, which have no such errors.
+EXACT = "DECIMAL(38, 10)"
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -47,12 +47,12 @@ def register(name: str, sql: str | None = None, rounded: str = "", big: str = ""
         def bound(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = plan(spark, sf_dir)
             return df.withColumns(
-                {c: F.round(F.col(c) + NUDGE, DIGITS) for c in digits} | {c: F.col(c).cast("bigint") for c in longs}
+                {c: F.round(F.col(c).cast(EXACT), DIGITS).cast("double") for c in digits} | {c: F.col(c).cast("bigint") for c in longs}
             )
 
         text = sql
         if sql and (digits or longs):
-            parts = [f"round(CAST({c} AS DOUBLE) + {NUDGE}, {DIGITS}) AS {c}" for c in digits]
+            parts = [f"CAST(round(CAST({c} AS {EXACT}), {DIGITS}) AS DOUBLE) AS {c}" for c in digits]
             parts += [f"CAST({c} AS BIGINT) AS {c}" for c in longs]
             text = f"SELECT * REPLACE ({', '.join(parts)}) FROM ({sql}) AS q"
         if name in QUERIES:

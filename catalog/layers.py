@@ -310,6 +310,17 @@ def daily_conditions(spark, d):
     return plans.daily_conditions(gold(spark, d))
 
 
+@register(
+    "daily_weather_types",
+    with_gold(
+        "SELECT city, observation_date, CAST(to_json(list(struct_pack(weather := weather_main, count := n) ORDER BY weather_main)) AS VARCHAR) AS weather_types "
+        "FROM (SELECT city, observation_date, weather_main, count(*) AS n FROM gold GROUP BY 1, 2, 3) AS c GROUP BY 1, 2"
+    ),
+)
+def daily_weather_types(spark, d):
+    return plans.daily_weather_types(gold(spark, d))
+
+
 DAILY_VIEW = (
     "SELECT city, observation_date, avg(temperature_celsius) AS avg_temperature, max(temperature_celsius) AS max_temperature, "
     "min(temperature_celsius) AS min_temperature, avg(humidity) AS avg_humidity, avg(wind_speed) AS avg_wind_speed, "
@@ -412,3 +423,21 @@ def temperature_classes(spark, d):
 )
 def lookback_key_values(spark, d):
     return since_days(gold(spark, d), 2, AS_OF).select("city").distinct()
+
+
+@register("raw_default_ids", "SELECT count(*) AS records, count(*) AS identifiers FROM events")
+def raw_default_ids(spark, d):
+    """Records without an identifier of their own get a random one each."""
+    from gaugeflow.sources.raw import build_raw
+
+    made = build_raw(observations(spark, d), "city", ["city", "humidity"])
+    return made.agg(F.count(F.lit(1)).alias("records"), F.count_distinct("ingestion_id").alias("identifiers"))
+
+
+@register("deduplicate_any_order", "SELECT * EXCLUDE (p) FROM (SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey DESC) AS p FROM orders) AS q WHERE p = 1")
+def deduplicate_any_order(spark, d):
+    """The cheapest order of each customer, the last of equal ones."""
+    from gaugeflow.operators.grouping import deduplicate
+
+    rows = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    return deduplicate(rows, ["o_custkey"], F.col("o_totalprice"), F.col("o_orderkey").desc())

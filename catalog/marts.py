@@ -1,6 +1,6 @@
 """Models per key and date, and per date over all keys."""
 
-from catalog.base import NOW, gold, mode_sql, now, register, silver, with_gold
+from catalog.base import NOW, mode_sql, now, register, silver, with_gold
 from catalog.layers import class_sql
 from catalog.windows import TREND_CLASS
 from gaugeflow.operators.columns import star

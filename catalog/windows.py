@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog.base import AS_OF, NOW, TODAY, gold, now, register, table, with_gold
 from gaugeflow.operators.grouping import latest_per
-from gaugeflow.operators.ordered import neighbour, quantiles, ranks, row_numbers
+from gaugeflow.operators.ordered import neighbour, quantiles, ranks, rolling_range, row_numbers
 from gaugeflow.plans import gold as plans
 from gaugeflow.plans import reports
 
@@ -233,3 +233,48 @@ def recent_readings(spark, d):
 def latest_order(spark, d):
     rows = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
     return latest_per(rows, ["o_custkey"], "o_orderdate", "o_orderkey")
+
+
+ODD = (
+    "odd AS (SELECT event_id, CASE WHEN user_id % 7 <> 0 THEN user_id END AS k, CASE WHEN event_id % 11 <> 0 THEN ts END AS t, "
+    "CAST(value AS DECIMAL(12, 2)) AS v FROM events)"
+)
+
+
+def odd(spark, d):
+    """Events of which some have no key and some no time."""
+    return table(spark, d, "events").select(
+        "event_id",
+        F.when(F.col("user_id") % 7 != 0, F.col("user_id")).alias("k"),
+        F.when(F.col("event_id") % 11 != 0, F.col("ts")).alias("t"),
+        F.col("value").cast("decimal(12,2)").alias("v"),
+    )
+
+
+@register(
+    "ranks_null_keys",
+    f"WITH {ODD} SELECT event_id, rank() OVER w AS r, percent_rank() OVER w AS p FROM odd WINDOW w AS (PARTITION BY k ORDER BY v)",
+    "p",
+)
+def ranks_null_keys(spark, d):
+    return ranks(odd(spark, d), ["k"], "v", rank="r", percent_rank="p").select("event_id", "r", "p")
+
+
+@register(
+    "quantiles_null_keys",
+    f"WITH {ODD} SELECT k, quantile_cont(CAST(v AS DOUBLE), 0.25) AS q, quantile_cont(CAST(v AS DOUBLE), 0.5) AS m FROM odd GROUP BY k",
+    "q m",
+)
+def quantiles_null_keys(spark, d):
+    return quantiles(odd(spark, d), ["k"], "v", {"q": 0.25, "m": 0.5})
+
+
+@register(
+    "rolling_null_times",
+    f"WITH {ODD} SELECT event_id, count(v) OVER w AS n, CAST(sum(v) OVER w AS DOUBLE) AS s, max(CAST(v AS DOUBLE)) OVER w AS m FROM odd "
+    "WINDOW w AS (PARTITION BY k ORDER BY t NULLS FIRST RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW)",
+    "s m",
+)
+def rolling_null_times(spark, d):
+    frames = {"n": ("count", "v", 86_400), "s": ("sum", "v", 86_400), "m": ("max", "v", 86_400)}
+    return rolling_range(odd(spark, d), ["k"], "t", frames).select("event_id", "n", "s", "m")

@@ -8,16 +8,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-
-def latest_per(df: DataFrame, keys: Sequence[str], *newest: str) -> DataFrame:
-    """The row of each key that is greatest by ``newest``.
+def deduplicate(df: DataFrame, keys: Sequence[str], *order: str | Column) -> DataFrame:
+    """The first row of each key in any order, given as columns or expressions (``F.desc("t")``).
 
     For ``row_number() = 1`` Spark keeps one row per key already before the
     shuffle (WindowGroupLimit), so a key with very many copies sends one row per
     task and does not gather in one. Ties are broken by further columns.
     """
-    order = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in newest])
-    return df.withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place")
+    first = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_place", F.row_number().over(first)).filter("_place = 1").drop("_place")
+
+
+def latest_per(df: DataFrame, keys: Sequence[str], *newest: str) -> DataFrame:
+    """The row of each key that is greatest by ``newest``."""
+    return deduplicate(df, keys, *[F.col(c).desc() for c in newest])
 
 
 def most_common(count: str, category: str) -> Column:

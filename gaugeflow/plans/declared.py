@@ -132,7 +132,7 @@ def correlations(rows: DataFrame, r: Roles = ROLES) -> DataFrame:
 
 
 def station_metrics(rows: DataFrame, r: Roles = ROLES) -> DataFrame:
-    """Statistics per key with its share of active hours."""
+    """Statistics per key with the span of its readings."""
     span = F.timestamp_diff("HOUR", F.date_trunc("HOUR", "first_record"), F.date_trunc("HOUR", "last_record")) + 1
     return key_statistics(rows, r).withColumn("hours_covered", span)
 

@@ -43,6 +43,16 @@ def daily_conditions(rows: DataFrame, r: Roles = ROLES) -> DataFrame:
     return value_counts(with_date(rows, r=r), [r.key, "observation_date"], r.category)
 
 
+def daily_weather_types(rows: DataFrame, r: Roles = ROLES) -> DataFrame:
+    """Per key and date the list of its categories with their numbers of readings, as JSON text, by name.
+
+    Readings are counted first, so a list is as long as the vocabulary of categories.
+    """
+    entry = F.struct(F.col(r.category).alias("weather"), F.col("occurrence_count").alias("count"))
+    listed = daily_conditions(rows, r).groupBy(r.key, "observation_date")
+    return listed.agg(F.to_json(F.array_sort(F.collect_list(entry))).alias("weather_types"))
+
+
 def daily_view(rows: DataFrame, r: Roles = ROLES) -> DataFrame:
     return summarise(
         with_date(rows, r=r),

@@ -11,7 +11,7 @@ from gaugeflow.functions.times import boundaries
 from gaugeflow.operators.grouping import join_groups, most_common, share_of_group, summarise, value_counts
 from gaugeflow.operators.ordered import SMALL, neighbour, rolling_rows
 from gaugeflow.plans.gold import with_date
-from gaugeflow.spec import ROLES, Roles, anchor, since_days, since_hours
+from gaugeflow.spec import ROLES, Roles, anchor, since_days
 
 
 def key_overview(rows: DataFrame, days: int = 7, as_of=None, r: Roles = ROLES) -> DataFrame:
@@ -316,10 +316,3 @@ def key_statistics(rows: DataFrame, r: Roles = ROLES) -> DataFrame:
         minima={"first_record": r.time},
         maxima={"last_record": r.time},
     ).orderBy(F.desc("record_count"), r.key)
-
-
-def current_weather_spread(rows: DataFrame, hours: int = 24, as_of=None, r: Roles = ROLES) -> DataFrame:
-    """Categories of the last hours over all keys."""
-    return value_counts(since_hours(rows, hours, as_of, r.time), [], r.category, "count").orderBy(
-        F.desc("count"), r.category
-    )

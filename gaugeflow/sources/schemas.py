@@ -37,9 +37,6 @@ EVENTS = (
     "city string, observation_time timestamp, temperature_celsius double, wind_speed double, weather_main string, "
     "weather_description string, event_type string, detection_time timestamp"
 )
-INGEST_METRIC = (
-    "city string, status string, duration_ms double, api_response_time double, rows_processed int, error string"
-)
 
 
 @dataclass(frozen=True)

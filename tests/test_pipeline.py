@@ -260,6 +260,16 @@ def test_retention_drops_folders(spark):
     assert before & after  # folders that keep all rows aren't written again
 
 
+def test_profile_counts_bytes(spark):
+    import os
+
+    path = scratch_path(spark, "t")
+    storage.append(frame(spark, [("a", i, i) for i in range(100)]).repartition(3), path)
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    got = storage.dataset_profile(spark.read.parquet(path)).first()
+    assert tuple(got) == (sum(os.path.getsize(f"{path}/{f}") for f in files), len(files), 100)
+
+
 def test_router(spark):
     path = scratch_path(spark, "t")
     assert storage.write_gold(frame(spark, []), path) == "skipped"
