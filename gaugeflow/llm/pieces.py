@@ -31,7 +31,6 @@ from __future__ import annotations
 import heapq
 import math
 import random
-import re
 from bisect import insort
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -41,7 +40,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from gaugeflow.llm.common import name, type_of
 
