@@ -146,13 +146,27 @@ def union_relations(
     return out
 
 
-def tables_like(spark: SparkSession, pattern: str = "%", exclude: str | None = None, prefix: str = "") -> dict[str, DataFrame]:
-    """Registered tables and views by prefix and SQL pattern (``%``, ``_``), in name order."""
+def tables_like(
+    spark: SparkSession, pattern: str = "%", exclude: str | None = None, prefix: str = "", schemas: str | None = None
+) -> dict[str, DataFrame]:
+    """Registered tables and views by prefix and SQL pattern (``%``, ``_``), in name order.
+
+    Of the current schema, by their names; with a pattern for ``schemas`` of all
+    schemas that it fits, as ``schema.table``.
+    """
 
     def matcher(sql: str):
         return re.compile("".join(".*" if ch == "%" else "." if ch == "_" else re.escape(ch) for ch in sql), re.I)
 
     want, skip = matcher(pattern), matcher(exclude) if exclude else None
+    if schemas is not None:
+        fits = [s.name for s in spark.catalog.listDatabases() if matcher(schemas).fullmatch(s.name)]
+        there = sorted((s, t.name) for s in fits for t in spark.catalog.listTables(s) if not t.isTemporary)
+        return {
+            f"{s}.{n}": spark.table(f"`{s}`.`{n}`")
+            for s, n in there
+            if n.startswith(prefix) and want.fullmatch(n) and not (skip and skip.fullmatch(n))
+        }
     names = sorted(t.name for t in spark.catalog.listTables())
     return {
         n: spark.table(n)
@@ -196,9 +210,8 @@ def date_spine(bounds: DataFrame, start: str, end: str, unit: str = "day", name:
         line = numbered.select(*rest, F.col(end).alias("_end"), value.cast(kind).alias(name))
         return line.filter(F.col(name) < F.col("_end")).drop("_end")
     step = F.expr(f"INTERVAL 1 {unit.upper()}")
-    last = (F.col(end) - step).cast(bounds.schema[end].dataType)
-    line = F.when(F.col(end) > F.col(start), F.sequence(F.col(start), last, step))
-    return bounds.select(*rest, F.explode(line).alias(name))
+    line = F.when(F.col(end) > F.col(start), F.sequence(F.col(start), F.col(end), step))
+    return bounds.select(*rest, F.explode(F.filter(line, lambda x: x < F.col(end))).alias(name))
 
 
 def number_series(spark: SparkSession, upper: int, name: str = "generated_number") -> DataFrame:

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from gaugeflow.runtime import MAX_FRAME_ROWS, MAX_GROUP_ROWS, limit, written
 
 RUN, TIE = "_run", "_tie"
+RUNS_PER_PARTITION = 16
 
 
 @dataclass(frozen=True)
@@ -87,12 +88,17 @@ def _fits(df: DataFrame, size: Size) -> bool:
 def pin_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], total: int, split_ties: bool = True) -> DataFrame:
     """Cut ``df`` into ordered runs of even size, numbered in ``_run``.
 
+    There are as many as the limit of rows asks for, up to a multiple of the
+    session's shuffle partitions: range boundaries come from a sample, and more
+    runs than it can tell apart wouldn't be even. Larger runs spill.
+
     With ``split_ties`` rows of equal order may fall into different runs; a hash
     of the row decides, so that a repeated task cuts the same way. Without, they
     stay together, as frames that count peers need: remove copies of a reading
     first (``latest_per``).
     """
-    runs = max(2, -(-total // limit(df.sparkSession, MAX_GROUP_ROWS)))
+    most = RUNS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    runs = max(2, min(-(-total // limit(df.sparkSession, MAX_GROUP_ROWS)), most))
     tied = df.withColumn(TIE, _hash(df) if split_ties else F.lit(0))
     ranged = tied.repartitionByRange(runs, *[F.col(c) for c in [*keys, *order, TIE]])
     return written(ranged.withColumn(RUN, F.spark_partition_id()), "runs")

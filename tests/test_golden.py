@@ -226,3 +226,35 @@ def test_runner(spark):
     df = spark.createDataFrame([(1,), (None,)], "id int")
     got = checks.run_checks({"nulls": checks.not_null(df, "id"), "unique": checks.unique(df, "id")})
     assert rows(got) == [("nulls", 1, "warn"), ("unique", 0, "pass")]
+
+
+def test_tables_of_several_schemas(spark, tmp_path):
+    for n in ("gf_one", "gf_two", "other"):
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {n} LOCATION '{tmp_path}/{n}'")
+        spark.range(2).write.mode("overwrite").saveAsTable(f"{n}.daily_x")
+    try:
+        got = columns.tables_like(spark, "daily%", schemas="gf%")
+        assert list(got) == ["gf_one.daily_x", "gf_two.daily_x"] and got["gf_two.daily_x"].count() == 2
+    finally:
+        for n in ("gf_one", "gf_two", "other"):
+            spark.sql(f"DROP SCHEMA {n} CASCADE")
+
+
+def test_pivot_refuses_too_many_values(spark):
+    spark.conf.set("spark.sql.pivotMaxValues", "3")
+    try:
+        with pytest.raises(ValueError):
+            columns.pivot(spark.range(3).selectExpr("id", "id AS v"), ["id"], "v", [1, 2, 3, 4])
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
+
+
+def test_spine_is_whole_over_many_blocks(spark):
+    bounds = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 00:00:30' AS a, TIMESTAMP_NTZ'2024-01-11 00:00:00' AS b, 'x' AS k")
+    got = columns.date_spine(bounds, "a", "b", "minute", "t").agg(F.count("t"), F.min("t"), F.max("t"), F.count_distinct("t")).first()
+    assert (got[0], got[3]) == (14400, 14400) and str(got[1]) == "2024-01-01 00:00:30" and str(got[2]) == "2024-01-10 23:59:30"
+    days = columns.date_spine(spark.sql("SELECT DATE'2024-01-01' AS a, DATE'2024-01-29' AS b"), "a", "b", "week", "d")
+    assert [str(r["d"]) for r in days.orderBy("d").collect()] == ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22"]
+    months = columns.date_spine(spark.sql("SELECT DATE'2024-01-31' AS a, DATE'2024-04-30' AS b"), "a", "b", "month", "d")
+    assert months.count() == 3
+    assert columns.date_spine(spark.sql("SELECT DATE'2024-01-02' AS a, DATE'2024-01-01' AS b"), "a", "b").count() == 0
