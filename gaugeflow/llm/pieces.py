@@ -50,7 +50,7 @@ POWER = 0x2545F4914F6CDD1D
 NEAR_END = 8  # with fewer words left, a node's children are always drawn one by one
 END = "\x00"
 STOPS = ".,;:!?)\""
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 18
 NODES = 1 << 20  # lattice nodes a task keeps between batches
 KEPT = 1 << 19  # of these, nodes that stay: those laid out first, frequent words among them
 
@@ -102,6 +102,21 @@ def decode_ids(ids, table: list[bytes]) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
+class Growing:
+    """An array that is added to at its end, and cut there."""
+
+    def __init__(self, kind) -> None:
+        self.data, self.size = np.empty(1024, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        if (need := self.size + len(more)) > len(self.data):
+            data = np.empty(max(need, len(self.data) * 3 // 2), self.data.dtype)
+            data[: self.size] = self.data[: self.size]
+            self.data = data
+        self.data[self.size : need] = more
+        self.size = need
+
+
 class Lattice:
     """The lattices of words, laid out one behind the other in arrays that grow.
 
@@ -137,26 +152,27 @@ class Lattice:
     def clear(self) -> None:
         self.start: dict[int, int] = {}  # first node by the hash of a word
         self.nodes = 0
-        self.final = np.empty(0, bool)  # nodes at which a word ends
-        self.first = np.zeros(1, np.int64)  # first edge of a node; one more at the end
-        self.to = np.empty(0, np.int32)
-        self.upto = np.empty(0, np.float32)
-        self.logp = np.empty(0, np.float32)
-        self.at = np.empty(0, np.int32)  # place and number of an edge's ids in self.ids
-        self.n = np.empty(0, np.int32)
-        self.ids = np.empty(0, np.int32)
+        self.columns = [Growing(k) for k in (bool, np.int32, np.int32, np.float32, np.float32, np.int32, np.int32, np.int32)]
+        self.columns[1].add(np.zeros(1, np.int32))
+        self._show()
+
+    def _show(self) -> None:
+        """``final``: nodes at which a word ends. ``first``: first edge of a node, and one more. Of edges: the node
+        they lead to, ``upto``, log-probability, place and number of their ids in ``ids``."""
+        self.final, self.first, self.to, self.upto, self.logp, self.at, self.n, self.ids = (c.data for c in self.columns)
 
     def trim(self) -> None:
         """Forget the words laid out last."""
-        ends = np.flatnonzero(self.final[:KEPT])
-        if self.nodes <= NODES or not len(ends):
+        if self.nodes <= NODES:
             return
+        ends = np.flatnonzero(self.final[:KEPT])
+        if not len(ends):
+            return self.clear()
         self.nodes = int(ends[-1]) + 1
         edges = int(self.first[self.nodes])
         ids = int((self.at[:edges] + self.n[:edges]).max(initial=0))
-        self.final, self.first = self.final[: self.nodes].copy(), self.first[: self.nodes + 1].copy()
-        self.to, self.upto, self.logp = self.to[:edges].copy(), self.upto[:edges].copy(), self.logp[:edges].copy()
-        self.at, self.n, self.ids = self.at[:edges].copy(), self.n[:edges].copy(), self.ids[:ids].copy()
+        for c, size in zip(self.columns, (self.nodes, self.nodes + 1, *[edges] * 5, ids), strict=True):
+            c.size = size
         self.start = {w: at for w, at in self.start.items() if at < self.nodes}
 
     def starts(self, texts: list[str]) -> list[np.ndarray]:
@@ -252,17 +268,17 @@ class Lattice:
             upto[more] += upto[more - 1]
         upto = upto.astype(np.float32)
         upto[(first + per - 1)[per > 0]] = 2.0  # the last edge of each node closes it
-        old = len(self.to)
-        self.first = np.concatenate([self.first[:-1], old + first, [old + len(low)]])
-        self.to = np.concatenate([self.to, (base + high).astype(np.int32)])
-        self.upto = np.concatenate([self.upto, upto])
-        self.logp = np.concatenate([self.logp, logp.astype(np.float32)])
-        self.at = np.concatenate([self.at, (len(self.ids) + at).astype(np.int32)])
-        self.n = np.concatenate([self.n, n.astype(np.int32)])
-        self.ids = np.concatenate([self.ids, ids])
+        final, starts, *rest, held = self.columns
+        old = rest[0].size
         last = np.zeros(size, bool)
         last[ends] = True
-        self.final = np.concatenate([self.final, last])
+        final.add(last)
+        starts.size -= 1
+        starts.add(np.append(old + first, old + len(low)))
+        for c, x in zip(rest, (base + high, upto, logp, held.size + at, n), strict=True):
+            c.add(x)
+        held.add(ids)
+        self._show()
         self.nodes += size
         return base + offsets
 
