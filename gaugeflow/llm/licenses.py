@@ -5,8 +5,7 @@ compared as a whole; of any other text every line is a header that may be a noti
 
 Cosine. Terms are runs of a-z and 0-9 in lower case; a term weighs its count in the
 unit times ln((1 + n) / (1 + df)) + 1, n being the number of documents and df that of
-documents which hold it. df is counted over all documents for the terms of the
-templates; any other term weighs as if one document held it.
+documents which hold it, counted over all documents for every term.
 
 Only units that can reach ``least`` are cut into terms: the light terms of a
 template whose weights together have a length under ``least`` of the template's
@@ -113,20 +112,18 @@ def scan(docs: DataFrame, id_col: str, path: Column, text_col: str = "text", set
     texts = docs.select(key.alias("key"), text.alias("text"))
     # weights of the terms
     vocabulary = sorted({t for c in counts() for t in c})
-    held = F.array_intersect(_terms(F.lower("text")), F.array(*[F.lit(t) for t in vocabulary]))
-    # one pass counts documents and what they hold; a row per term of the templates, and one more
-    marked = texts.select(F.explode(F.concat(F.array(F.lit("")), held)).alias("term"))
-    found = {r["term"]: r["n"] for r in marked.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # one pass counts documents and what they hold, the number of documents under the empty term
+    marked = texts.select(F.explode(F.concat(F.array(F.lit("")), F.array_distinct(_terms(F.lower("text"))))).alias("d_term"))
+    df, _ = stored(marked.groupBy("d_term").agg(F.count(F.lit(1)).alias("df")), "license-df")
+    found = {r["d_term"]: r["df"] for r in df.where(F.col("d_term").isin("", *vocabulary)).collect()}
     n = found.get("", 0)
     weight = {t: math.log((1.0 + n) / (1.0 + found.get(t, 0))) + 1.0 for t in vocabulary}
-    other = math.log((1.0 + n) / 2.0) + 1.0
     # units that hold a heavy term, cut into terms
     heavy = "|".join(sorted(heavy_terms(weight, s.least)))
     units = _units(texts).where(F.col("unit").rlike(f"(?<![a-z0-9])(?:{heavy})(?![a-z0-9])"))
     terms = units.withColumn("words", F.size(word_array(F.col("unit")))).select("key", "line", "words", F.explode(_terms(F.col("unit"))).alias("term"))
     tf = terms.groupBy("key", "line", "words", "term").agg(F.count(F.lit(1)).alias("tf"))
-    weights = spark.createDataFrame(sorted(weight.items()), "w_term string, idf double")
-    weighed = tf.join(weights, tf["term"] == weights["w_term"], "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(other)))
+    weighed = tf.join(df, tf["term"] == df["d_term"]).withColumn("w", F.col("tf") * _idf(F.col("df"), n))
     weighed, _ = stored(weighed.select("key", "line", "words", "term", "w"), "license-terms")
     sizes = weighed.groupBy("key", "line", "words").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size"))
     rows = []

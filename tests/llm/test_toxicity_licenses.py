@@ -1,7 +1,10 @@
 """Toxicity and licence scans."""
 
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import pytest
 from conftest import SF_DIR
@@ -111,6 +114,21 @@ def test_headers_files_and_inheritance(spark):
     assert licenses.scan(df.where("false"), "doc_id", F.col("path")).count() == 0
 
 
+def test_document_frequencies_of_all_terms(spark):
+    """A notice with an ordinary word counts, however large the corpus; brute force over all terms."""
+    notice = "The project is released under the MIT License."
+    rows = [(0, "a/x", f"{PROSE}\n{notice}\n"), *[(i, f"b/{i}", f"the project of day {i} under way") for i in range(1, 400)]]
+    df = spark.createDataFrame(rows, "doc_id bigint, path string, text string")
+    terms = lambda text: re.findall("[a-z0-9]+", text.lower())
+    held = Counter(t for _, _, text in rows for t in set(terms(text)))
+    vector = lambda text: {t: k * (math.log((1 + len(rows)) / (1 + held[t])) + 1) for t, k in Counter(terms(text)).items()}
+    a, b = vector(notice), vector(MIT)
+    cosine = sum(a[t] * b.get(t, 0) for t in a) / math.hypot(*a.values()) / math.hypot(*b.values())
+    got = {r["doc_id"]: (r["license"], r["score"]) for r in licenses.scan(df, "doc_id", F.col("path")).collect()}
+    assert got[0] == ("MIT", pytest.approx(cosine, abs=1e-6)) and cosine >= 0.75
+    assert {v for k, v in got.items() if k} == {(None, None)}
+
+
 def test_nearest_directory_wins_and_the_root_counts(spark):
     rows = [(1, "LICENSE", MIT), (2, "a/COPYING", APACHE), (3, "a/b/x", PROSE), (4, "c/x", PROSE), (5, "a/LICENCE.txt", "Licensed under the ISC License.")]
     got = {r["doc_id"]: (r["license"], r["origin"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, path string, text string"), "doc_id", F.col("path")).collect()}
