@@ -1,18 +1,21 @@
 """License scans: TF-IDF cosine of headers and licence files to templates, inherited along directories.
 
-Units. A row whose file name says licence (``LICENSE``, ``COPYING`` and the like) is
-compared as a whole; of any other text every line is a header that may be a notice.
+Units. Notices are wrapped, so every line of a text is compared, and every block of
+neighbouring lines: paragraphs (up to a line that holds nothing but comment marks),
+runs (up to an empty line, or where comment marks begin or end) and whole comments
+between marks that open and close one. A row whose file name says licence (``LICENSE``,
+``COPYING`` and the like) is also compared as a whole. Comment marks aren't terms.
 
 Cosine. Terms are runs of a-z and 0-9 in lower case; a term weighs its count in the
 unit times ln((1 + n) / (1 + df)) + 1, n being the number of documents and df that of
 documents which hold it, counted over all documents for every term.
 
-Only units that can reach ``least`` are cut into terms: the light terms of a
+Only units that can reach ``least`` are cut into terms: the common terms of a
 template whose weights together have a length under ``least`` of the template's
-can't do it alone, so a unit has to hold one of the heavy ones. That is exact.
+can't do it alone, so a unit has to hold one of the others. That is exact.
 
 Inheritance. A licence file, or a text of which at least ``share`` of the words are in
-matched lines, licenses its directory; in a directory with several the best
+lines of matched units, licenses its directory; in a directory with several the best
 score counts, then the smallest path. A row without a licence of its own takes
 that of the nearest directory above it. Directories are resolved once each,
 then joined to the rows.
@@ -23,6 +26,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -30,7 +34,39 @@ from pyspark.sql import functions as F
 
 from gaugeflow.llm.common import name, stored, word_array
 
-# Customary notices, by licence.
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge,
+publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so,
+subject to the following conditions:"""
+_MIT_REST = """The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY
+CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that
+the above copyright notice and this permission notice appear in all copies."""
+_ISC_REST = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL
+DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER
+TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+_BSD_2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer
+in the documentation and/or other materials provided with the distribution."""
+_BSD_3 = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived
+from this software without specific prior written permission."""
+_BSD_REST = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT
+NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT
+HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT
+LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY
+THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_GNU = "you can redistribute it and/or modify it under the terms of the GNU {0}General Public License as published by the Free Software Foundation"
+_LATER = "version {0} of the License, or (at your option) any later version."
+_UNLICENSE = """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile,
+sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any
+means."""
+# Customary notices and texts, by licence. Long texts are known by the notices they hold.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
@@ -53,9 +89,28 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("MIT", _MIT),
+    ("MIT", f"{_MIT} {_MIT_REST}"),
+    ("ISC", _ISC),
+    ("ISC", f"{_ISC} {_ISC_REST}"),
+    ("BSD-2-Clause", _BSD_2),
+    ("BSD-2-Clause", f"{_BSD_2} {_BSD_REST}"),
+    ("BSD-3-Clause", _BSD_3),
+    ("BSD-3-Clause", f"{_BSD_2} {_BSD_3}"),
+    ("BSD-3-Clause", f"{_BSD_2} {_BSD_3} {_BSD_REST}"),
+    ("GPL-2.0", f"This program is free software; {_GNU.format('')}; either {_LATER.format(2)}"),
+    ("LGPL-2.1", f"This library is free software; {_GNU.format('Lesser ')}; either {_LATER.format('2.1')}"),
+    ("LGPL-3.0", f"This library is free software: {_GNU.format('Lesser ')}, either {_LATER.format(3)}"),
+    ("LGPL-3.0", "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public License, supplemented by the additional permissions listed below."),
+    ("AGPL-3.0", f"This program is free software: {_GNU.format('Affero ')}, either {_LATER.format(3)}"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("Unlicense", _UNLICENSE),
 )
 FILE = r"(?i)(^|/)(un)?(licen[sc]e|copying|notice)([-._][^/]*)?$"
 TERM = "[a-z0-9]+"
+# Lines that hold at most marks, begin with a comment mark, open a comment, or close one.
+BLANK, MARKED = r"^[^\p{L}\p{N}]*$", r"^\s*(?:#|//|/\*|\*|--|;|%|<!--|\.\.\s)"
+OPENS, CLOSES = r"^\s*(?:/\*|<!--)", r"(?:\*/|-->)\s*$"
 
 
 @dataclass(frozen=True)
@@ -79,18 +134,39 @@ def heavy_terms(weight: dict[str, float], least: float) -> set[str]:
     for terms in counts():
         size = {t: (n * weight[t]) ** 2 for t, n in terms.items()}
         room = least**2 * sum(size.values()) * (1 - 1e-9)
-        for t in sorted(size, key=lambda t: (size[t], t)):
+        for t in sorted(size, key=lambda t: (weight[t], size[t], t)):
             room -= size[t]
             if room <= 0:
                 found.add(t)
     return found
 
 
+def _any_of(terms: set[str]) -> str:
+    """A pattern for one of the terms, letter by letter."""
+    found = [f"{c}{_any_of({t[1:] for t in terms if t[:1] == c})}" for c in sorted({t[:1] for t in terms} - {""})]
+    return f"(?:{'|'.join(found)}){'?' if '' in terms else ''}" if found else ""
+
+
+def _spans(lines: Column, begins: Callable[[Column, Column], Column]) -> Column:
+    """(line, n) of blocks; ``begins`` says of a line and the one before it whether a block begins."""
+    last = F.size(lines)
+    at = F.filter(F.sequence(F.lit(0), last - 1), lambda i: (i == 0) | begins(F.get(lines, i), F.get(lines, i - 1)))
+    return F.transform(at, lambda i, k: F.struct(i.alias("line"), (F.coalesce(F.get(at, k + 1), last) - i).alias("n")))
+
+
 def _units(docs: DataFrame) -> DataFrame:
-    """(key, line, unit): lines of texts, -1 and the whole text for licence files."""
-    lines = F.when(F.col("key.path").rlike(FILE), F.array(F.col("text"))).otherwise(F.split("text", "\n"))
-    at = F.when(F.col("key.path").rlike(FILE), F.lit(-1)).otherwise(F.col("pos"))
-    return docs.select("key", F.posexplode(lines).alias("pos", "unit")).select("key", at.alias("line"), F.lower("unit").alias("unit"))
+    """(key, line, n, unit): single lines and blocks of ``n`` lines from ``line`` on; -1 and 0 for licence files as a whole."""
+    lines = F.col("lines")
+    edge = lambda x, y: x.rlike(OPENS) | y.rlike(CLOSES)
+    single = _spans(lines, lambda x, y: F.lit(True))
+    paragraphs = _spans(lines, lambda x, y: edge(x, y) | x.rlike(BLANK))
+    runs = _spans(lines, lambda x, y: edge(x, y) | x.rlike(r"^\s*$") | (x.rlike(MARKED) != y.rlike(MARKED)))
+    comments = F.filter(_spans(lines, edge), lambda x: F.get(lines, x["line"]).rlike(OPENS))
+    whole = F.when(F.col("key.path").rlike(FILE), F.array(F.struct(F.lit(-1).alias("line"), F.lit(0).alias("n"))))
+    blocks = F.array_distinct(F.concat(single, paragraphs, runs, comments, F.coalesce(whole, F.array().cast("array<struct<line:int,n:int>>"))))
+    cut = docs.withColumn("lines", F.split(F.lower("text"), "\n")).select("key", "lines", "text", F.explode(blocks).alias("at"))
+    unit = F.when(F.col("at.n") == 0, F.lower("text")).otherwise(F.array_join(F.slice(lines, F.greatest("at.line", F.lit(0)) + 1, F.col("at.n")), " "))
+    return cut.select("key", "at.line", "at.n", unit.alias("unit"))
 
 
 def _terms(text: Column) -> Column:
@@ -119,30 +195,31 @@ def scan(docs: DataFrame, id_col: str, path: Column, text_col: str = "text", set
     n = found.get("", 0)
     weight = {t: math.log((1.0 + n) / (1.0 + found.get(t, 0))) + 1.0 for t in vocabulary}
     # units that hold a heavy term, cut into terms
-    heavy = "|".join(sorted(heavy_terms(weight, s.least)))
-    units = _units(texts).where(F.col("unit").rlike(f"(?<![a-z0-9])(?:{heavy})(?![a-z0-9])"))
-    terms = units.withColumn("words", F.size(word_array(F.col("unit")))).select("key", "line", "words", F.explode(_terms(F.col("unit"))).alias("term"))
-    tf = terms.groupBy("key", "line", "words", "term").agg(F.count(F.lit(1)).alias("tf"))
+    heavy = f"(?<![a-z0-9]){_any_of(heavy_terms(weight, s.least))}(?![a-z0-9])"
+    units = _units(texts.where(F.lower("text").rlike(heavy))).where(F.col("unit").rlike(heavy))
+    terms = units.select("key", "line", "n", F.explode(_terms(F.col("unit"))).alias("term"))
+    tf = terms.groupBy("key", "line", "n", "term").agg(F.count(F.lit(1)).alias("tf"))
     weighed = tf.join(df, tf["term"] == df["d_term"]).withColumn("w", F.col("tf") * _idf(F.col("df"), n))
-    weighed, _ = stored(weighed.select("key", "line", "words", "term", "w"), "license-terms")
-    sizes = weighed.groupBy("key", "line", "words").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size"))
+    weighed, _ = stored(weighed.select("key", "line", "n", "term", "w"), "license-terms")
+    sizes = weighed.groupBy("key", "line", "n").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size"))
     rows = []
     for i, ((license_, _), c) in enumerate(zip(TEMPLATES, counts(), strict=True)):
         size = math.sqrt(sum((k * weight[t]) ** 2 for t, k in c.items()))
         rows += [(t, i, license_, k * weight[t] / size) for t, k in sorted(c.items())]
     templates = spark.createDataFrame(rows, "t_term string, template int, license string, t double")
     dots = weighed.join(templates, weighed["term"] == templates["t_term"])
-    dots = dots.groupBy("key", "line", "template", "license").agg(F.sum(F.col("w") * F.col("t")).alias("dot"))
-    scored = dots.join(sizes, ["key", "line"]).withColumn("score", F.round(F.col("dot") / F.col("size"), s.digits))
+    dots = dots.groupBy("key", "line", "n", "template", "license").agg(F.sum(F.col("w") * F.col("t")).alias("dot"))
+    scored = dots.join(sizes, ["key", "line", "n"]).withColumn("score", F.round(F.col("dot") / F.col("size"), s.digits))
     best = F.max(F.struct("score", "license"))
-    lines = scored.where(F.col("score") >= s.least).groupBy("key", "line", "words").agg(best.alias("best"))
-    own = lines.groupBy("key").agg(F.max("best").alias("best"), F.sum("words").alias("in_lines"))
+    found = scored.where(F.col("score") >= s.least).groupBy("key", "line", "n").agg(best.alias("best"))
+    own = found.groupBy("key").agg(F.max("best").alias("best"), F.collect_set(F.struct("line", "n")).alias("spans"))
     own, _ = stored(own, "license-own")
     # directories
-    size = F.size(word_array(F.col("text")))
-    rows_ = texts.select("key", size.alias("n_words")).select("key", "n_words", _directory(F.col("key.path")).alias("dir"))
+    sizes = F.transform(F.split("text", "\n"), lambda x: F.size(word_array(x)))
+    rows_ = texts.select("key", sizes.alias("sizes"), _directory(F.col("key.path")).alias("dir"))
     rows_, _ = stored(rows_, "license-rows")
-    met = rows_.select("key", "n_words", "dir").distinct().join(own, "key")
+    met = rows_.distinct().join(own, "key")
+    met = met.withColumns({"in_lines": _total(_covered(F.col("spans")), lambda i: F.get("sizes", i)), "n_words": _total(F.col("sizes"), lambda x: x)})
     files = met.where(F.col("key.path").rlike(FILE) | (F.col("in_lines") >= s.share * F.col("n_words")))
     # the greatest of (score, smallest path): paths are compared once the score is settled
     top = files.groupBy("dir").agg(F.max("best.score").alias("top"))
@@ -151,7 +228,7 @@ def scan(docs: DataFrame, id_col: str, path: Column, text_col: str = "text", set
     above = rows_.select("dir").distinct().withColumn("up", F.explode(_ancestors(F.col("dir"))))
     licensed = licensed.select(F.col("dir").alias("up"), "best")
     near = above.join(licensed, "up").groupBy("dir").agg(F.max_by(F.struct("best", "up"), F.length("up")).alias("near"))
-    full = rows_.join(own.select(F.col("key").alias("o_key"), "best"), F.col("key") == F.col("o_key"), "left")
+    full = rows_.select("key", "dir").join(own.select(F.col("key").alias("o_key"), "best"), F.col("key") == F.col("o_key"), "left")
     full = full.join(near.select(F.col("dir").alias("n_dir"), "near"), F.col("dir") == F.col("n_dir"), "left")
     return full.select(
         F.col("key.id").alias(id_col),
@@ -162,6 +239,16 @@ def scan(docs: DataFrame, id_col: str, path: Column, text_col: str = "text", set
     )
 
 
+def _covered(spans: Column) -> Column:
+    """The lines of some blocks, once each."""
+    within = F.filter(spans, lambda x: x["n"] > 0)
+    return F.array_distinct(F.flatten(F.transform(within, lambda x: F.sequence(x["line"], x["line"] + x["n"] - 1))))
+
+
+def _total(values: Column, size: Callable[[Column], Column]) -> Column:
+    return F.aggregate(values, F.lit(0), lambda a, x: a + size(x))
+
+
 def _directory(path: Column) -> Column:
     return F.regexp_extract(path, r"(?s)^(.*)/[^/]*$", 1)
 

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -129,6 +130,28 @@ def test_document_frequencies_of_all_terms(spark):
     assert {v for k, v in got.items() if k} == {(None, None)}
 
 
+GPL = (" This program is free software{0} you can redistribute it and/or modify\n it under the terms of the GNU General Public License as published by\n"
+       " the Free Software Foundation{1} either version {2} of the License, or\n (at your option) any later version.")
+
+
+def test_wrapped_notices_and_licence_files(spark):
+    wrap = lambda text, width=70: "\n".join(textwrap.wrap(text, width))
+    marked = lambda text, mark: "\n".join(f"{mark}{x}" for x in text.split("\n"))
+    mit = f"MIT License\n\nCopyright (c) 2020 A B\n\n{wrap(licenses._MIT)}\n\n{wrap(licenses._MIT_REST)}\n"
+    bsd = "\n\n".join(wrap(x) for x in ("Copyright 2020 A B. All rights reserved.", licenses._BSD_2, licenses._BSD_3, licenses._BSD_REST))
+    code = "import os\nimport sys\n" + PROSE * 30
+    rows = [
+        (1, "a/x.py", f"{marked(GPL.format(':', ',', 3), '#')}\n{code}"), (2, "b/x.c", f"/*\n *{PROSE} *\n{marked(GPL.format(';', ';', 2), ' *')}\n */\n{code}"),
+        (3, "c/LICENSE", mit), (4, "c/d/x", PROSE), (5, "e/x.c", f"/*\n{marked(bsd, ' * ')}\n */\n{code}"), (6, "f/COPYING", bsd), (7, "f/x", PROSE),
+        (8, "g/x", " ".join(GPL.format(";", ";", 2).split())), (9, "h/x.c", f"/* {bsd} */\n{code}"), (10, "i/x", PROSE.replace(" ", "\n")),
+        (11, "j/LICENSE", f"GNU GENERAL PUBLIC LICENSE\n\n{PROSE * 20}\n\n{GPL.format(':', ',', 3)}\n\n{PROSE}"),
+    ]
+    got = {r["doc_id"]: (r["license"], r["origin"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, path string, text string"), "doc_id", F.col("path")).collect()}
+    assert got[1] == ("GPL-3.0", "a/x.py") and got[2] == ("GPL-2.0", "b/x.c") and got[3] == ("MIT", "c/LICENSE") and got[4] == ("MIT", "c")
+    assert got[5] == ("BSD-3-Clause", "e/x.c") and got[6] == ("BSD-3-Clause", "f/COPYING") and got[7] == ("BSD-3-Clause", "f")
+    assert got[8] == ("GPL-2.0", "g/x") and got[9] == ("BSD-3-Clause", "h/x.c") and got[10] == (None, None) and got[11] == ("GPL-3.0", "j/LICENSE")
+
+
 def test_nearest_directory_wins_and_the_root_counts(spark):
     rows = [(1, "LICENSE", MIT), (2, "a/COPYING", APACHE), (3, "a/b/x", PROSE), (4, "c/x", PROSE), (5, "a/LICENCE.txt", "Licensed under the ISC License.")]
     got = {r["doc_id"]: (r["license"], r["origin"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, path string, text string"), "doc_id", F.col("path")).collect()}
