@@ -2,13 +2,15 @@
 
 Markup is stripped into lines, one for each block of the page. A line weighs as
 many characters as it has, none if it stands in an element that never holds main
-text (menus, page headers, footers, sidebars, notices, adverts, forms, comments)
-or is mostly links. A block is ``width`` lines in a row; its value is the sum of
+text (menus, page headers, footers, sidebars, notices, adverts, forms, comments) or is
+mostly links. A block is ``width`` lines in a row; its value is the sum of
 their weights. Going down the page, the text begins where the values surge over
 the threshold and ends where they dive to nothing; lines between the two points
 are kept. The threshold is ``surge`` characters, or a quarter of the largest
-block where that is less, so a short page isn't lost. Where the page names its
-article, only lines inside it weigh anything, and any weight is a surge.
+block where that is less, so a short page isn't lost. Tags that name an article only
+refine the borders: a stretch that is mostly inside of them is widened or cut to the
+whole of these articles. Any other stretch stays as it is. An article in an element
+that is skipped is skipped too, if the element has an end tag of its own.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from gaugeflow.llm.common import name
 class Settings:
     width: int = 3
     surge: int = 86
-    share: float = 0.2  # a stretch with less of the largest stretch's text isn't main text, without a named article
+    share: float = 0.2  # a stretch with less of the largest stretch's text isn't main text
 
 
 # Element names of the markup language by their role.
@@ -61,26 +63,36 @@ MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)
 UNSEEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none|visibility\s*:\s*hidden""", re.I)
 
 
+@dataclass
+class Skip:
+    """An element that never holds main text, or that is marked by words alone."""
+
+    hard: bool
+    closed: bool = False  # by its own end tag
+
+
 @dataclass
 class Line:
     text: str
     weight: int
-    inside: bool  # the named article
+    article: int  # the outermost article it is in; 0 for none
+    mark: Skip | None = None  # the outermost marked element it is in
 
 
-def _skipped(tag: str, attributes: str, inside: bool) -> bool:
+def _skipped(tag: str, attributes: str, inside: bool) -> Skip | None:
     if tag in TOP:
-        return False
+        return None
     if tag in NEVER or (tag == "header" and not inside):
-        return True
+        return Skip(True)
     if not attributes:
-        return False
+        return None
     if UNSEEN.search(attributes):
-        return True
-    words = {w for m in MARK.finditer(attributes) for w in re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower())}
+        return Skip(True)
+    values = [m[1] or m[2] or m[3] or "" for m in MARK.finditer(attributes)]
     if tag == "article":
-        return not OTHER.isdisjoint(words)
-    return not MARKED.isdisjoint(words) or ("header" in words and not inside)
+        return None if OTHER.isdisjoint({w for v in values for w in re.split(r"[^a-z]+", v.lower())}) else Skip(False)
+    words = {w for v in values for w in re.split(r"[^a-z]+", v.lower())}
+    return Skip(False) if not MARKED.isdisjoint(words) or ("header" in words and not inside) else None
 
 
 class Page:
@@ -88,14 +100,17 @@ class Page:
 
     def __init__(self) -> None:
         self.lines: list[Line] = []
-        self.stack: list[tuple[str, bool]] = []
-        self.skip = self.links = self.articles = 0
-        self.named = False  # an article has been seen
+        self.stack: list[tuple[str, Skip | None]] = []
+        self.skips: list[Skip] = []  # open ones
+        self.hard = self.links = self.depth = self.articles = 0
+        self.outer: dict[int, list[Skip]] = {}  # elements skipped around an article
+        self.around = 0  # number of these for the open article, and of the hard ones
+        self.hard_around = 0
         self.parts: list[str] = []
         self.linked = 0
 
     def text(self, raw: str) -> None:
-        if raw and not self.skip:
+        if raw and self.hard == self.hard_around:
             self.parts.append(raw)
             if self.links:
                 self.linked += len(raw)
@@ -105,14 +120,15 @@ class Page:
             raw = "".join(self.parts)
             text = " ".join(html.unescape(raw).split())
             if text:
-                mostly_links = not self.articles and 2 * self.linked > len(raw)
-                self.lines.append(Line(text, 0 if mostly_links else len(text), self.articles > 0))
+                mostly_links = not self.depth and 2 * self.linked > len(raw)
+                mark = self.skips[self.around] if len(self.skips) > self.around else None
+                self.lines.append(Line(text, 0 if mostly_links else len(text), self.articles if self.depth else 0, mark))
         self.parts, self.linked = [], 0
 
     def gap(self) -> None:
         """Text that weighs nothing keeps its place between lines."""
         if not self.lines or self.lines[-1].text:
-            self.lines.append(Line("", 0, False))
+            self.lines.append(Line("", 0, 0))
 
     def open(self, tag: str, attributes: str) -> None:
         if tag not in INLINE:
@@ -125,24 +141,35 @@ class Page:
                         break
         if tag in VOID or attributes.endswith("/"):
             return
-        skipped = _skipped(tag, attributes, self.articles > 0)
-        if tag in ("article", "main") and not skipped and not self.named:
-            while self.skip:  # whatever was left open before it
-                self.pop()
-            self.named = True
-        if skipped and not self.skip:
+        skip = _skipped(tag, attributes, self.depth > 0)
+        if tag in ("article", "main"):
+            if not self.depth and not skip:
+                self.articles += 1
+                self.outer[self.articles] = list(self.skips)
+                self.around, self.hard_around = len(self.skips), self.hard
+                if self.skips:
+                    self.gap()
+            self.depth += not skip or self.depth > 0
+        if skip:
             self.flush()
             self.gap()
-        self.stack.append((tag, skipped))
-        self.skip += skipped
+            self.skips.append(skip)
+            self.hard += skip.hard
+        self.stack.append((tag, skip))
         self.links += tag == "a"
-        self.articles += tag in ("article", "main")
 
     def pop(self) -> str:
-        tag, skipped = self.stack.pop()
-        self.skip -= skipped
+        tag, skip = self.stack.pop()
+        if skip:
+            self.flush()
+            self.gap()
+            self.skips.pop()
+            self.hard -= skip.hard
         self.links -= tag == "a"
-        self.articles -= tag in ("article", "main")
+        if tag in ("article", "main") and self.depth:
+            self.depth -= 1
+            if not self.depth:
+                self.around = self.hard_around = 0
         return tag
 
     def close(self, tag: str) -> None:
@@ -152,12 +179,14 @@ class Page:
             if self.stack[i][0] == tag:
                 if tag in INLINE and any(t not in INLINE for t, _ in self.stack[i:]):
                     return
+                if skip := self.stack[i][1]:
+                    skip.closed = True
                 while len(self.stack) > i:
                     self.pop()
                 return
 
 
-def lines_of(page: str) -> list[Line]:
+def _read(page: str) -> Page:
     p, at = Page(), 0
     for m in TOKEN.finditer(page):
         p.text(page[at : m.start()])
@@ -172,18 +201,34 @@ def lines_of(page: str) -> list[Line]:
             p.flush()
     p.text(page[at:])
     p.flush()
-    return p.lines
+    return p
+
+
+def lines_of(page: str) -> list[Line]:
+    """Lines without those of closed elements that skip an article with them, and of marked ones."""
+    p = _read(page)
+    for line in p.lines:
+        # an element that never ends doesn't hold the article after it
+        around = [x for x in p.outer.get(line.article, ()) if x.closed]
+        if any(x.hard for x in around):
+            line.text, line.weight = "", 0
+        elif around:
+            line.mark = around[0]
+    for line in p.lines:
+        if line.mark:
+            line.text, line.weight = "", 0
+    # what weighs nothing is one gap, however long
+    return [x for i, x in enumerate(p.lines) if x.text or i == 0 or p.lines[i - 1].text]
 
 
 def extract(page: str, s: Settings = Settings()) -> str:
     """The main text of a page, its blocks joined by one space; empty if there is none."""
     lines = lines_of(page)
-    named = any(x.inside and x.text for x in lines)
-    weight = np.array([x.weight if x.inside or not named else 0 for x in lines], np.int64)
+    weight = np.array([x.weight for x in lines], np.int64)
     if not weight.any():
         return ""
     block = np.convolve(weight, np.ones(s.width, np.int64))[s.width - 1 :]  # from a line downwards
-    surge = 0 if named else min(s.surge, int(block.max()) // 4)
+    surge = min(s.surge, int(block.max()) // 4)
     stretches: list[tuple[int, int]] = []
     at = 0
     while at < len(lines):
@@ -196,8 +241,17 @@ def extract(page: str, s: Settings = Settings()) -> str:
         stretches.append((at, end))
         at = end
     sums = [int(weight[a:b].sum()) for a, b in stretches]
-    kept = [x for x, n in zip(stretches, sums, strict=True) if named or n >= s.share * max(sums)]
-    return " ".join(lines[i].text for a, b in kept for i in range(a, b) if weight[i] > 0)
+    kept: set[int] = set()
+    articles: set[int] = set()
+    for (a, b), n in zip(stretches, sums, strict=True):
+        if n < s.share * max(sums):
+            continue
+        inside = sum(int(weight[i]) for i in range(a, b) if lines[i].article)
+        if 2 * inside > n:
+            articles.update(lines[i].article for i in range(a, b) if lines[i].article)
+        else:
+            kept.update(range(a, b))
+    return " ".join(x.text for i, x in enumerate(lines) if weight[i] > 0 and (i in kept or x.article in articles))
 
 
 def main_text(

@@ -35,6 +35,19 @@ def test_main_text(page):
     assert html_text.extract(page) == PAGES[page]
 
 
+LONG = f"<p>{ARTICLE}</p>" * 6
+WHOLE = " ".join([ARTICLE] * 6)
+
+
+def test_an_article_that_is_not_the_body():
+    teaser = "<article class=card><p>A teaser of another story.</p></article>"
+    assert WHOLE in html_text.extract(f"<div class=content>{LONG}</div>{teaser}")
+    assert html_text.extract(f"<div class=content>{LONG}</div><aside>{teaser}</aside>") == WHOLE
+    assert html_text.extract(f"<aside>{teaser}</aside><div class=content>{LONG}</div>") == WHOLE
+    assert html_text.extract(f"<div class=sidebar>{teaser}</div><div class=content>{LONG}</div>") == WHOLE
+    assert html_text.extract(f"<div>menu</div><article>{LONG}<br>End.</article><div>x</div>") == f"{WHOLE} End."
+
+
 def test_surge_and_dive_without_a_named_article():
     stories = "".join(f"<div>{ARTICLE}</div>" for _ in range(6))
     ads = "".join(f"<div class=ad>{ARTICLE}</div><hr>" for _ in range(3))
