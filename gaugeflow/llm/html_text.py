@@ -2,8 +2,10 @@
 
 Markup is stripped into lines, one for each block of the page. A line weighs as
 many characters as it has, none if it stands in an element that never holds main
-text (menus, page headers, footers, sidebars, notices, adverts, forms, comments) or is
-mostly links. A block is ``width`` lines in a row; its value is the sum of
+text (menus, page headers, footers, sidebars, forms) or is mostly links. Elements that
+their class, id or role marks as such, or as notices, adverts or comments, weigh
+nothing either, unless they hold more than the rest of the page: a word can be wrong.
+They stay marked next to an article that ``share`` allows as main text. A block is ``width`` lines in a row; its value is the sum of
 their weights. Going down the page, the text begins where the values surge over
 the threshold and ends where they dive to nothing; lines between the two points
 are kept. The threshold is ``surge`` characters, or a quarter of the largest
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,6 +55,9 @@ MARKED = frozenset(
     "disqus reply replies respond pagination pager toolbar widget widgets copyright skip hidden".split()
 )
 TOP = frozenset("html body main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Words that say where or what kind of box a marked element is.
+PLACES = frozenset("site page main top bottom left right primary secondary global inner outer box bar container wrapper wrap area block section list item items link links slot unit label title button panel row column columns holder x".split())
 # Of these, what can mark an article that isn't the page's.
 OTHER = frozenset("ad ads advert advertisement sponsored promo related recommended comment comments reply replies teaser".split())
 TOKEN = re.compile(
@@ -79,6 +85,15 @@ class Line:
     mark: Skip | None = None  # the outermost marked element it is in
 
 
+def _marked(value: str, words: frozenset[str]) -> bool:
+    """Whether a token of a class, id or role says nothing else than such words, and where they are."""
+    for token in value.lower().split():
+        parts = {w for w in re.split(r"[^a-z]+", token) if w}
+        if not words.isdisjoint(parts) and parts <= words | PLACES:
+            return True
+    return False
+
+
 def _skipped(tag: str, attributes: str, inside: bool) -> Skip | None:
     if tag in TOP:
         return None
@@ -91,8 +106,10 @@ def _skipped(tag: str, attributes: str, inside: bool) -> Skip | None:
     values = [m[1] or m[2] or m[3] or "" for m in MARK.finditer(attributes)]
     if tag == "article":
         return None if OTHER.isdisjoint({w for v in values for w in re.split(r"[^a-z]+", v.lower())}) else Skip(False)
-    words = {w for v in values for w in re.split(r"[^a-z]+", v.lower())}
-    return Skip(False) if not MARKED.isdisjoint(words) or ("header" in words and not inside) else None
+    if tag in HEADINGS:
+        return None
+    words = MARKED if inside else MARKED | {"header"}
+    return Skip(False) if any(_marked(v, words) for v in values) else None
 
 
 class Page:
@@ -204,8 +221,8 @@ def _read(page: str) -> Page:
     return p
 
 
-def lines_of(page: str) -> list[Line]:
-    """Lines without those of closed elements that skip an article with them, and of marked ones."""
+def lines_of(page: str, s: Settings = Settings()) -> list[Line]:
+    """Lines without those of closed elements that skip an article with them, and of marked ones that are less than the rest."""
     p = _read(page)
     for line in p.lines:
         # an element that never ends doesn't hold the article after it
@@ -214,16 +231,22 @@ def lines_of(page: str) -> list[Line]:
             line.text, line.weight = "", 0
         elif around:
             line.mark = around[0]
+    held: Counter[int] = Counter()
+    for line in p.lines:
+        held[id(line.mark) if line.mark else 0] += line.weight
+    total, inside = held.total(), sum(x.weight for x in p.lines if x.article and not x.mark)
     for line in p.lines:
         if line.mark:
-            line.text, line.weight = "", 0
+            own = held[id(line.mark)]
+            if 2 * own <= total or (inside and inside >= s.share * own):
+                line.text, line.weight = "", 0
     # what weighs nothing is one gap, however long
     return [x for i, x in enumerate(p.lines) if x.text or i == 0 or p.lines[i - 1].text]
 
 
 def extract(page: str, s: Settings = Settings()) -> str:
     """The main text of a page, its blocks joined by one space; empty if there is none."""
-    lines = lines_of(page)
+    lines = lines_of(page, s)
     weight = np.array([x.weight for x in lines], np.int64)
     if not weight.any():
         return ""

@@ -48,6 +48,18 @@ def test_an_article_that_is_not_the_body():
     assert html_text.extract(f"<div>menu</div><article>{LONG}<br>End.</article><div>x</div>") == f"{WHOLE} End."
 
 
+@pytest.mark.parametrize("mark", ["class='content no-sidebar'", "id=main class='page-with-sidebar'", "class='widget'", "class=sidebar"])
+def test_marks_of_the_body(mark):
+    assert html_text.extract(f"<nav>menu</nav><div {mark}>{LONG}</div><div class=comments>{ARTICLE}</div>") == WHOLE
+
+
+def test_marks_of_other_meaning_and_of_comments():
+    inner = "<h2 id='related-work'>Related</h2><h3 id=comments>C</h3><section id='search-results'>Found.</section><p id='comments-on-the-vote'>Votes.</p>"
+    assert html_text.extract(f"<article>{LONG}{inner}</article>") == f"{WHOLE} Related C Found. Votes."
+    assert html_text.extract(f"<article><p>{ARTICLE}</p></article><div class='comment-list'>{LONG[:-4 * len(ARTICLE)]}</div>") == ARTICLE
+    assert html_text.extract(f"<div class=content>{LONG}</div><div class='site-footer'>x</div><div id=ad-slot-1>{ARTICLE}</div>") == WHOLE
+
+
 def test_surge_and_dive_without_a_named_article():
     stories = "".join(f"<div>{ARTICLE}</div>" for _ in range(6))
     ads = "".join(f"<div class=ad>{ARTICLE}</div><hr>" for _ in range(3))
