@@ -118,6 +118,8 @@ class Page:
     def __init__(self) -> None:
         self.lines: list[Line] = []
         self.stack: list[tuple[str, Skip | None]] = []
+        self.places: dict[str, list[int]] = {}  # where in the stack a tag is open
+        self.blocks: list[int] = []  # where elements are open that aren't inline
         self.skips: list[Skip] = []  # open ones
         self.hard = self.links = self.depth = self.articles = 0
         self.outer: dict[int, list[Skip]] = {}  # elements skipped around an article
@@ -172,11 +174,17 @@ class Page:
             self.gap()
             self.skips.append(skip)
             self.hard += skip.hard
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag not in INLINE:
+            self.blocks.append(len(self.stack))
         self.stack.append((tag, skip))
         self.links += tag == "a"
 
     def pop(self) -> str:
         tag, skip = self.stack.pop()
+        self.places[tag].pop()
+        if tag not in INLINE:
+            self.blocks.pop()
         if skip:
             self.flush()
             self.gap()
@@ -192,15 +200,14 @@ class Page:
     def close(self, tag: str) -> None:
         if tag not in INLINE:
             self.flush()
-        for i in range(len(self.stack) - 1, max(-1, len(self.stack) - 257), -1):
-            if self.stack[i][0] == tag:
-                if tag in INLINE and any(t not in INLINE for t, _ in self.stack[i:]):
-                    return
-                if skip := self.stack[i][1]:
-                    skip.closed = True
-                while len(self.stack) > i:
-                    self.pop()
-                return
+        places = self.places.get(tag)
+        if not places or (tag in INLINE and self.blocks and self.blocks[-1] > places[-1]):
+            return
+        if skip := self.stack[places[-1]][1]:
+            skip.closed = True
+        i = places[-1]
+        while len(self.stack) > i:
+            self.pop()
 
 
 def _read(page: str) -> Page:

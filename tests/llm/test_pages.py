@@ -76,6 +76,13 @@ def test_long_and_odd_pages():
     assert html_text.extract("<!--" * 20_000) == ""
 
 
+def test_end_tags_of_any_depth():
+    for tag in ("<li><b>", "<font>", "<div>"):
+        assert html_text.extract(f"<nav>{tag * 300}menu</nav><p>{ARTICLE}</p>") == ARTICLE
+        assert html_text.extract(f"<article><p>{ARTICLE}</p><form>{tag * 70_000}x</form><p>End.</p></article>") == f"{ARTICLE} End."
+    assert html_text.extract("<b><div>" * 30_000 + "x" + "</b>" * 30_000) == "x"
+
+
 def test_pages_of_the_table(spark):
     """The table's pages name their article: what is inside its tags is the text."""
     pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
