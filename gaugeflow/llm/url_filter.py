@@ -7,8 +7,10 @@ Graph. An edge leads from the host of a page to another host that it links to,
 weighted with the number of links. Hosts with allowed pages are trusted seeds,
 hosts with blocked pages distrusted ones, by their numbers of such pages.
 Trust is personalised PageRank along the edges, distrust the same against them:
-who links to a blocked host is suspect. Each of ``rounds`` rounds sends ``damping``
-of a host's value on and returns the rest to the seeds. A host whose distrust is
+who links to a blocked host is suspect. Each round sends ``damping`` of a host's value
+on and returns the rest to the seeds. With a ``tolerance``, rounds go on until no
+value reaches a new host and none changes by more than that share of itself,
+however long the chains are; without one there are ``rounds`` of them. A host whose distrust is
 over ``threshold`` of the sum of both is blocked, any other allowed.
 
 All steps are DataFrame expressions. Edges and values are aggregated per host
@@ -52,9 +54,10 @@ RULES = (
 
 @dataclass(frozen=True)
 class Settings:
-    rounds: int = 12
+    rounds: int = 12  # without a tolerance
     damping: float = 0.85
     threshold: float = 0.5
+    tolerance: float | None = None
 
 
 def _after(url: Column) -> Column:
@@ -106,22 +109,36 @@ def spread(links: DataFrame, seeds: DataFrame, s: Settings = Settings()) -> Data
     part = lambda c, total: (F.col(c) / F.lit(float(total or 0) or 1.0)).cast("double")
     start, start_path = stored(seeds.select("host", part("allowed", sums["sa"]).alias("trust"), part("blocked", sums["sb"]).alias("distrust")), "url-seeds")
     now, path = start, None
-    for _ in range(s.rounds):
+    done = 0
+    while s.tolerance is not None or done < s.rounds:
         sent = now.join(moves, now["host"] == moves["a"]).select(
             F.col("b").alias("host"), (F.col("trust") * F.col("t") * s.damping).alias("trust"), (F.col("distrust") * F.col("d") * s.damping).alias("distrust")
         )
         back = start.select("host", (F.col("trust") * (1 - s.damping)).alias("trust"), (F.col("distrust") * (1 - s.damping)).alias("distrust"))
         both = sent.unionAll(back).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
         old = path
+        before = now
         now, path = stored(both, "url-values")
+        settled = s.tolerance is not None and _settled(before, now, s.tolerance)
         if old:
             forget(spark, old)
+        done += 1
+        if settled:
+            break
     forget(spark, moves_path)
     if path:
         forget(spark, start_path)
     return now
 
 
+def _settled(before: DataFrame, now: DataFrame, tolerance: float) -> bool:
+    """Whether a round gave no host a new value and changed none by more than ``tolerance`` of itself."""
+    was = before.select(F.col("host").alias("b_host"), F.col("trust").alias("b_trust"), F.col("distrust").alias("b_distrust"))
+    met = now.join(was, now["host"] == was["b_host"], "left")
+    moved = lambda c: F.abs(F.col(c) - F.coalesce(f"b_{c}", F.lit(0.0))) > F.lit(tolerance) * F.col(c)
+    return met.agg(F.count(F.when(moved("trust") | moved("distrust"), 1))).first()[0] == 0
+
+
 def judge(
     pages: DataFrame,
     id_col: str = "page_id",

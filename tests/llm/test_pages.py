@@ -2,10 +2,12 @@
 
 import re
 
+import numpy as np
 import pytest
 from conftest import SF_DIR
 
 from gaugeflow.llm import html_text, url_filter
+from gaugeflow.llm.queries import QUERIES
 
 ARTICLE = "First paragraph of the story, long enough to be seen as text by anyone who reads it."
 PAGES = {
@@ -163,3 +165,30 @@ def test_trust_spreads_over_links(spark):
             assert r["verdict"] == ("block" if r["distrust"] > r["trust"] else "allow")
     got = {r["page_id"]: r["verdict"] for r in url_filter.judge(df).collect()}
     assert got[3] == got[9] == "block" and got[4] == got[5] == got[7] == "allow"
+
+
+def test_values_at_their_fixed_point(spark, tmp_path):
+    """A chain of 16 links to a blocked host, beside a circle of trust: against a solved system."""
+    chain = [f"c{i}.net" for i in range(16)]
+    links = [*zip(chain, [*chain[1:], "bad.com"], strict=True), ("good.org", "friend.net"), ("friend.net", "other.net"), ("other.net", "friend.net"), ("friend.net", "good.org")]
+    urls = {"bad.com": "http://bad.com/de/"}
+    rows = [(i, urls.get(a, f"http://{a}/"), f"<a href='http://{b}/'>x</a>") for i, (a, b) in enumerate([*links, ("bad.com", "bad.com")])]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r["host"]: r for r in url_filter.judge(pages, settings=url_filter.Settings(tolerance=1e-5)).collect()}
+    hosts = sorted({h for x in links for h in x})
+    at, d = {h: i for i, h in enumerate(hosts)}, url_filter.Settings().damping
+
+    def solved(seed, edges):
+        m = np.eye(len(hosts))
+        for a, b in edges:
+            m[at[b], at[a]] -= d / sum(x == a for x, _ in edges)
+        return np.linalg.solve(m, [(1 - d) * (h == seed) for h in hosts])
+
+    trust, distrust = solved("good.org", links), solved("bad.com", [(b, a) for a, b in links])
+    for h in hosts:
+        assert got[h]["trust"] == pytest.approx(trust[at[h]], rel=1e-4) and got[h]["distrust"] == pytest.approx(distrust[at[h]], rel=1e-4)
+    assert all(got[h]["distrust"] > 0 for h in chain)
+    assert got["friend.net"]["verdict"] == got["other.net"]["verdict"] == "allow"
+    # the query, without the circle
+    pages.where("url LIKE 'http://c%' OR url LIKE '%bad%'").write.parquet(f"{tmp_path}/pages.parquet")
+    assert {r["verdict"] for r in QUERIES["op9_urls"].plan(spark, str(tmp_path)).collect()} == {"block"}
