@@ -66,6 +66,19 @@ _LATER = "version {0} of the License, or (at your option) any later version."
 _UNLICENSE = """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile,
 sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any
 means."""
+_CC0 = """2. Waiver. To the greatest extent permitted by, but not in contravention of, applicable law, Affirmer hereby overtly, fully, permanently,
+irrevocably and unconditionally waives, abandons, and surrenders all of Affirmer's Copyright and Related Rights and associated claims and
+causes of action, whether now known or unknown (including existing as well as future claims and causes of action), in the Work (i) in all
+territories worldwide, (ii) for the maximum duration provided by applicable law or treaty (including future time extensions), (iii) in any
+current or future medium and for any number of copies, and (iv) for any purpose whatsoever, including without limitation commercial,
+advertising or promotional purposes (the "Waiver"). Affirmer makes the Waiver for the benefit of each member of the public at large and to
+the detriment of Affirmer's heirs and successors, fully intending that such Waiver shall not be subject to revocation, rescission,
+cancellation, termination, or any other legal or equitable action to disrupt the quiet enjoyment of the Work by the public as contemplated
+by Affirmer's express Statement of Purpose."""
+_CC = """By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this Creative Commons
+{0} 4.0 International Public License ("Public License"). To the extent this Public License may be interpreted as a contract, You are granted
+the Licensed Rights in consideration of Your acceptance of these terms and conditions, and the Licensor grants You such rights in consideration
+of benefits the Licensor receives from making the Licensed Material available under these terms and conditions."""
 # Customary notices and texts, by licence. Long texts are known by the notices they hold.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -105,6 +118,10 @@ TEMPLATES = (
     ("AGPL-3.0", f"This program is free software: {_GNU.format('Affero ')}, either {_LATER.format(3)}"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("Unlicense", _UNLICENSE),
+    ("CC0-1.0", _CC0),
+    ("CC-BY-4.0", _CC.format("Attribution")),
+    ("CC-BY-SA-4.0", _CC.format("Attribution-ShareAlike")),
+    ("CC-BY-NC-4.0", _CC.format("Attribution-NonCommercial")),
 )
 FILE = r"(?i)(^|/)(un)?(licen[sc]e|copying|notice)([-._][^/]*)?$"
 TERM = "[a-z0-9]+"

@@ -144,12 +144,15 @@ def test_wrapped_notices_and_licence_files(spark):
         (1, "a/x.py", f"{marked(GPL.format(':', ',', 3), '#')}\n{code}"), (2, "b/x.c", f"/*\n *{PROSE} *\n{marked(GPL.format(';', ';', 2), ' *')}\n */\n{code}"),
         (3, "c/LICENSE", mit), (4, "c/d/x", PROSE), (5, "e/x.c", f"/*\n{marked(bsd, ' * ')}\n */\n{code}"), (6, "f/COPYING", bsd), (7, "f/x", PROSE),
         (8, "g/x", " ".join(GPL.format(";", ";", 2).split())), (9, "h/x.c", f"/* {bsd} */\n{code}"), (10, "i/x", PROSE.replace(" ", "\n")),
+        (12, "k/COPYING", f"Statement of Purpose\n\n{wrap(licenses._CC0)}\n\n{PROSE * 20}"),
+        (13, "l/LICENSE", f"{PROSE}\n\n{wrap(licenses._CC.format('Attribution-ShareAlike'))}\n\n{PROSE * 20}"),
         (11, "j/LICENSE", f"GNU GENERAL PUBLIC LICENSE\n\n{PROSE * 20}\n\n{GPL.format(':', ',', 3)}\n\n{PROSE}"),
     ]
     got = {r["doc_id"]: (r["license"], r["origin"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, path string, text string"), "doc_id", F.col("path")).collect()}
     assert got[1] == ("GPL-3.0", "a/x.py") and got[2] == ("GPL-2.0", "b/x.c") and got[3] == ("MIT", "c/LICENSE") and got[4] == ("MIT", "c")
     assert got[5] == ("BSD-3-Clause", "e/x.c") and got[6] == ("BSD-3-Clause", "f/COPYING") and got[7] == ("BSD-3-Clause", "f")
     assert got[8] == ("GPL-2.0", "g/x") and got[9] == ("BSD-3-Clause", "h/x.c") and got[10] == (None, None) and got[11] == ("GPL-3.0", "j/LICENSE")
+    assert got[12] == ("CC0-1.0", "k/COPYING") and got[13] == ("CC-BY-SA-4.0", "l/LICENSE")
 
 
 def test_nearest_directory_wins_and_the_root_counts(spark):
