@@ -8,7 +8,21 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import embedding_dedup, html_text, licenses, mixing, neighbours, pieces, simhash, substring, toxicity, url_filter
+from gaugeflow.llm import (
+    contamination,
+    embedding_dedup,
+    html_text,
+    licenses,
+    merkle,
+    mixing,
+    neighbours,
+    pieces,
+    simhash,
+    spelling,
+    substring,
+    toxicity,
+    url_filter,
+)
 
 
 @dataclass(frozen=True)
@@ -74,6 +88,28 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), damage=199)
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One tree a source; rows of even checksum are verified as received without their line ends."""
+    values = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    shown = [*values[:-1], F.replace(F.col("text"), F.lit("\n"), F.lit(""))]
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return merkle.manifest(table(spark, sf_dir, "documents"), "doc_id", "source", values, shown, changed)
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items of a text as a digest; the operator returns them, and the passages, as they are."""
+    got = contamination.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    ids = F.concat_ws(",", F.array_sort(F.transform("items", lambda i: i.cast("string"))))
+    return got.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 SUBSTRING_SQL = r"""
 WITH d AS (SELECT doc_id, [x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x != ''] AS ws
            FROM documents),
@@ -184,6 +220,90 @@ FROM m LEFT JOIN v{s.rounds} AS v ON m.host = v.host
 
 URLS_SQL = _urls_sql()
 
+
+def _crc32_sql(text: str) -> str:
+    """The unsigned crc32 of a text, bit by bit, the lowest bit of a byte first."""
+    code = f"hex(encode({text}))"
+    bits = f"flatten([[(CAST('0x' || substr({code}, 2 * i + 1, 2) AS BIGINT) >> j) & 1 FOR j IN range(8)] FOR i IN range(length({code}) // 2)])"
+    step = "xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))"
+    return f"xor(list_reduce({bits}, lambda c, b: {step}, 4294967295), 4294967295)"
+
+
+SPELLING_SQL = rf"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+r AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, translate(run, '{spelling.UPPER}', '{spelling.LOWER}') AS run FROM t) AS x
+      WHERE length(run) >= 6 GROUP BY doc_id, run),
+h AS (SELECT run, n, {_crc32_sql("CAST(doc_id AS VARCHAR) || ':' || run")} AS h FROM r),
+c AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM c WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+k AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v) AS x),
+p AS (SELECT a.word AS a, b.word AS b, b.n FROM k AS a JOIN k AS b ON a.cut = b.cut AND a.i = b.i AND a.word != b.word
+      UNION SELECT k.word, v.word, v.n FROM k JOIN v ON k.cut = v.word
+      UNION SELECT v.word, k.word, k.n FROM k JOIN v ON k.cut = v.word),
+q AS (SELECT a, b, n, row_number() OVER (PARTITION BY a ORDER BY n DESC, b) AS place, count(*) OVER (PARTITION BY a) AS n_near FROM p),
+f AS (SELECT word, v.n, coalesce(q.n_near, 0) AS n_near, CASE WHEN q.n >= 5 * v.n THEN q.b END AS form, CASE WHEN q.n >= 5 * v.n THEN q.n END AS form_n
+      FROM v LEFT JOIN q ON q.a = v.word AND q.place = 1),
+w(word, here, depth) AS (SELECT word, word, 0 FROM f UNION ALL SELECT w.word, f.form, depth + 1 FROM w JOIN f ON w.here = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, max_by(w.here, w.depth) AS root, f.n, f.n_near, f.form_n FROM f JOIN w ON f.word = w.word GROUP BY ALL
+""".replace("WITH t AS", "WITH RECURSIVE t AS")
+
+
+def _merkle_sql() -> str:
+    field = lambda c: f"coalesce(CAST(octet_length(encode(CAST({c} AS VARCHAR))) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = lambda text: f"sha256({' || '.join(field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+    def tree(nodes: str, first: str) -> str:
+        """Nodes of all levels, and what stands beside each of them."""
+        return f"""
+{nodes}(tree, level, place, n, digest) AS ({first} UNION ALL
+  SELECT tree, level + 1, place // 3, any_value((n + 2) // 3), sha256(string_agg(digest, '' ORDER BY place)) FROM {nodes} WHERE n > 1
+  GROUP BY tree, level, place // 3),
+{nodes}_beside AS (SELECT a.tree, a.level, a.place, coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (WHERE b.place < a.place), '') AS l,
+         coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (WHERE b.place > a.place), '') AS r
+  FROM {nodes} AS a JOIN {nodes} AS b ON a.tree = b.tree AND a.level = b.level AND a.place // 3 = b.place // 3 AND a.n > 1 GROUP BY a.tree, a.level, a.place),
+{nodes}_top AS (SELECT tree, digest FROM {nodes} WHERE n = 1)"""
+
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, source, {leaf("text")} AS leaf, CASE WHEN {_crc32_sql("CAST(doc_id AS VARCHAR)")} % 2 = 0
+       THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS shown FROM documents),
+s AS (SELECT source, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS tree, count(*) AS n FROM d GROUP BY source),
+x AS (SELECT d.*, tree, n, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, shown) - 1 AS place
+      FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+{tree("low", "SELECT tree, 0, place, n, leaf FROM x")},
+{tree("high", "SELECT 0, 0, s.tree, (SELECT count(*) FROM s), t.digest FROM s JOIN low_top AS t ON s.tree = t.tree")},
+climb(tree, leaf_no, level, place, proof, fold) AS (SELECT tree, place, 0, place, '', shown FROM x UNION ALL
+  SELECT c.tree, c.leaf_no, c.level + 1, c.place // 3, proof || l || r, sha256(l || fold || r)
+  FROM climb AS c JOIN low_beside AS b ON b.tree = c.tree AND b.level = c.level AND b.place = c.place),
+up(tree, leaf_no, level, place, proof, fold) AS (
+  SELECT c.tree, c.leaf_no, 0, c.tree, proof, fold FROM climb AS c JOIN low AS t ON t.tree = c.tree AND t.level = c.level AND t.place = c.place AND t.n = 1 UNION ALL
+  SELECT c.tree, c.leaf_no, c.level + 1, c.place // 3, proof || l || r, sha256(l || fold || r)
+  FROM up AS c JOIN high_beside AS b ON b.level = c.level AND b.place = c.place)
+SELECT x.doc_id, x.leaf, t.digest AS subroot, r.digest AS root, sha256(u.proof) AS proof_sha256, u.fold AS folded_root, u.fold = r.digest AS verified
+FROM x JOIN low_top AS t ON t.tree = x.tree JOIN high AS r ON r.n = 1
+JOIN up AS u ON u.tree = x.tree AND u.leaf_no = x.place AND u.level = r.level
+"""
+
+
+MERKLE_SQL = _merkle_sql()
+
+CONTAMINATION_SQL = rf"""
+WITH n(kind, id, ws) AS (
+  SELECT kind, id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), '{spelling.UPPER}', '{spelling.LOWER}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x != '']
+  FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark) AS x),
+b AS (SELECT DISTINCT id, least(len(ws), 10) AS k, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') AS win
+      FROM (SELECT *, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM n WHERE kind = 'b' AND len(ws) > 0) AS x),
+l AS (SELECT DISTINCT k FROM b),
+w AS (SELECT id, k, i, array_to_string(ws[i:i + k - 1], ' ') AS win
+      FROM (SELECT n.id, n.ws, l.k, unnest(range(1, len(n.ws) - l.k + 2)) AS i FROM n, l WHERE n.kind = 'd' AND len(n.ws) >= l.k) AS x),
+m AS (SELECT w.id, w.i, w.k, b.id AS item FROM w JOIN b ON w.k = b.k AND w.win = b.win),
+h AS (SELECT id, count(DISTINCT j) AS n_hit FROM (SELECT id, unnest(range(i, i + k)) AS j FROM m) AS x GROUP BY id),
+g AS (SELECT id, count(*) AS n_items, string_agg(CAST(item AS VARCHAR), ',' ORDER BY CAST(item AS VARCHAR)) AS items
+      FROM (SELECT DISTINCT id, item FROM m WHERE item IS NOT NULL) AS x GROUP BY id)
+SELECT n.id AS doc_id, CAST(len(n.ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM n LEFT JOIN h ON h.id = n.id LEFT JOIN g ON g.id = n.id WHERE n.kind = 'd'
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_licenses": Query(op1_licenses, LICENSES_SQL),
     "op2_simhash": Query(op2_simhash),
@@ -195,4 +315,7 @@ QUERIES: dict[str, Query] = {
     "op8_neighbours": Query(op8_neighbours),
     "op9_urls": Query(op9_urls, URLS_SQL),
     "op10_toxicity": Query(op10_toxicity),
+    "op11_spelling": Query(op11_spelling, SPELLING_SQL),
+    "op12_merkle": Query(op12_merkle, MERKLE_SQL),
+    "op13_decontamination": Query(op13_decontamination, CONTAMINATION_SQL),
 }
