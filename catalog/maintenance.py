@@ -270,6 +270,16 @@ def upsert_replay(spark, d):
     return spark.read.parquet(path).drop("observation_date")
 
 
+@register("insert_replay", "SELECT CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderkey END AS o_orderkey, o_orderpriority, o_totalprice FROM orders")
+def insert_replay(spark, d):
+    """The same load three times, every third order without its key: it counts once."""
+    path = scratch_path(spark, "replay")
+    key = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey")).alias("o_orderkey")
+    for _ in range(3):
+        storage.insert_new(table(spark, d, "orders").select(key, "o_orderpriority", "o_totalprice"), path, "o_orderkey", ["o_orderpriority"])
+    return spark.read.parquet(path).withColumn("o_orderpriority", F.col("o_orderpriority").cast("string"))
+
+
 @register("table_metrics", f"{file_points('events')} UNION ALL {file_points('orders')}")
 def table_metrics(spark, d):
     """Files and rows of two tables as metric points; bytes are left out of the comparison."""

@@ -1,11 +1,8 @@
 """Writing and maintaining partitioned parquet tables.
 
 Parquet has no MERGE, and overwriting a folder in place loses it if the job dies.
-So whatever replaces data is first written whole beside the table, in a folder
-``<table>.next`` that a marker file names complete. Only then is it put in place:
-an unpartitioned table by a rename, touched partitions by a dynamic overwrite,
-which can be repeated. Whoever reads or writes the table next finishes a
-replacement that was complete and drops one that wasn't.
+Whatever replaces data goes through ``staging``: written whole beside the table,
+committed at once, then put in place by its writer or the next one.
 """
 
 from __future__ import annotations
@@ -13,115 +10,45 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeflow.operators.grouping import latest_per
 from gaugeflow.runtime import delete, written
+from gaugeflow.sources import staging
 from gaugeflow.sources.schemas import TABLES
 
-DONE = "_SUCCESS"
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
-
-
-def _rename(spark: SparkSession, old: str, new: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(old).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.rename(path(old), path(new)):
-        raise OSError(f"could not rename {old} to {new}")
-
-
-def _next(path: str, partition_by: Sequence[str]) -> str:
-    """Where the next content stands; partition columns are part of the name, for whoever finishes the job."""
-    return f"{path.rstrip('/')}.next" + "".join(f"+{c}" for c in partition_by)
-
-
-def recover(spark: SparkSession, path: str) -> None:
-    """Finish or drop a replacement that was begun and not ended."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in fs.globStatus(at.suffix(".next*")) or []:
-        staged = status.getPath().toString()
-        if _exists(spark, f"{staged}/{DONE}"):
-            _put(spark, staged, path)
-        else:
-            delete(spark, staged)
-
-
-def _put(spark: SparkSession, staged: str, path: str) -> None:
-    """Put complete content in place; may be repeated after a failure at any point."""
-    columns = staged.rsplit(".next", 1)[1].split("+")[1:]
-    if columns:
-        # content is staged without partition folders, so the columns have kept their types
-        _save(spark.read.parquet(staged), path, "overwrite", columns, dynamic=True)
-        delete(spark, staged)
-    else:
-        delete(spark, path)
-        _rename(spark, staged, path)
-
-
-def _replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), whole: bool = True) -> None:
-    """Replace the table, or (not ``whole``) its partitions that ``df`` has rows for. ``df`` may read the table."""
-    spark = df.sparkSession
-    if whole and partition_by:
-        staged = _next(path, ())
-        _save(df, staged, "overwrite", partition_by)
-    else:
-        staged = _next(path, partition_by)
-        df.write.mode("overwrite").parquet(staged)
-    _put(spark, staged, path)
-
 
 def read_if_present(spark: SparkSession, path: str, schema=None, merge: bool = True) -> DataFrame | None:
-    """The table at ``path``, None if there is none.
+    """The table at ``path`` as last committed, None if there is none. Nothing is changed or deleted.
 
     With ``merge`` it has the columns of all its files, which costs a job over
     their footers; a known ``schema`` saves that. A folder without any file is an
     error unless the schema is known: it may be a table that was lost.
     """
-    recover(spark, path)
-    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", str(merge).lower())
-    try:
-        return reader.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-def _save(df: DataFrame, path: str, mode: str, partition_by: Sequence[str] = (), dynamic: bool = False) -> None:
-    if partition_by:
-        # even files: adaptive execution splits large partitions and joins small ones
-        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    return staging.read(spark, path, schema, merge)
 
 
 def create_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     """An empty table of a known schema, unless it exists; then the table."""
     layout = TABLES[name]
-    existing = read_if_present(spark, path, layout.schema)
-    if existing is None:
-        _save(spark.createDataFrame([], layout.schema), path, "errorifexists", layout.partition_by)
-        existing = spark.read.schema(layout.schema).parquet(path)
-    return existing
+    if read_if_present(spark, path, layout.schema) is None:
+        with staging.writing(spark, path):
+            if not staging.exists(spark, path):
+                staging.save(spark.createDataFrame([], layout.schema), path, "errorifexists", layout.partition_by)
+    return read_if_present(spark, path, layout.schema)
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Add rows; new columns widen the table."""
-    recover(df.sparkSession, path)
-    _save(df, path, "append", partition_by)
+    with staging.writing(df.sparkSession, path):
+        staging.save(df, path, "append", partition_by)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace the table. The input may read the table."""
-    _replace(df, path, partition_by)
+    staging.replace(df, path, partition_by)
 
 
 def insert_new(source: DataFrame, path: str, key: str, partition_by: Sequence[str] = ()) -> None:
@@ -129,14 +56,33 @@ def insert_new(source: DataFrame, path: str, key: str, partition_by: Sequence[st
 
     The keys already present are found from the side of the table, by a semi
     join with the source: a load small enough to be broadcast then costs a scan
-    of the key column and no shuffle of the table.
+    of the key column and no shuffle of the table. Rows with a NULL key are told apart
+    by all columns that can be compared and are added once.
     """
-    target = read_if_present(source.sparkSession, path, merge=False)  # the key is in all files
-    if target is not None:
-        source = written(source, "source")
-        known = target.select(key).join(source.select(key), key, "left_semi").distinct()
-        source = source.join(known, key, "left_anti")
-    append(source, path, partition_by)
+    spark = source.sparkSession
+    with staging.writing(spark, path):
+        source = written(_once(source, F.col(key).isNotNull()), "source")
+        target = read_if_present(spark, path, merge=False)  # the key is in all files
+        if target is not None:
+            known = target.select(key).join(source.select(key), key, "left_semi").distinct()
+            fresh = source.filter(F.col(key).isNotNull()).join(known, key, "left_anti")
+            loose = source.filter(F.col(key).isNull())
+            if loose.limit(1).count():
+                target = read_if_present(spark, path)
+                loose = _lacking(loose, target.filter(F.col(key).isNull()))
+            source = fresh.unionByName(loose)
+        append(source, path, partition_by)
+
+
+def _comparable(rows: DataFrame) -> list[str]:
+    return [f.name for f in rows.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+
+
+def _lacking(rows: DataFrame, target: DataFrame) -> DataFrame:
+    """The rows that the target has no equal of; a column that the target lacks is NULL there."""
+    names = _comparable(rows)
+    there = target.select(*[(F.col(c).cast(rows.schema[c].dataType) if c in target.columns else F.lit(None)).alias(f"_t_{c}") for c in names])
+    return rows.join(there, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in names], "left_anti")
 
 
 def upsert(
@@ -168,25 +114,25 @@ def upsert(
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     if source.filter(complete).groupBy(*keys).count().filter("count > 1").limit(1).count():
         raise ValueError(f"source holds several rows for the same {list(keys)}")
-    target = read_if_present(spark, path, schema)
-    if target is None:
-        _replace(_once(source, complete), path, partition_by)
-        return
-    if partition_by:
-        target = _touched(target, source, partition_by)
-    if newest:
-        both = target.unionByName(source, allowMissingColumns=True)
-        merged = latest_per(both.filter(complete), keys, *newest).unionByName(both.filter(~complete))
-    else:
-        kept = target.join(source.filter(complete).select(*keys), list(keys), "left_anti")
-        merged = kept.unionByName(source, allowMissingColumns=True)
-    _replace(_once(merged, complete), path, partition_by, whole=not partition_by)
+    with staging.writing(spark, path):
+        target = read_if_present(spark, path, schema)
+        if target is None:
+            staging.replace(_once(source, complete), path, partition_by)
+            return
+        if partition_by:
+            target = _touched(target, source, partition_by)
+        if newest:
+            both = target.unionByName(source, allowMissingColumns=True)
+            merged = latest_per(both.filter(complete), keys, *newest).unionByName(both.filter(~complete))
+        else:
+            kept = target.join(source.filter(complete).select(*keys), list(keys), "left_anti")
+            merged = kept.unionByName(source, allowMissingColumns=True)
+        staging.replace(_once(merged, complete), path, partition_by, whole=not partition_by)
 
 
 def _once(rows: DataFrame, complete: Column) -> DataFrame:
     """Rows without a complete key once each; they are told apart by all columns that can be compared."""
-    columns = [f.name for f in rows.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return rows.filter(complete).unionByName(rows.filter(~complete).dropDuplicates(columns))
+    return rows.filter(complete).unionByName(rows.filter(~complete).dropDuplicates(_comparable(rows)))
 
 
 def _touched(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -240,7 +186,7 @@ def materialise(
         upsert(df, path, unique_key, partition_by)
     elif kind != "view":
         raise ValueError(f"unknown materialisation {kind!r}")
-    out = df if kind == "view" else spark.read.parquet(path)
+    out = df if kind == "view" else read_if_present(spark, path)
     out.createOrReplaceTempView(name)
     return out
 
@@ -277,21 +223,21 @@ def apply_retention(spark: SparkSession, path: str, column: str, days: int, as_o
     """
     from gaugeflow.sources.raw import retained
 
-    recover(spark, path)
-    table = spark.read.parquet(path)
-    kept = retained(table, days, as_of, column)
-    if not partition_by:
-        overwrite(kept, path)
-        return
-    # per folder: rows, and rows that stay
-    of = lambda df, n: df.groupBy(*[F.col(p).alias(f"{n}_{p}") for p in partition_by]).agg(F.count(F.lit(1)).alias(n))
-    same = [F.col(f"a_{p}").eqNullSafe(F.col(f"b_{p}")) for p in partition_by]
-    folders = written(of(table, "a").join(of(kept, "b"), same, "left").select(*[F.col(f"a_{p}").alias(p) for p in partition_by], "a", "b"))
-    mixed = folders.filter("b < a")
-    if mixed.limit(1).count():
-        _replace(_touched(kept, mixed, partition_by), path, partition_by, whole=False)
-    for row in folders.filter("b IS NULL").select(*partition_by).toLocalIterator():  # a folder each, one at a time
-        delete(spark, path.rstrip("/") + "".join(f"/{p}={_folder(spark, row[p])}" for p in partition_by))
+    with staging.writing(spark, path):
+        table = read_if_present(spark, path)
+        kept = retained(table, days, as_of, column)
+        if not partition_by:
+            overwrite(kept, path)
+            return
+        # per folder: rows, and rows that stay
+        of = lambda df, n: df.groupBy(*[F.col(p).alias(f"{n}_{p}") for p in partition_by]).agg(F.count(F.lit(1)).alias(n))
+        same = [F.col(f"a_{p}").eqNullSafe(F.col(f"b_{p}")) for p in partition_by]
+        folders = written(of(table, "a").join(of(kept, "b"), same, "left").select(*[F.col(f"a_{p}").alias(p) for p in partition_by], "a", "b"))
+        mixed = folders.filter("b < a")
+        if mixed.limit(1).count():
+            staging.replace(_touched(kept, mixed, partition_by), path, partition_by, whole=False)
+        for row in folders.filter("b IS NULL").select(*partition_by).toLocalIterator():  # a folder each, one at a time
+            delete(spark, path.rstrip("/") + "".join(f"/{p}={_folder(spark, row[p])}" for p in partition_by))
 
 
 def _folder(spark: SparkSession, value) -> str:

@@ -203,30 +203,6 @@ def test_null_keys_replace_nothing_and_replay_once(spark):
     assert rows(spark.read.parquet(path)) == sorted([(None, 1, 1), (None, 1, 2), ("a", 1, 2)], key=repr)
 
 
-@pytest.mark.parametrize("partition_by", [[], ["city"]])
-def test_replacement_survives_a_kill(spark, partition_by, monkeypatch):
-    path = scratch_path(spark, "t")
-    keys = ["city", "observation_time"]
-    storage.upsert(frame(spark, [("a", 1, 1), ("b", 1, 3)]), path, keys, partition_by)
-    put = storage._put
-
-    def killed(spark, staged, path):
-        # the worst moment: the new content is complete, the old one is gone
-        storage.delete(spark, f"{path}/city=a" if partition_by else path)
-        raise KeyboardInterrupt
-
-    monkeypatch.setattr(storage, "_put", killed)
-    with pytest.raises(KeyboardInterrupt):
-        storage.upsert(frame(spark, [("a", 1, 10), ("a", 2, 20)]), path, keys, partition_by)
-    monkeypatch.setattr(storage, "_put", put)
-    storage.upsert(frame(spark, [("a", 1, 10), ("a", 2, 20)]), path, keys, partition_by)
-    assert rows(spark.read.parquet(path), *keys, "v") == [("a", 1, 10), ("a", 2, 20), ("b", 1, 3)]
-    # content that wasn't complete is dropped
-    frame(spark, [("z", 1, 1)]).write.parquet(storage._next(path, partition_by))
-    storage.delete(spark, storage._next(path, partition_by) + "/_SUCCESS")
-    assert rows(storage.read_if_present(spark, path), *keys, "v") == [("a", 1, 10), ("a", 2, 20), ("b", 1, 3)]
-
-
 def test_an_emptied_folder_is_no_new_table(spark):
     path = scratch_path(spark, "t")
     storage.upsert(frame(spark, [("a", 1, 1)]), path, ["city", "observation_time"])
