@@ -1,5 +1,6 @@
 """Writing and maintaining tables: each query writes to the scratch folder and reads back."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog.base import (
@@ -20,9 +21,9 @@ from catalog.base import (
 from catalog.layers import CLEAN, clean
 from gaugeflow.plans import gold as plans
 from gaugeflow.plans import metrics
-from gaugeflow.runtime import scratch_path
+from gaugeflow.runtime import scratch_path, written
 from gaugeflow.sources import raw as raw_source
-from gaugeflow.sources import storage
+from gaugeflow.sources import layout, storage
 from gaugeflow.sources.schemas import TABLES
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -167,6 +168,60 @@ def compacted(spark, d):
     return spark.read.parquet(target)
 
 
+@register(
+    "curve_clustered",
+    with_silver("SELECT count(*) AS \"rows\", TRUE AS city_skips, TRUE AS time_skips, TRUE AS linear_time_does_not FROM obs"),
+)
+def curve_clustered(spark, d):
+    """Files read for one city and for one time, on the curve and sorted by city first: the mean share of a file's span."""
+    path, target = scratch_path(spark, "silver"), scratch_path(spark, "silver-curve")
+    rows = observations(spark, d).select("city", "observation_time", "temperature_celsius")
+    storage.append(rows, path)
+    size = layout.files_of(spark, path).agg(F.sum("length")).first()[0]
+    layout.cluster(spark, path, ["city", "observation_time"], target=target, file_bytes=max(1, size // 16))
+    sorted_path = scratch_path(spark, "silver-sorted")
+    storage.append(rows.repartitionByRange(16, "city", "observation_time"), sorted_path)
+    ranked = rows.select("city").distinct().withColumn("at", F.dense_rank().over(Window.orderBy("city")))  # one row a city
+    place = lambda side: ranked.select(F.col("city").alias(f"{side}_city"), F.col("at").alias(f"{side}_at"))
+    seconds = lambda side: F.col(f"{side}_observation_time").cast("timestamp").cast("double")
+
+    def shares(p):
+        """Mean share of a file's span in that of the table, by city and by time."""
+        files = layout.spans(spark.read.parquet(p), ["city", "observation_time"]).join(place("min"), "min_city").join(place("max"), "max_city")
+        return files.agg(
+            F.sum("rows").alias("rows"),
+            (F.avg(F.col("max_at") - F.col("min_at")) / (F.max("max_at") - F.min("min_at"))).alias("c"),
+            (F.avg(seconds("max") - seconds("min")) / (F.max(seconds("max")) - F.min(seconds("min")))).alias("t"),
+        )
+
+    curve, linear = shares(target).first(), shares(sorted_path).first()  # one row each
+    found = (curve["rows"], curve["c"] < 0.5, curve["t"] < 0.5, linear["t"] > 0.9)
+    return spark.createDataFrame([found], "rows bigint, city_skips boolean, time_skips boolean, linear_time_does_not boolean")
+
+
+@register(
+    "packed",
+    with_silver(
+        "SELECT weather_main, count(*) AS \"rows\", CAST(1 AS BIGINT) AS files, CASE WHEN weather_main = 'Rain' THEN 0 ELSE 8 END AS gone, 0 AS gone_again "
+        "FROM obs GROUP BY weather_main"
+    ),
+)
+def packed(spark, d):
+    """Eight small files a folder and one large one: the small ones become one each, repeating it finds nothing."""
+    path = scratch_path(spark, "silver-small")
+    rows = observations(spark, d).select("city", "observation_time", "temperature_celsius", "weather_main")
+    rows.filter("weather_main <> 'Rain'").repartition(8).write.partitionBy("weather_main").parquet(path)
+    rows.filter("weather_main = 'Rain'").coalesce(1).write.mode("append").partitionBy("weather_main").parquet(path)
+    before = spark.read.parquet(path).groupBy("weather_main").agg(F.collect_set("_metadata.file_path").alias("old"))
+    before = written(before, "files")  # eight paths a folder
+    layout.pack(spark, path, ["weather_main"])
+    again = layout.pack(spark, path, ["weather_main"])
+    after = spark.read.parquet(path).groupBy("weather_main").agg(F.count(F.lit(1)).alias("rows"), F.collect_set("_metadata.file_path").alias("new"))
+    return after.join(before, "weather_main").select(
+        "weather_main", "rows", F.size("new").cast("bigint").alias("files"), F.size(F.array_except("old", "new")).alias("gone"), F.lit(again).alias("gone_again")
+    )
+
+
 @register(
     "dataset_profile",
     "SELECT CAST(1 AS BIGINT) AS num_files, count(*) AS num_records FROM lineitem",

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from gaugeflow.operators.grouping import latest_per
 from gaugeflow.runtime import delete, written
-from gaugeflow.sources import staging
+from gaugeflow.sources import layout, staging
 from gaugeflow.sources.schemas import TABLES
 
 
@@ -192,12 +192,8 @@ def materialise(
 
 
 def compact(spark: SparkSession, path: str, target: str, cluster_by: Sequence[str], partition_by: Sequence[str] = ()) -> None:
-    """Rewrite a dataset sorted by ``cluster_by``, so that file statistics skip well."""
-    df = spark.read.parquet(path)
-    order = [*partition_by, *[c for c in cluster_by if c not in partition_by]]
-    clustered = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
-    writer = clustered.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
+    """Rewrite a dataset clustered by several columns, so that file statistics skip for a filter on any of them."""
+    layout.cluster(spark, path, cluster_by, partition_by, target)
 
 
 def dataset_profile(df: DataFrame) -> DataFrame:
