@@ -1,11 +1,15 @@
 """Tables declared without a formula."""
 
+from pyspark.sql import functions as F
+
 from catalog.base import AS_OF, NOW, gold, now, register, silver, table, with_gold, with_silver
 from catalog.layers import DAILY_VIEW
 from catalog.marts import ALL, global_table, staged
 from catalog.reports import MONTH, anomaly_sql
 from gaugeflow.plans import declared as plans
 from gaugeflow.plans import gold as gold_plans
+from gaugeflow.runtime import scratch_path
+from gaugeflow.sources import snapshots
 
 EVENT_TYPE = (
     "CASE WHEN temperature_celsius > 35 THEN 'Heatwave' WHEN wind_speed > 50 OR weather_main = 'Thunderstorm' THEN 'Storm' "
@@ -139,6 +143,23 @@ def history(spark, d):
     return plans.history(log, ["o_custkey"], "o_orderdate")
 
 
+HISTORY = (
+    "SELECT o_custkey, o_orderdate, o_orderkey, o_orderstatus, o_orderdate AS valid_from, lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS valid_to FROM "
+    "(SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) AS p FROM orders) AS o WHERE p = 1"
+)
+
+
+@register("history_maintained", f"SELECT *, CAST(date_trunc('month', valid_to) AS DATE) AS closed_on FROM ({HISTORY}) AS h")
+def history_maintained(spark, d):
+    """The history kept over four loads: the latest orders first, then the others in two mixed loads, one of them twice."""
+    log = table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus")
+    path, late = scratch_path(spark, "history"), F.col("o_orderdate") >= F.lit("2000-01-01")
+    odd = F.col("o_orderkey") % 2 == 1
+    for load in (log.filter(late), log.filter(~late & odd), log.filter(~late & ~odd), log.filter(~late & odd)):
+        snapshots.keep_history(load, path, ["o_custkey"], "o_orderdate", "month")
+    return snapshots.read(spark, path, log, "o_orderdate")
+
+
 @register(
     "climate_patterns",
     with_gold(
