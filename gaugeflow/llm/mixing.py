@@ -1,7 +1,9 @@
 """Mixing sources to target weights: blocks drawn by multinomial counts and index permutations.
 
 1. Sources get targets: shares by weight, none above ``most`` times its size.
-2. Words of a source are packed into blocks of ``block`` words. Documents go to
+2. Words of a source are packed into blocks of a fixed length: ``block`` words, or
+   less for a small source, so that it and its target are ``pieces`` blocks at
+   least and a whole number of blocks comes near its target. Documents go to
    chunks by a hash, are laid end to end within a chunk, and the chunk is cut;
    so a source that holds a third of all rows is packed by many tasks.
 3. Output shards of ``slots`` slots draw a source for each slot, which makes the
@@ -30,7 +32,8 @@ ROUNDS = 24
 
 @dataclass(frozen=True)
 class Settings:
-    block: int = 256  # words in a block
+    block: int = 256  # words in a block, at most
+    pieces: int = 64  # blocks in a source and in its target, at least, if these have as many words
     slots: int = 1024  # blocks in an output shard
     chunk: int = 256  # blocks that are packed together, about
     most: int = 3  # times a source may be taken
@@ -123,19 +126,21 @@ def mix(
     s, spark = settings, docs.sparkSession
     sized = keyed(docs, id_col, text_col, source_col).select("id", "digest", "source", F.size(word_array(F.col("text"))).cast("bigint").alias("size"))
     sizes, _ = stored(sized.distinct(), "mix-sizes")
-    plan, _ = stored(targets(sizes.select("source", "size"), s), "mix-targets")
+    length = F.floor(F.least(F.col("source_size").cast("double"), "target") / s.pieces)
+    plan = targets(sizes.select("source", "size"), s)
+    plan, _ = stored(plan.withColumn("length", F.greatest(F.lit(1), F.least(F.lit(s.block), length)).cast("bigint")), "mix-targets")
     # blocks
-    n_chunks = F.ceil(F.col("source_size") / (s.block * s.chunk))
+    n_chunks = F.ceil(F.col("source_size") / (F.col("length") * s.chunk))
     chunk = F.when(n_chunks > 1, F.pmod(F.xxhash64("id", "digest", F.lit(s.seed)), n_chunks)).otherwise(F.lit(0))
-    there = sizes.join(plan, _same(sizes, plan, ["source"])).select(sizes["id"], "digest", sizes["source"], "size", chunk.cast("bigint").alias("chunk"))
+    there = sizes.join(plan, _same(sizes, plan, ["source"])).select(sizes["id"], "digest", sizes["source"], "size", "length", chunk.cast("bigint").alias("chunk"))
     lay = Window.partitionBy("source", "chunk").orderBy(F.col("id").asc_nulls_last(), "digest").rowsBetween(Window.unboundedPreceding, 0)
     laid = there.where("size > 0").withColumn("end", F.sum("size").over(lay)).withColumn("start", F.col("end") - F.col("size"))
-    chunks = there.groupBy("source", "chunk").agg(F.ceil(F.sum("size") / s.block).alias("n"))
+    chunks = there.groupBy("source", "chunk").agg(F.ceil(F.sum("size") / F.max("length")).alias("n"))
     chunks, _ = stored(running_sum(chunks, ["source"], "chunk", "n", "first"), "mix-chunks")
-    blocks = F.explode(F.sequence(F.floor(F.col("start") / s.block), F.floor((F.col("end") - 1) / s.block)))
+    blocks = F.explode(F.sequence(F.floor(F.col("start") / F.col("length")), F.floor((F.col("end") - 1) / F.col("length"))))
     cut = laid.withColumn("k", blocks)
-    low = F.greatest("start", F.col("k") * s.block)
-    cut = cut.withColumns({"word": low - F.col("start"), "words": F.least("end", (F.col("k") + 1) * s.block) - low})
+    low = F.greatest("start", F.col("k") * F.col("length"))
+    cut = cut.withColumns({"word": low - F.col("start"), "words": F.least("end", (F.col("k") + 1) * F.col("length")) - low})
     pieces = cut.join(chunks, _same(cut, chunks, ["source", "chunk"])).select(
         "id", "digest", cut["source"], (F.col("first") + F.col("k")).alias("block"), "word", "words"
     )
@@ -215,10 +220,13 @@ def mix_documents(
         F.sort_array(F.collect_list(F.struct("word", "words"))).alias("parts"), F.sum("words").alias("n")
     )
     k = parts.select(F.col("id").alias("__id"), F.col("digest").alias("__digest"), F.col("source").alias("__source"), F.col("parts").alias("__parts"), F.col("n").alias("__n"))
-    digest = F.xxhash64(F.coalesce(name(text_col).cast("string"), F.lit("")))
-    on = name(id_col).eqNullSafe(F.col("__id")) & (digest == F.col("__digest")) & name(source_col).eqNullSafe(F.col("__source"))
-    both = docs.join(k, on).withColumn("__words", word_array(name(text_col)))
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # names of their own, whatever the columns are called
+    mine = docs.select(*[name(c).alias(a) for c, a in at.items()])
+    words, text = word_array(F.col(at[text_col])), F.col(at[text_col])
+    digest = F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+    on = F.col(at[id_col]).eqNullSafe(F.col("__id")) & (digest == F.col("__digest")) & F.col(at[source_col]).eqNullSafe(F.col("__source"))
+    both = mine.join(k, on).withColumn("__words", words)
     some = F.transform("__parts", lambda p: F.slice("__words", (p["word"] + 1).cast("int"), p["words"].cast("int")))
-    text = F.when(F.size("__words") == F.col("__n"), name(text_col)).otherwise(F.array_join(F.flatten(some), " "))
+    text = F.when(F.size("__words") == F.col("__n"), text).otherwise(F.array_join(F.flatten(some), " "))
     new = {text_col: text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return both.select(*[new[c].alias(c) if c in new else name(c) for c in docs.columns])
+    return both.select(*[(new[c] if c in new else F.col(a)).alias(c) for c, a in at.items()])
