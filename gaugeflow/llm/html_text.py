@@ -2,14 +2,17 @@
 
 Markup is stripped into lines, one for each block of the page. A line weighs as
 many characters as it has, none if it stands in an element that never holds main
-text (menus, page headers, footers, sidebars, forms) or is mostly links. Elements that
-their class, id or role marks as such, or as notices, adverts or comments, weigh
+text (menus, page headers, footers, sidebars, forms, reader comments), is mostly links or
+is a notice of rights. Such lines keep their places, so a menu of ten items is ten lines
+of nothing between two stretches. Elements that
+their class, id or role marks as side matter, notices or adverts weigh
 nothing either, unless they hold more than the rest of the page: a word can be wrong.
 They stay marked next to an article that ``share`` allows as main text. A block is ``width`` lines in a row; its value is the sum of
 their weights. Going down the page, the text begins where the values surge over
 the threshold and ends where they dive to nothing; lines between the two points
-are kept. The threshold is ``surge`` characters, or a quarter of the largest
-block where that is less, so a short page isn't lost. Tags that name an article only
+are a stretch. The threshold is ``surge`` characters, or a quarter of the largest
+block where that is less, so a short page isn't lost. Stretches count by their text, ``share`` of the largest, or, with a quarter of
+that, by their density: lines at least half as long as those of the largest. Tags that name an article only
 refine the borders: a stretch that is mostly inside of them is widened or cut to the
 whole of these articles. Any other stretch stays as it is. An article in an element
 that is skipped is skipped too, if the element has an end tag of its own.
@@ -51,20 +54,23 @@ CLOSES = {x: frozenset([x]) for x in ("li", "tr", "option")} | {x: frozenset(["d
 MARKED = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation menu menubar breadcrumb "
     "breadcrumbs sidebar aside complementary footer contentinfo masthead cookie cookies consent gdpr notice notices banner alert popup modal "
-    "overlay newsletter subscribe subscription signup login search share sharing social related recommended recommendations comment comments "
-    "disqus reply replies respond pagination pager toolbar widget widgets copyright skip hidden".split()
+    "overlay newsletter subscribe subscription signup login search share sharing social related recommended recommendations bio "
+    "pagination pager toolbar widget widgets copyright skip hidden".split()
 )
+COMMENTS = frozenset("comment comments commentlist disqus reply replies respond".split())
 TOP = frozenset("html body main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words that say where or what kind of box a marked element is.
-PLACES = frozenset("site page main top bottom left right primary secondary global inner outer box bar container wrapper wrap area block section list item items link links slot unit label title button panel row column columns holder x".split())
+PLACES = frozenset(
+    "site page main top bottom left right primary secondary global inner outer box bar container wrapper wrap area block section list item items link links slot unit label title panel row column columns holder x "
+    "post posts user users reader readers article author entry story blog button buttons policy form forms thread count body content text".split()
+)
 # Of these, what can mark an article that isn't the page's.
 OTHER = frozenset("ad ads advert advertisement sponsored promo related recommended comment comments reply replies teaser".split())
-TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
-    r"""([^<>"']*(?:(?:"[^"]*"|'[^']*')[^<>"']*)*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""",
-    re.S | re.I,
-)
+RIGHTS = re.compile(r"(?:\W|\d)*(?:copyright|\(c\)|all rights reserved|powered by)\b.{0,160}|\W*©.{0,160}", re.I | re.S)
+NAME = re.compile(r"[a-zA-Z][^\s/<>]*")
+REST = re.compile(r"""([^<>"']*+(?:(?:"[^"]*+"|'[^']*+')[^<>"']*+)*+)>""")  # of a tag, quoted parts whole
+RAW_END = {x: re.compile(rf"</{x}\b[^>]*>", re.I) for x in RAW.split("|")}
 MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 UNSEEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none|visibility\s*:\s*hidden""", re.I)
 
@@ -108,6 +114,8 @@ def _skipped(tag: str, attributes: str, inside: bool) -> Skip | None:
         return None if OTHER.isdisjoint({w for v in values for w in re.split(r"[^a-z]+", v.lower())}) else Skip(False)
     if tag in HEADINGS:
         return None
+    if any(_marked(v, COMMENTS) for v in values):
+        return Skip(True)
     words = MARKED if inside else MARKED | {"header"}
     return Skip(False) if any(_marked(v, words) for v in values) else None
 
@@ -127,27 +135,27 @@ class Page:
         self.hard_around = 0
         self.parts: list[str] = []
         self.linked = 0
+        self.unseen = False  # text that is skipped since the last line
 
     def text(self, raw: str) -> None:
         if raw and self.hard == self.hard_around:
             self.parts.append(raw)
             if self.links:
                 self.linked += len(raw)
+        elif raw and not raw.isspace():
+            self.unseen = True
 
     def flush(self) -> None:
         if self.parts:
             raw = "".join(self.parts)
             text = " ".join(html.unescape(raw).split())
             if text:
-                mostly_links = not self.depth and 2 * self.linked > len(raw)
+                side = not self.depth and (2 * self.linked > len(raw) or RIGHTS.fullmatch(text))
                 mark = self.skips[self.around] if len(self.skips) > self.around else None
-                self.lines.append(Line(text, 0 if mostly_links else len(text), self.articles if self.depth else 0, mark))
-        self.parts, self.linked = [], 0
-
-    def gap(self) -> None:
-        """Text that weighs nothing keeps its place between lines."""
-        if not self.lines or self.lines[-1].text:
+                self.lines.append(Line(text, 0 if side else len(text), self.articles if self.depth else 0, mark))
+        elif self.unseen:
             self.lines.append(Line("", 0, 0))
+        self.parts, self.linked, self.unseen = [], 0, False
 
     def open(self, tag: str, attributes: str) -> None:
         if tag not in INLINE:
@@ -166,12 +174,9 @@ class Page:
                 self.articles += 1
                 self.outer[self.articles] = list(self.skips)
                 self.around, self.hard_around = len(self.skips), self.hard
-                if self.skips:
-                    self.gap()
             self.depth += not skip or self.depth > 0
         if skip:
             self.flush()
-            self.gap()
             self.skips.append(skip)
             self.hard += skip.hard
         self.places.setdefault(tag, []).append(len(self.stack))
@@ -187,7 +192,6 @@ class Page:
             self.blocks.pop()
         if skip:
             self.flush()
-            self.gap()
             self.skips.pop()
             self.hard -= skip.hard
         self.links -= tag == "a"
@@ -210,19 +214,55 @@ class Page:
             self.pop()
 
 
+def _tags(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """Markup of a page in order: (start, end, tag, whether it ends the element, attributes), in one pass.
+
+    The tag is empty for comments and declarations, and "!" for an element whose content isn't text.
+    """
+    at, n, close = 0, len(page), -1
+    while (start := page.find("<", at)) >= 0:
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = n if end < 0 else end + 3
+            yield start, at, "", False, ""
+            continue
+        if close < start and (close := page.find(">", start)) < 0:  # no tag ends any more, but a comment may begin
+            start = page.find("<!--", start)
+            if start < 0:
+                return
+            at = start
+            continue
+        ends = page.startswith("/", start + 1)
+        named = NAME.match(page, start + 1 + ends)
+        if named is None:
+            if page[start + 1 : start + 2] in ("!", "?", "/"):
+                at = close + 1
+                yield start, at, "", False, ""
+            else:
+                at = start + 1
+            continue
+        rest = REST.match(page, named.end())
+        at = rest.end() if rest else close + 1
+        tag = named[0].lower()
+        if tag in RAW_END and not ends:
+            end = RAW_END[tag].search(page, at)
+            at = end.end() if end else n
+            yield start, at, "!", False, ""
+        else:
+            yield start, at, tag, ends, page[named.end() : at - 1].strip()
+
+
 def _read(page: str) -> Page:
     p, at = Page(), 0
-    for m in TOKEN.finditer(page):
-        p.text(page[at : m.start()])
-        at = m.end()
-        if tag := m[3] or m[6]:
-            tag = tag.lower()
-            if m[2] or m[5]:
-                p.close(tag)
-            else:
-                p.open(tag, (m[4] or m[7] or "").strip())
-        elif m[1]:
+    for start, end, tag, ends, attributes in _tags(page):
+        p.text(page[at:start])
+        at = end
+        if tag == "!":
             p.flush()
+        elif tag and ends:
+            p.close(tag)
+        elif tag:
+            p.open(tag, attributes)
     p.text(page[at:])
     p.flush()
     return p
@@ -247,8 +287,7 @@ def lines_of(page: str, s: Settings = Settings()) -> list[Line]:
             own = held[id(line.mark)]
             if 2 * own <= total or (inside and inside >= s.share * own):
                 line.text, line.weight = "", 0
-    # what weighs nothing is one gap, however long
-    return [x for i, x in enumerate(p.lines) if x.text or i == 0 or p.lines[i - 1].text]
+    return p.lines
 
 
 def extract(page: str, s: Settings = Settings()) -> str:
@@ -271,10 +310,12 @@ def extract(page: str, s: Settings = Settings()) -> str:
         stretches.append((at, end))
         at = end
     sums = [int(weight[a:b].sum()) for a, b in stretches]
+    dense = [n / np.count_nonzero(weight[a:b]) for (a, b), n in zip(stretches, sums, strict=True)]
+    most, usual = max(sums), dense[int(np.argmax(sums))]
     kept: set[int] = set()
     articles: set[int] = set()
-    for (a, b), n in zip(stretches, sums, strict=True):
-        if n < s.share * max(sums):
+    for (a, b), n, d in zip(stretches, sums, dense, strict=True):
+        if n < s.share * most and (4 * n < s.share * most or 2 * d < usual):
             continue
         inside = sum(int(weight[i]) for i in range(a, b) if lines[i].article)
         if 2 * inside > n:
@@ -294,12 +335,13 @@ def main_text(
     rows give equal results; an empty table gives an empty result.
     """
     columns = [c for c in (pages.columns if keep is None else keep) if c != out]
-    kept = pages.select(*[name(c) for c in columns], F.coalesce(name(html_col).cast("string"), F.lit("")).alias("__html"))
-    schema = T.StructType([*[kept.schema[c] for c in columns], T.StructField(out, T.StringType())])
+    numbered = [name(c).alias(f"c{i}") for i, c in enumerate(columns)]
+    kept = pages.select(*numbered, F.coalesce(name(html_col).cast("string"), F.lit("")).alias("page"))
+    schema = T.StructType([*kept.schema.fields[:-1], T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [extract(t.as_py(), settings) for t in b.column(len(columns))]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(texts, pa.string())], [f.name for f in schema.fields])
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema).toDF(*columns, out)

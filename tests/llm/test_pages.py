@@ -97,6 +97,66 @@ def test_pages_of_the_table(spark):
         assert got[r["page_id"]] == want
 
 
+def words_in(text):
+    return re.findall(r"\w+", text)
+
+
+@pytest.mark.parametrize("tag", ["div", "section"])
+def test_pages_without_their_article_tags(spark, tag):
+    """Line blocks alone find what stood inside the tags."""
+    from collections import Counter
+
+    rows = spark.read.parquet(f"{SF_DIR}/pages.parquet").select("html").collect()
+    hit = found = there = whole = 0
+    for (page,) in rows:
+        want = Counter(words_in(html_text.extract(page)))
+        got = Counter(words_in(html_text.extract(re.sub("(</?)article", rf"\1{tag}", page))))
+        hit, found, there = hit + (want & got).total(), found + got.total(), there + want.total()
+        whole += got == want
+    assert hit > 0.95 * found and hit > 0.95 * there and whole > 0.9 * len(rows)
+
+
+SIDE = (
+    "post-comments", "user-comments", "comments", "comment-list", "article-footer", "author-bio", "share-buttons", "cookie-policy", "newsletter-form",
+)
+
+
+@pytest.mark.parametrize("mark", SIDE)
+def test_side_matter_by_its_class(mark):
+    more = f"<div class={mark}><p>{ARTICLE}</p></div>"
+    assert html_text.extract(f"<div class=content>{LONG}</div>{more}") == WHOLE
+    assert html_text.extract(f"<article>{LONG}{more}</article>") == WHOLE
+    assert html_text.extract(f"<article>{LONG}<div id={mark}>x</div><p>End.</p></article>") == f"{WHOLE} End."
+
+
+def test_comments_longer_than_the_text_and_notices_of_rights():
+    assert html_text.extract(f"<div><p>{ARTICLE}</p></div><div class=comments>{LONG}</div>") == ARTICLE
+    rights = "<div>All rights reserved 2024 Example Corp. Powered by Foo</div><p>&copy; 2024 Example</p>"
+    assert html_text.extract(f"<div>{LONG}</div>{rights}") == WHOLE
+
+
+def test_what_is_stripped_parts_stretches():
+    menu = "<ul>" + "".join(f"<li><a href=x>Item {i}</a></li>" for i in range(6)) + "</ul>"
+    short = "<p>Sign in to read on.</p>"
+    assert html_text.extract(f"{short}<nav>{menu}</nav><div>{LONG}</div><aside>{menu}</aside>{short}") == WHOLE
+    again = "".join(f"<p>{ARTICLE}</p>" for _ in range(2))
+    assert html_text.extract(f"<div>{LONG}</div><aside>{menu}</aside><div>{again}</div>") == f"{WHOLE} {ARTICLE} {ARTICLE}"
+
+
+BAD = ["<a \"", "<a '\"", "<a", "<", "</", "<!", "<?", "<a \"'", "<a href=\"x", "<!-", "<script", "<a b=c ", "<p", "<div class='", "</a ", "<a =\"<\""]
+
+
+@pytest.mark.parametrize("end", ["", ">", "\"'>"])
+def test_a_megabyte_of_bad_markup_takes_under_a_second(end):
+    import time
+
+    for part in BAD:
+        page = part * (1_000_000 // len(part)) + end
+        begun = time.process_time()
+        html_text.extract(page)
+        assert time.process_time() - begun < 4, part  # a machine may be slow; a second on a usual one
+
+
 def test_rows_nulls_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, None, "mine"), (1, "<p>x", "y"), (None, "", None)], "page_id bigint, html string, text string")
     got = sorted(html_text.main_text(df).collect(), key=repr)
