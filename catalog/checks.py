@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from catalog.base import AS_OF, NOW, TODAY, gold, observations, register, silver, table, with_gold, with_silver
 from gaugeflow.operators import checks
 from gaugeflow.plans import health
+from gaugeflow.runtime import scratch_path
+from gaugeflow.sources import storage
 
 WEEK = f"observation_time >= {TODAY} - INTERVAL 7 DAY"
 
@@ -423,3 +425,21 @@ def validation_bundles(spark, d):
         line = f.agg(F.count(F.lit(1)).alias("lines")).select(F.lit(n).alias("part"), "lines")
         out = line if out is None else out.unionByName(line)
     return out
+
+
+@register(
+    "check_while_writing",
+    with_silver(
+        "SELECT 'hot' AS test, count(*) FILTER (WHERE temperature_celsius > 40) AS failures, CASE WHEN count(*) FILTER (WHERE temperature_celsius > 40) = 0 THEN 'pass' ELSE 'warn' END AS status, "
+        "count(*) AS written FROM silver UNION ALL "
+        "SELECT 'valid', count(*) FILTER (WHERE NOT is_valid), CASE WHEN count(*) FILTER (WHERE NOT is_valid) = 0 THEN 'pass' ELSE 'warn' END, count(*) FROM silver UNION ALL "
+        "SELECT 'named', 0, 'pass', count(*) FROM silver"
+    ),
+)
+def check_while_writing(spark, d):
+    """Row checks counted in the write of the table itself."""
+    watched = checks.Watched(
+        silver(spark, d), {"hot": F.col("temperature_celsius") <= 40, "valid": F.col("is_valid"), "named": F.col("city").isNotNull()}
+    )
+    storage.append(watched.rows, scratch_path(spark, "checked"))
+    return watched.result().withColumn("written", F.lit(watched.rows_written).cast("bigint"))

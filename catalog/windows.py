@@ -6,7 +6,10 @@ from catalog.base import AS_OF, NOW, TODAY, gold, now, register, table, with_gol
 from gaugeflow.operators.grouping import latest_per
 from gaugeflow.operators.ordered import neighbour, quantiles, ranks, rolling_range, row_numbers
 from gaugeflow.plans import gold as plans
-from gaugeflow.plans import reports
+from gaugeflow.plans import reports, sketches
+from gaugeflow.runtime import scratch_path
+from gaugeflow.sources import staging
+from gaugeflow.spec import since_days
 
 LAG = "lag(temperature_celsius) OVER (PARTITION BY city ORDER BY observation_time)"
 TREND_CLASS = "CASE WHEN {c} > 2 THEN 'Rising' WHEN {c} < -2 THEN 'Falling' ELSE 'Stable' END"
@@ -278,3 +281,38 @@ def quantiles_null_keys(spark, d):
 def rolling_null_times(spark, d):
     frames = {"n": ("count", "v", 86_400), "s": ("sum", "v", 86_400), "m": ("max", "v", 86_400)}
     return rolling_range(odd(spark, d), ["k"], "t", frames).select("event_id", "n", "s", "m")
+
+
+LOOKBACKS = (7, 30, 90)
+
+
+@register(
+    "sketched_lookbacks",
+    with_gold(
+        " UNION ALL ".join(
+            f"SELECT city, {n} AS days, CAST(count(*) AS BIGINT) AS readings, count(humidity) > 0 AS median_fits, TRUE AS upper_fits, TRUE AS distinct_fits FROM gold "
+            f"WHERE observation_date >= {TODAY} - {n} GROUP BY city"
+            for n in LOOKBACKS
+        )
+    ),
+)
+def sketched_lookbacks(spark, d):
+    """Quantiles and distinct counts over three look-backs from one stored table, held against the readings: within the stated errors."""
+    path = scratch_path(spark, "sketches")
+    rows = gold(spark, d)
+    sketches.store(rows, path, ["temperature_celsius"], ["observation_time"])
+    kept, out = staging.read(spark, path), None
+    for days in LOOKBACKS:
+        t = "temperature_celsius"
+        got = sketches.look_back(kept, days, AS_OF, ["city"], {"median": (t, 0.5), "upper": (t, 0.9)}, {"times": "observation_time"})
+        there = since_days(rows, days, AS_OF).withColumnRenamed("city", "_city").join(got, F.col("_city") == F.col("city"))
+        below = {c: (F.avg((F.col(t) < F.col(c)).cast("int")), F.avg((F.col(t) <= F.col(c)).cast("int"))) for c in ("median", "upper")}
+        fits = lambda c, p: (below[c][0] <= p + 2 * sketches.RANK_ERROR) & (below[c][1] >= p - 2 * sketches.RANK_ERROR)  # noqa: E731, B023
+        exact = F.count_distinct("observation_time")
+        line = there.groupBy("city").agg(
+            F.max("readings").alias("readings"), fits("median", 0.5).alias("median_fits"), fits("upper", 0.9).alias("upper_fits"),
+            (F.abs(F.max("times") - exact) <= 1 + 4 * sketches.DISTINCT_ERROR * exact).alias("distinct_fits"),
+        )
+        line = line.withColumn("days", F.lit(days))
+        out = line if out is None else out.unionByName(line)
+    return out

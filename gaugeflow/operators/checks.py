@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gaugeflow.operators.columns import difference
@@ -265,6 +265,29 @@ def run_row_checks(df: DataFrame, conditions: dict[str, Column], severity: str =
     return lines.select("test", "failures", _status(severity))
 
 
+class Watched:
+    """Row checks that are counted while the rows are written, without a scan of their own.
+
+    Write ``rows`` with one action, then ask for ``result``.
+    """
+
+    def __init__(self, df: DataFrame, conditions: dict[str, Column], severity: str = "warn"):
+        self._spark, self._names, self._severity = df.sparkSession, list(conditions), severity
+        self._seen = Observation()
+        counts = [F.count(F.when(_fails(c), 1)).alias(f"_{i}") for i, c in enumerate(conditions.values())]
+        self.rows = df.observe(self._seen, F.count(F.lit(1)).alias("rows"), *counts)
+
+    @property
+    def rows_written(self) -> int:
+        return self._seen.get["rows"]
+
+    def result(self) -> DataFrame:
+        """One row per check, as ``run_row_checks`` gives it; waits for the write."""
+        got = self._seen.get
+        lines = self._spark.createDataFrame([(n, got[f"_{i}"]) for i, n in enumerate(self._names)], "test string, failures bigint")
+        return lines.select("test", "failures", _status(self._severity))
+
+
 def store_failures(tests: dict[str, DataFrame], folder: str | None = None) -> dict[str, str]:
     """Write the failing rows of each test; returns where. Read them back to count them without computing them again."""
     places = {}

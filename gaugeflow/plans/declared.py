@@ -102,10 +102,14 @@ def forecast_accuracy(predictions: DataFrame, daily: DataFrame, tolerance: float
     actual = daily.select(
         r.key, F.col("observation_date").alias("forecast_date"), F.col("avg_temperature").alias("actual_temp")
     )
+    return with_errors(predictions.join(actual, [r.key, "forecast_date"]), tolerance)
+
+
+def with_errors(met: DataFrame, tolerance: float = 10) -> DataFrame:
+    """Errors and score of predictions next to what was observed."""
     error = F.abs(F.col("predicted_temp") - F.col("actual_temp"))
     return (
-        predictions.join(actual, [r.key, "forecast_date"])
-        .withColumn("absolute_error", error)
+        met.withColumn("absolute_error", error)
         .withColumn("percentage_error", F.try_divide(F.col("absolute_error"), F.abs("actual_temp")) * 100)
         .withColumn("accuracy_score", F.greatest(F.lit(0.0), 100 - F.col("percentage_error")))
         .withColumn("is_accurate", F.col("percentage_error") <= tolerance)

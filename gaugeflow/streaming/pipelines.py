@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gaugeflow.functions import rules
+from gaugeflow.plans.declared import with_errors
 from gaugeflow.plans.silver import clean
 from gaugeflow.sources.storage import upsert
 from gaugeflow.spec import ROLES, Roles
@@ -83,6 +85,37 @@ def daily_summary(rows: DataFrame, lateness: str = "24 hours", r: Roles = ROLES)
     )
 
 
+def event_sessions(rows: DataFrame, gap: str = "1 hour", lateness: str = "24 hours", r: Roles = ROLES) -> DataFrame:
+    """Episodes of a key's event: its readings with less than ``gap`` from one to the next.
+
+    As a stream, an episode is given once the watermark, ``lateness`` behind the newest reading,
+    has passed its end; a late reading until then joins the episodes before and after it into one. State
+    holds open episodes only. Of a table, all episodes are given at once.
+    """
+    flagged = _zoned(rows.withColumn("event_type", rules.event_detected(r)), r)
+    # all readings move the watermark, also those without an event
+    events = flagged.withWatermark(r.time, lateness).filter("event_type IS NOT NULL")
+    kind = rows.schema[r.time].dataType
+    ends = [F.min(r.time).cast(kind).alias("started"), F.max(r.time).cast(kind).alias("ended")]
+    found = events.groupBy(F.session_window(r.time, gap), r.key, "event_type").agg(F.count(F.lit(1)).alias("readings"), *ends)
+    minutes = F.timestamp_diff("MINUTE", "started", "ended").alias("event_duration_minutes")
+    return found.select(r.key, "event_type", "readings", "started", "ended", minutes)
+
+
+def forecasts_met(predictions: DataFrame, daily: DataFrame, lateness: str = "2 days", tolerance: float = 10, r: Roles = ROLES) -> DataFrame:
+    """Predictions against what was observed, as both arrive: ``forecast_accuracy`` of two streams.
+
+    A pair is given when its later side comes. Both sides wait for the other within ``lateness``
+    of the newest day of either; older ones can't be met any more and leave the state.
+    """
+    p = predictions.withColumn("_due", F.col("forecast_date").cast("timestamp")).withWatermark("_due", lateness)
+    a = daily.select(
+        F.col(r.key).alias("_key"), F.col("observation_date").cast("timestamp").alias("_day"), F.col("avg_temperature").alias("actual_temp")
+    ).withWatermark("_day", lateness)
+    met = p.join(a, (F.col(r.key) == F.col("_key")) & (F.col("_due") == F.col("_day")), "inner")
+    return with_errors(met.drop("_key", "_due", "_day"), tolerance)
+
+
 def append_to(rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Write finished rows of a stream as parquet."""
     return (
