@@ -379,6 +379,16 @@ def averages_incremental(spark, d):
     return staging.read(spark, path).drop("observation_date")
 
 
+@register("insert_indexed", "SELECT o_orderkey, o_totalprice FROM orders")
+def insert_indexed(spark, d):
+    """Orders in four loads, the last one again: only files that may hold one of a load's keys are opened."""
+    path = scratch_path(spark, "orders-indexed")
+    rows = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    for part in (0, 1, 2, 3, 3):
+        storage.insert_new(rows.filter(F.col("o_orderkey") % 4 == part), path, "o_orderkey", indexed=True)
+    return spark.read.parquet(path)
+
+
 @register("table_metrics", f"{file_points('events')} UNION ALL {file_points('orders')}")
 def table_metrics(spark, d):
     """Files and rows of two tables as metric points; bytes are left out of the comparison."""

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from gaugeflow.operators.grouping import latest_per
 from gaugeflow.runtime import delete, written
-from gaugeflow.sources import layout, staging
+from gaugeflow.sources import fileindex, layout, staging
 from gaugeflow.sources.schemas import TABLES
 
 
@@ -51,9 +51,11 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     staging.replace(df, path, partition_by)
 
 
-def insert_new(source: DataFrame, path: str, key: str, partition_by: Sequence[str] = ()) -> None:
+def insert_new(source: DataFrame, path: str, key: str, partition_by: Sequence[str] = (), indexed: bool = False) -> None:
     """Append the rows whose key the table lacks. A repeated load adds nothing.
 
+    ``indexed`` keeps a zone map and a Bloom filter per file and opens only files that may hold a key of the load.
+
     The keys already present are found from the side of the table, by a semi
     join with the source: a load small enough to be broadcast then costs a scan
     of the key column and no shuffle of the table. Rows with a NULL key are told apart
@@ -64,7 +66,8 @@ def insert_new(source: DataFrame, path: str, key: str, partition_by: Sequence[st
         source = written(_once(source, F.col(key).isNotNull()), "source")
         target = read_if_present(spark, path, merge=False)  # the key is in all files
         if target is not None:
-            known = target.select(key).join(source.select(key), key, "left_semi").distinct()
+            there = _holding(spark, path, key, source, target) if indexed else target
+            known = there.select(key).join(source.select(key), key, "left_semi").distinct()
             fresh = source.filter(F.col(key).isNotNull()).join(known, key, "left_anti")
             loose = source.filter(F.col(key).isNull())
             if loose.limit(1).count():
@@ -74,6 +77,15 @@ def insert_new(source: DataFrame, path: str, key: str, partition_by: Sequence[st
         append(source, path, partition_by)
 
 
+def _holding(spark: SparkSession, path: str, key: str, source: DataFrame, target: DataFrame) -> DataFrame:
+    """The files of a table that may hold a key of the source."""
+    fileindex.refresh(spark, path, key)
+    files = fileindex.files_for(spark, path, key, source)
+    if not files:
+        return target.limit(0)
+    return spark.read.schema(target.schema).option("basePath", path).parquet(*[staging.literal(f) for f in files])
+
+
 def _comparable(rows: DataFrame) -> list[str]:
     return [f.name for f in rows.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
 

@@ -93,8 +93,8 @@ def event_sessions(rows: DataFrame, gap: str = "1 hour", lateness: str = "24 hou
     holds open episodes only. Of a table, all episodes are given at once.
     """
     flagged = _zoned(rows.withColumn("event_type", rules.event_detected(r)), r)
-    # all readings move the watermark, also those without an event
-    events = flagged.withWatermark(r.time, lateness).filter("event_type IS NOT NULL")
+    # all readings move the watermark, also those without an event: a condition on the time stays above it
+    events = flagged.withWatermark(r.time, lateness).filter(F.when(F.col(r.time).isNotNull(), F.col("event_type")).isNotNull())
     kind = rows.schema[r.time].dataType
     ends = [F.min(r.time).cast(kind).alias("started"), F.max(r.time).cast(kind).alias("ended")]
     found = events.groupBy(F.session_window(r.time, gap), r.key, "event_type").agg(F.count(F.lit(1)).alias("readings"), *ends)
