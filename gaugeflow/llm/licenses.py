@@ -165,10 +165,16 @@ def _any_of(terms: set[str]) -> str:
 
 
 def _spans(lines: Column, begins: Callable[[Column, Column], Column]) -> Column:
-    """(line, n) of blocks; ``begins`` says of a line and the one before it whether a block begins."""
+    """Blocks as numbers, ``_block``; ``begins`` says of a line and the one before it whether a block begins."""
     last = F.size(lines)
     at = F.filter(F.sequence(F.lit(0), last - 1), lambda i: (i == 0) | begins(F.get(lines, i), F.get(lines, i - 1)))
-    return F.transform(at, lambda i, k: F.struct(i.alias("line"), (F.coalesce(F.get(at, k + 1), last) - i).alias("n")))
+    after = F.concat(F.slice(at, F.lit(2), F.size(at)), F.array(last))  # not looked up within a lambda, which would form ``at`` for each block
+    return F.zip_with(at, after, lambda i, j: _block(i, j - i))
+
+
+def _block(line: Column, n: Column) -> Column:
+    """``n`` lines from ``line`` on as one number: arrays of numbers lose their copies in linear time, those of structs don't."""
+    return F.shiftleft(line.cast("bigint"), 32).bitwiseOR(n.cast("bigint"))
 
 
 def _units(docs: DataFrame) -> DataFrame:
@@ -178,12 +184,18 @@ def _units(docs: DataFrame) -> DataFrame:
     single = _spans(lines, lambda x, y: F.lit(True))
     paragraphs = _spans(lines, lambda x, y: edge(x, y) | x.rlike(BLANK))
     runs = _spans(lines, lambda x, y: edge(x, y) | x.rlike(r"^\s*$") | (x.rlike(MARKED) != y.rlike(MARKED)))
-    comments = F.filter(_spans(lines, edge), lambda x: F.get(lines, x["line"]).rlike(OPENS))
-    whole = F.when(F.col("key.path").rlike(FILE), F.array(F.struct(F.lit(-1).alias("line"), F.lit(0).alias("n"))))
-    blocks = F.array_distinct(F.concat(single, paragraphs, runs, comments, F.coalesce(whole, F.array().cast("array<struct<line:int,n:int>>"))))
-    cut = docs.withColumn("lines", F.split(F.lower("text"), "\n")).select("key", "lines", "text", F.explode(blocks).alias("at"))
-    unit = F.when(F.col("at.n") == 0, F.lower("text")).otherwise(F.array_join(F.slice(lines, F.greatest("at.line", F.lit(0)) + 1, F.col("at.n")), " "))
-    return cut.select("key", "at.line", "at.n", unit.alias("unit"))
+    comments = F.filter(_spans(lines, edge), lambda x: F.get(lines, F.shiftright(x, 32).cast("int")).rlike(OPENS))
+    whole = F.when(F.col("key.path").rlike(FILE), F.array(_block(F.lit(-1), F.lit(0))))
+    blocks = F.array_distinct(F.concat(single, paragraphs, runs, comments, F.coalesce(whole, F.array().cast("array<bigint>"))))
+
+    def unit(block: Column) -> Column:
+        line, n = F.shiftright(block, 32).cast("int"), block.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+        text = F.when(n == 0, F.lower("text")).otherwise(F.array_join(F.slice(lines, F.greatest(line, F.lit(0)) + 1, n), " "))
+        return F.struct(line.alias("line"), n.alias("n"), text.alias("unit"))
+
+    # units are cut before they become rows: a row holds its own lines, not those of the whole text
+    cut = docs.withColumn("lines", F.split(F.lower("text"), "\n")).select("key", F.explode(F.transform(blocks, unit)).alias("u"))
+    return cut.select("key", "u.line", "u.n", "u.unit")
 
 
 def _terms(text: Column) -> Column:

@@ -410,9 +410,9 @@ def _descend(s: Search, lat: Lattice) -> tuple | None:
                 if e != best:
                     bound = _under(drawn[e - lo], top, greatest)
                     if len(s.bounds) <= s.k or bound > s.bounds[0]:
-                        s.push(bound, *_next(s, lat, word, int(to[e])), masses[e - lo], [*path, e], ())
+                        s.push(bound, *_next(s, lat, word, int(to[e])), masses[e - lo], (path, e), ())
             mass = masses[best - lo]
-        path = [*path, best]
+        path = (path, best)
         word, node = _next(s, lat, word, int(to[best]))
     if word == n:
         s.done.append((path, mass, top, None))
@@ -432,7 +432,7 @@ def search(texts: list[str], keys: list[int], lat: Lattice, k: int) -> list[list
     for starts, key in zip(lat.starts(texts), keys, strict=True):
         s = Search(starts, random.Random(key), key, k)
         if len(starts):
-            s.push(_gumbel(s.rng, 0.0), 0, int(starts[0]), 0.0, [], ())
+            s.push(_gumbel(s.rng, 0.0), 0, int(starts[0]), 0.0, None, ())
         states.append(s)
     for _ in range(k):
         waiting = [(s, got) for s in states if s.agenda and len(s.done) < k and (got := _descend(s, lat)) is not None]
@@ -464,15 +464,24 @@ def search(texts: list[str], keys: list[int], lat: Lattice, k: int) -> list[list
             waiting, again = retry, again + 1
     # ids of all samples at once
     done = [x for s in states for x in s.done]
-    edges = [np.array(path, np.int64) if rest is None else np.concatenate([np.array(path, np.int64), rest]) for path, _, _, rest in done]
+    edges = [_edges(path) if rest is None else np.concatenate([_edges(path), rest]) for path, _, _, rest in done]
     ids, n = lat.spelled(np.concatenate([np.empty(0, np.int64), *edges]))
     ends = np.r_[0, np.cumsum(n)][np.cumsum([0, *map(len, edges)])].tolist()
     spelled = iter([ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)])
     return [_finish(s, spelled) for s in states]
 
 
-def _mass(path: list[int], lat: Lattice) -> float:
-    return float(lat.logp[path].sum(dtype=np.float64)) if path else 0.0
+def _edges(path: tuple | None) -> np.ndarray:
+    """The edges of a path, which is kept as (the path before, its last edge): a step further costs no copy."""
+    out = []
+    while path is not None:
+        path, edge = path
+        out.append(edge)
+    return np.array(out[::-1], np.int64)
+
+
+def _mass(path: tuple | None, lat: Lattice) -> float:
+    return float(lat.logp[_edges(path)].sum(dtype=np.float64)) if path is not None else 0.0
 
 
 def _logaddexp(a: float, b: float) -> float:

@@ -159,14 +159,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     id stay only where the component has no id. Only ids and digests are ranked;
     texts move once, to meet the list of rows that stay.
     """
-    digest = F.coalesce(F.md5(name(text_col)), F.lit(""))
-    keyed = docs.select(name(id_col).alias("__id"), name(text_col).alias("__text"), digest.alias("__digest"))
-    ids = keyed.select(F.struct("__id", "__digest").alias("__row"), "__text")
-    found = near_duplicates(ids, "__row", "__text", shingle, most)
-    rank = Window.partitionBy("component_id").orderBy(F.col("__row.__id").asc_nulls_last(), "__row.__digest")
-    best = found.withColumn("__n", F.row_number().over(rank)).where("__n = 1").select("__row")
-    best = best.select(F.col("__row.__id").alias("__id"), F.col("__row.__digest").alias("__digest"))
-    shown = docs.withColumn("__mine", digest)
-    kept = shown.join(best, shown[id_col].eqNullSafe(best["__id"]) & (shown["__mine"] == best["__digest"]), "left_semi")
-    again = Window.partitionBy(name(id_col), "__mine").orderBy(F.xxhash64(*[name(c) for c, t in docs.dtypes if not t.startswith("map")]))
-    return kept.withColumn("__n", F.row_number().over(again)).where("__n = 1").select(*[name(c) for c in docs.columns])
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # names of their own, whatever the columns are called
+    mine = docs.select(*[name(c).alias(a) for c, a in at.items()])
+    id_, text = at[id_col], at[text_col]
+    digest = F.coalesce(F.md5(text), F.lit(""))
+    ids = mine.select(F.struct(F.col(id_).alias("id"), digest.alias("digest")).alias("row"), F.col(text).alias("text"))
+    found = near_duplicates(ids, "row", "text", shingle, most)
+    rank = Window.partitionBy("component_id").orderBy(F.col("row.id").asc_nulls_last(), "row.digest")
+    best = found.withColumn("n", F.row_number().over(rank)).where("n = 1").select(F.col("row.id").alias("b_id"), F.col("row.digest").alias("b_digest"))
+    shown = mine.withColumn("digest", digest)
+    kept = shown.join(best, F.col(id_).eqNullSafe(F.col("b_id")) & (F.col("digest") == F.col("b_digest")), "left_semi")
+    again = Window.partitionBy(id_, "digest").orderBy(F.xxhash64(*[c for c, t in mine.dtypes if not t.startswith("map")]))
+    first = kept.withColumn("n", F.row_number().over(again)).where("n = 1")
+    return first.select(*[F.col(a).alias(c) for c, a in at.items()])

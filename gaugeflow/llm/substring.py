@@ -287,13 +287,15 @@ def remove_repeats(
     # one shuffle: the tasks have formed their minima already
     first = places.repartition("high", "low").groupBy("high", "low").agg(F.min(F.struct("id", "start")).alias("at"))
     mark = F.shiftleft(F.col("at.start").cast("bigint"), 32).bitwiseOR(F.col("low").bitwiseAND(F.lit(0xFFFFFFFF)))
-    starts = first.groupBy(F.col("at.id").alias("__id")).agg(F.collect_list(mark).alias("__starts"))
+    starts = first.groupBy(F.col("at.id").alias("id")).agg(F.collect_list(mark).alias("starts"))
     new = ["n_words", "n_removed", "kept_text"]
-    shown = docs.select(*[name(c) for c in docs.columns if c not in new])
-    joined = shown.join(starts, shown[id_col].eqNullSafe(starts["__id"]), "left").drop("__id")
+    columns = [c for c in docs.columns if c not in new]
+    at = {c: f"c{i}" for i, c in enumerate(columns)}  # names of their own, whatever the columns are called
+    shown = docs.select(*[name(c).alias(a) for c, a in at.items()])
+    joined = shown.join(starts, F.col(at[id_col]).eqNullSafe(F.col("id")), "left").drop("id")
     fields = [f for f in shown.schema.fields]
     schema = T.StructType([*fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
-    text_at = shown.columns.index(text_col)
+    text_at = columns.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, sketch = Hashes(), Sketch(bits, sent.value)
@@ -313,7 +315,7 @@ def remove_repeats(
             columns = [*b.columns[: len(fields)], pa.array(numbers, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema.fields])
 
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(cut, schema).toDF(*columns, *new)
 
 
 def _bytes(texts: pa.Array) -> list[bytes]:

@@ -115,11 +115,11 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
     The list of ids has a proven bound, so it is broadcast and texts don't move.
     """
     known = labels.where(name(label_col).isNotNull() & name(id_col).isNotNull())
-    y = known.groupBy(name(id_col).alias("__id")).agg(F.max(name(label_col).cast("int")).alias("y"))
-    there = y.join(docs.select(name(id_col).alias("__id")).distinct(), "__id", "left_semi")
-    chosen = there.orderBy(F.xxhash64("__id"), "__id").limit(most)
-    texts = docs.select(name(id_col).alias("__id"), F.coalesce(name(text_col), F.lit("")).alias("__text"))
-    return texts.join(F.broadcast(chosen), "__id").select("__text", "y")
+    y = known.groupBy(name(id_col).alias("id")).agg(F.max(name(label_col).cast("int")).alias("y"))
+    there = y.join(docs.select(name(id_col).alias("id")).distinct(), "id", "left_semi")
+    chosen = there.orderBy(F.xxhash64("id"), "id").limit(most)
+    texts = docs.select(name(id_col).alias("id"), F.coalesce(name(text_col), F.lit("")).alias("text"))
+    return texts.join(F.broadcast(chosen), "id").select("text", "y")
 
 
 def fit(
@@ -261,5 +261,7 @@ def keep_clean(
     """The rows of ``docs`` that score under ``threshold``, in all their columns."""
     seen = docs.where(~held_out(id_col))
     model = fit(seen, labels.where(~held_out(id_col)), id_col, text_col)
-    kept = score(docs, model, text_col, "__toxicity").where(F.col("__toxicity") < threshold)
-    return kept.select(*[name(c) for c in docs.columns])
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # names of their own, whatever the columns are called
+    mine = docs.select(*[name(c).alias(a) for c, a in at.items()])
+    kept = score(mine, model, at[text_col], "toxicity").where(F.col("toxicity") < threshold)
+    return kept.select(*[F.col(a).alias(c) for c, a in at.items()])
