@@ -9,9 +9,10 @@ all of them are compared with each other: chunk against chunk, each pair of
 chunks a group of its own. Pairs are verified by their cosine in double precision.
 
 Pairs don't leave a task. Every vector carries its places in all passes, so a
-pair that an earlier pass compares is left to that pass, and a task returns, per
-vector, the number of links it found, and a spanning forest of them. Counts are
-summed, forests are united over all passes.
+pair that an earlier pass compares is left to that pass: vectors of a chunk are
+split by their beginnings in earlier passes, and only what differs in these is
+multiplied. A task returns, per vector, the number of links it found, and a
+spanning forest of them. Counts are summed, forests are united over all passes.
 
 Equal vectors of a label are one vector with a multiplicity, however many.
 """
@@ -30,6 +31,7 @@ from gaugeflow.llm.common import components, name, stored
 from gaugeflow.llm.vectors import lists, matrix, ranked, usable
 
 BITS = 63
+FEW = 16  # vectors that aren't worth splitting further
 
 
 @dataclass(frozen=True)
@@ -69,6 +71,26 @@ def _links(x: np.ndarray, y: np.ndarray, least: float) -> tuple[np.ndarray, np.n
     return np.nonzero(x @ y.T >= least)
 
 
+def _blocks(rows: np.ndarray, cols: np.ndarray, head: np.ndarray, which: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Blocks of ``rows`` and ``cols`` that hold each pair without an equal head in the passes before ``which`` once.
+
+    Rows are split by their heads in one earlier pass after the other, down to
+    ``FEW``, so some pairs with equal heads are left in for the caller to drop.
+    """
+    todo = [(rows, cols, 0)]
+    while todo:
+        r, c, q = todo.pop()
+        if not len(c):
+            continue
+        if q == which or len(r) <= FEW:
+            for i in range(0, len(r), most):
+                yield r[i : i + most], c
+            continue
+        mine, theirs = head[r, q], head[c, q]
+        for h in np.unique(mine):
+            todo.append((r[mine == h], c[theirs != h], q + 1))
+
+
 class Found:
     """Links of a unit: counts, and which vectors hang together."""
 
@@ -112,11 +134,15 @@ def _compare(t: pa.Table, which: int, large: bool, apart_chunks: bool, least: fl
         x /= np.abs(x).max(axis=1, keepdims=True)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         left = np.flatnonzero(side[own] == 0)
-        for i in range(0, len(left), s.window):
-            some = left[i : i + s.window]
-            lo, hi = (0, len(own)) if large else (some[0], np.searchsorted(rank[own, which], rank[own[some[-1]], which] + s.window, "right"))
-            a, b = _links(x[some], x[lo:hi], least)
-            a, b = own[some[a]], own[lo + b]
+        if large:
+            blocks = _blocks(left, np.arange(len(own)), head[own], which, s.window)
+        else:
+            some = [left[i : i + s.window] for i in range(0, len(left), s.window)]
+            last = [np.searchsorted(rank[own, which], rank[own[r[-1]], which] + s.window, "right") for r in some]
+            blocks = ((r, np.arange(r[0], hi)) for r, hi in zip(some, last, strict=True))
+        for some, others in blocks:
+            a, b = _links(x[some], x[others], least)
+            a, b = own[some[a]], own[others[b]]
             apart = np.abs(rank[a, which] - rank[b, which])
             # a pair is taken once: the smaller place first, or one from each of two chunks
             once = side[b] == 1 if apart_chunks else a < b

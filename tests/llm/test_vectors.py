@@ -78,6 +78,38 @@ def test_repeated_rows_null_ids_and_nothing(spark):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def near_copies(n):
+    """Heads of vectors around one centre, in all passes."""
+    rng = np.random.default_rng(8)
+    s = embedding_dedup.Settings()
+    x = rng.standard_normal(64) + rng.standard_normal((n, 64)) * 0.05
+    return embedding_dedup._keys(x, s) >> (embedding_dedup.BITS - s.prefix), s
+
+
+def test_blocks_hold_what_earlier_passes_left():
+    head, s = near_copies(300)
+    every = np.arange(len(head))
+    for which in (0, 1, 5, s.passes - 1):
+        seen = np.zeros((len(head), len(head)), int)
+        for rows, cols in embedding_dedup._blocks(every, every, head, which, s.window):
+            assert len(rows) <= s.window
+            seen[np.ix_(rows, cols)] += 1
+        met = (head[:, None, :which] == head[None, :, :which]).any(2)
+        assert (seen[~met] == 1).all() and seen.max() <= 1
+
+
+def test_passes_multiply_a_large_group_few_times():
+    """All passes together: the square of the group a few times, not once for each pass."""
+    head, s = near_copies(1000)
+    every, done = np.arange(len(head)), 0
+    for which in range(s.passes):
+        for h in np.unique(head[:, which]):
+            own = every[head[:, which] == h]
+            if len(own) > s.window + 1:
+                done += sum(len(r) * len(c) for r, c in embedding_dedup._blocks(np.arange(len(own)), np.arange(len(own)), head[own], which, s.window))
+    assert done <= 2 * len(head) ** 2
+
+
 def nearest(rows, k):
     fine = [(i, np.array(v, float)) for i, v, _ in rows if v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
     out = {}
