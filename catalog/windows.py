@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog.base import AS_OF, NOW, TODAY, gold, now, register, table, with_gold
 from gaugeflow.operators.grouping import latest_per
-from gaugeflow.operators.ordered import neighbour, quantiles, ranks, rolling_range, row_numbers
+from gaugeflow.operators.ordered import group_size, neighbour, quantiles, ranks, rolling_range, row_numbers
 from gaugeflow.plans import gold as plans
 from gaugeflow.plans import reports, sketches
 from gaugeflow.runtime import scratch_path
@@ -141,9 +141,10 @@ def daily_trend(spark, d):
 def rank_readings(spark, d):
     rows = plans.with_date(gold(spark, d)).select("city", "observation_time", "observation_date", "temperature_celsius")
     t = "temperature_celsius"
-    ranked = ranks(rows, [], t, rank="rank_global", descending=True)
-    ranked = ranks(ranked, ["observation_date"], t, rank="rank_daily", descending=True)
-    return ranks(ranked, [], t, percent_rank="percentile").drop("observation_date")
+    size = group_size(rows, ["observation_date"])
+    ranked = ranks(rows, [], t, rank="rank_global", descending=True, size=size.whole())
+    ranked = ranks(ranked, ["observation_date"], t, rank="rank_daily", descending=True, size=size)
+    return ranks(ranked, [], t, percent_rank="percentile", size=size.whole()).drop("observation_date")
 
 
 @register(
@@ -154,8 +155,9 @@ def rank_readings(spark, d):
 )
 def rank_orders(spark, d):
     rows = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    ranked = ranks(rows, [], "o_totalprice", rank="price_rank", descending=True)
-    ranked = ranks(ranked, ["o_orderpriority"], "o_totalprice", rank="priority_rank", descending=True)
+    size = group_size(rows, ["o_orderpriority"])
+    ranked = ranks(rows, [], "o_totalprice", rank="price_rank", descending=True, size=size.whole())
+    ranked = ranks(ranked, ["o_orderpriority"], "o_totalprice", rank="priority_rank", descending=True, size=size)
     return ranked.select("o_orderkey", "price_rank", "priority_rank")
 
 

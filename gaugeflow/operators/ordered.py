@@ -35,12 +35,19 @@ class Size:
     total: int
     densest: int = 0  # most rows of a key in one cell of time, where asked for
 
+    def whole(self) -> Size:
+        """The same for the table as one group."""
+        return Size(self.total, self.total)
+
 
 SMALL = Size(0, 0)  # for tables known to hold few rows per group
 
 
 def group_size(df: DataFrame, keys: Sequence[str]) -> Size:
     """Rows of the largest group and of the table (one row reaches the driver)."""
+    if not keys:
+        total = df.count()
+        return Size(total, total)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     row = counts.agg(F.coalesce(F.max("n"), F.lit(0)).alias("a"), F.coalesce(F.sum("n"), F.lit(0)).alias("b")).first()
     return Size(int(row["a"]), int(row["b"]))
@@ -104,12 +111,15 @@ def pin_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], total: in
     return written(ranged.withColumn(RUN, F.spark_partition_id()), "runs")
 
 
-def _carry(pinned: DataFrame, keys: Sequence[str], parts: dict, descending: bool = False) -> DataFrame:
+def _carry(
+    pinned: DataFrame, keys: Sequence[str], parts: dict, descending: bool = False, held: DataFrame | None = None
+) -> DataFrame:
     """Join to each row what earlier runs hold for its key.
 
     ``parts`` maps a column to (aggregate within a run, combination over runs).
+    ``held`` are the rows that can have any, all by default.
     """
-    per_run = pinned.groupBy(RUN, *keys).agg(*[part.alias(name) for name, (part, _) in parts.items()])
+    per_run = (pinned if held is None else held).groupBy(RUN, *keys).agg(*[part.alias(name) for name, (part, _) in parts.items()])
     earlier = (
         Window.partitionBy(*keys)
         .orderBy(F.col(RUN).desc() if descending else F.col(RUN))
@@ -133,6 +143,17 @@ def _carry(pinned: DataFrame, keys: Sequence[str], parts: dict, descending: bool
     return pinned.join(carried, same, "left").drop("_c_run", *[f"_c_{k}" for k in keys])
 
 
+def _edges(placed: DataFrame, columns: Sequence[str], value: str) -> DataFrame:
+    """The first and the last row of each run by ``columns``, with ``value``, which is equal among peers.
+
+    Only these can go on in another run, so there are two rows per run, however many values.
+    """
+    row = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(columns)], F.col(value).alias("v"))
+    ends = placed.groupBy(RUN).agg(F.array(F.min(row), F.max(row)).alias("_ends"))
+    ends = ends.select(RUN, F.explode("_ends").alias("_end"))
+    return ends.select(RUN, *[F.col(f"_end.k{i}").alias(c) for i, c in enumerate(columns)], F.col("_end.v").alias(value))
+
+
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, size: Size | None = None) -> DataFrame:
     """1, 2, 3 .. within each key; rows of equal order by a hash of the row."""
     size = size or group_size(df, keys)
@@ -377,7 +398,8 @@ def ranks(
     before = _carry(pinned, keys, {"_c_n": (F.count(F.lit(1)), F.sum)}, descending)
     local = F.rank().over(_window([RUN, *keys], [by], descending))
     placed = before.withColumn("_rank", (F.coalesce("_c_n", F.lit(0)) + local).cast("bigint")).drop("_c_n")
-    tied = _carry(placed, [*keys, by], {"_c_rank": (F.min("_rank"), F.min)}, descending)
+    ends = _edges(placed, [*keys, by], "_rank")
+    tied = _carry(placed, [*keys, by], {"_c_rank": (F.min("_rank"), F.min)}, descending, ends)
     out = tied.withColumn("_rank", F.coalesce("_c_rank", "_rank"))
     if percent_rank:
         if keys:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +16,7 @@ from gaugeflow.operators.grouping import (
     summarise,
     value_counts,
 )
-from gaugeflow.operators.ordered import group_size, neighbour, rolling_rows, running
+from gaugeflow.operators.ordered import Size, group_size, neighbour, rolling_rows, running
 from gaugeflow.plans.gold import with_date
 from gaugeflow.spec import ROLES, Roles
 
@@ -76,13 +79,14 @@ def _by_day(days: DataFrame, readings: DataFrame, r: Roles) -> DataFrame:
     return days.join(there, same, "left").drop(*[f"_r_{c}" for c in on])
 
 
-def _places(days: DataFrame, keys: list[str], weight: Column, name: str) -> DataFrame:
-    """Per value of ``_by`` within ``keys``: the rows up to it (``upto``, NULL first), at it and in all."""
-    values = days.groupBy(*keys, "_by").agg(F.sum(weight).cast("bigint").alias("n"))
-    upto = running(values, keys, ["_by"], {"upto": ("sum", F.col("n"))})
+def _places(values: DataFrame, keys: list[str], name: str, size: Size) -> DataFrame:
+    """Per value of ``_by`` within ``keys``, of which there are ``n`` rows: its rank from the top and its percent rank."""
+    upto = running(values, keys, ["_by"], {"upto": ("sum", F.col("n"))}, size)
     whole = values.groupBy(*[F.col(k).alias(f"_w_{k}") for k in keys]).agg(F.sum("n").alias("whole"))
-    same = [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys] or [F.lit(0) * F.col("n") == F.lit(0) * F.col("whole")]
-    placed = upto.join(whole, same)
+    if keys:
+        placed = upto.join(whole, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys]))
+    else:
+        placed = upto.join(F.broadcast(whole), F.lit(True))  # one row
     return placed.select(
         *[F.col(k).alias(f"_{name}_{k}") for k in [*keys, "_by"]],
         (F.col("whole") - F.col("upto") + 1).cast("bigint").alias(f"{name}_rank"),
@@ -99,8 +103,11 @@ def ranked_days(days: DataFrame, weight: Column) -> DataFrame:
     """
     days = days.withColumn("_by", F.round("avg_temp", RANK_DIGITS))
     out = days
-    for keys, name in (([], "g"), (["observation_date"], "d")):
-        places = _places(days, keys, weight, name)
+    per_date = days.groupBy("observation_date", "_by").agg(F.sum(weight).cast("bigint").alias("n"))
+    overall = per_date.groupBy("_by").agg(F.sum("n").cast("bigint").alias("n"))
+    size = group_size(per_date, ["observation_date"])  # its total bounds the values over all dates
+    for values, keys, name, n in ((overall, [], "g", size.whole()), (per_date, ["observation_date"], "d", size)):
+        places = _places(values, keys, name, n)
         same = [F.col(k).eqNullSafe(F.col(f"_{name}_{k}")) for k in [*keys, "_by"]]
         out = out.join(places, same, "left").drop(*[f"_{name}_{k}" for k in [*keys, "_by"]])
     named = {"g_rank": "temp_rank_global", "d_rank": "temp_rank_daily", "g_percent": "temp_percentile"}

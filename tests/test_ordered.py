@@ -121,6 +121,25 @@ def test_rolling_range(spark, table, maximal, seconds):
     assert mine == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_ranks_of_odd_values_go_on_over_runs(spark, tiny_groups, keys, descending):
+    """One value over many runs, NULL, NaN and both zeros: the same as one window gives."""
+    odd = [None, float("nan"), 0.0, -0.0, 1.0, float("-inf")]
+    data = [(i, [None, "a", "b"][i % 3], 2.0 if i % 4 else odd[i // 4 % 6]) for i in range(600)]
+    df = spark.createDataFrame(data, "id bigint, k string, v double").repartition(4)
+    split = ordered.ranks(df, keys, "v", rank="a", percent_rank="b", descending=descending)
+    plain = ordered.ranks(df, keys, "v", rank="a", percent_rank="b", descending=descending, size=ordered.SMALL)
+    assert rows(split, "id", "a", "b") == rows(plain, "id", "a", "b")
+
+
+def test_runs_hand_on_two_rows_each(spark, tiny_groups):
+    df = spark.range(1000).withColumn("v", F.col("id") % 400)
+    pinned = ordered.pin_runs(df, [], ["v"], 1000)
+    ends = ordered._edges(pinned.withColumn("_rank", F.lit(1)), ["v"], "_rank")
+    assert ends.count() == 2 * pinned.select(ordered.RUN).distinct().count()
+
+
 @pytest.mark.parametrize("descending", [False, True])
 @pytest.mark.parametrize("keys", [[], ["k"]])
 def test_ranks_with_ties(table, mode, keys, descending):
