@@ -164,11 +164,14 @@ def _any_of(terms: set[str]) -> str:
     return f"(?:{'|'.join(found)}){'?' if '' in terms else ''}" if found else ""
 
 
-def _spans(lines: Column, begins: Callable[[Column, Column], Column]) -> Column:
-    """Blocks as numbers, ``_block``; ``begins`` says of a line and the one before it whether a block begins."""
-    last = F.size(lines)
-    at = F.filter(F.sequence(F.lit(0), last - 1), lambda i: (i == 0) | begins(F.get(lines, i), F.get(lines, i - 1)))
-    after = F.concat(F.slice(at, F.lit(2), F.size(at)), F.array(last))  # not looked up within a lambda, which would form ``at`` for each block
+def _starts(flags: Column, begins: Callable[[Column, Column], Column]) -> Column:
+    """Lines at which blocks begin; ``begins`` says so of the flags of a line and of the one before it."""
+    return F.filter(F.sequence(F.lit(0), F.size(flags) - 1), lambda i: (i == 0) | begins(F.get(flags, i), F.get(flags, i - 1)))
+
+
+def _spans(at: Column, last: Column) -> Column:
+    """Blocks as numbers, ``_block``, from the lines at which they begin."""
+    after = F.concat(F.slice(at, F.lit(2), F.size(at)), F.array(last))
     return F.zip_with(at, after, lambda i, j: _block(i, j - i))
 
 
@@ -177,24 +180,40 @@ def _block(line: Column, n: Column) -> Column:
     return F.shiftleft(line.cast("bigint"), 32).bitwiseOR(n.cast("bigint"))
 
 
-def _units(docs: DataFrame) -> DataFrame:
-    """(key, line, n, unit): single lines and blocks of ``n`` lines from ``line`` on; -1 and 0 for licence files as a whole."""
-    lines = F.col("lines")
-    edge = lambda x, y: x.rlike(OPENS) | y.rlike(CLOSES)
-    single = _spans(lines, lambda x, y: F.lit(True))
-    paragraphs = _spans(lines, lambda x, y: edge(x, y) | x.rlike(BLANK))
-    runs = _spans(lines, lambda x, y: edge(x, y) | x.rlike(r"^\s*$") | (x.rlike(MARKED) != y.rlike(MARKED)))
-    comments = F.filter(_spans(lines, edge), lambda x: F.get(lines, F.shiftright(x, 32).cast("int")).rlike(OPENS))
+def _units(docs: DataFrame, heavy: str) -> DataFrame:
+    """(key, line, n, unit): single lines and blocks of ``n`` lines from ``line`` on; -1 and 0 for licence files as a whole.
+
+    Only those that hold a term of the pattern ``heavy``: terms don't go over the ends of lines, so a block holds one where a line of it does.
+    """
+    lines, last = F.col("lines"), F.size("lines")
+    patterns = {OPENS: 1, CLOSES: 2, BLANK: 4, r"^\s*$": 8, MARKED: 16, heavy: 32}
+    flags = F.transform(lines, lambda x: sum((F.when(x.rlike(p), bit).otherwise(0) for p, bit in patterns.items()), F.lit(0)))
+    has = lambda x, bit: x.bitwiseAND(F.lit(bit)) != 0
+    edge = lambda x, y: has(x, 1) | has(y, 2)
+    starts = {
+        "paragraphs": lambda x, y: edge(x, y) | has(x, 4),
+        "runs": lambda x, y: edge(x, y) | has(x, 8) | (has(x, 16) != has(y, 16)),
+        "comments": edge,
+    }
+    # each step is a column of its own: within one expression flags and starts would be formed anew wherever they are used
+    split = docs.withColumn("lines", F.split(F.lower("text"), "\n")).withColumn("flags", flags)
+    split = split.withColumns({n: _starts(F.col("flags"), begins) for n, begins in starts.items()})
+    single = F.transform(F.sequence(F.lit(0), last - 1), lambda i: _block(i, F.lit(1)))
+    first = lambda b: F.shiftright(b, 32).cast("int")
+    length = lambda b: b.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+    held = lambda b: F.exists(F.slice("flags", first(b) + 1, length(b)), lambda x: has(x, 32))
+    paragraphs, runs = _spans(F.col("paragraphs"), last), _spans(F.col("runs"), last)
+    comments = F.filter(_spans(F.col("comments"), last), lambda x: has(F.get("flags", first(x)), 1))
     whole = F.when(F.col("key.path").rlike(FILE), F.array(_block(F.lit(-1), F.lit(0))))
-    blocks = F.array_distinct(F.concat(single, paragraphs, runs, comments, F.coalesce(whole, F.array().cast("array<bigint>"))))
+    blocks = F.array_distinct(F.concat(F.filter(F.concat(single, paragraphs, runs, comments), held), F.coalesce(whole, F.array().cast("array<bigint>"))))
 
     def unit(block: Column) -> Column:
-        line, n = F.shiftright(block, 32).cast("int"), block.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+        line, n = first(block), length(block)
         text = F.when(n == 0, F.lower("text")).otherwise(F.array_join(F.slice(lines, F.greatest(line, F.lit(0)) + 1, n), " "))
         return F.struct(line.alias("line"), n.alias("n"), text.alias("unit"))
 
     # units are cut before they become rows: a row holds its own lines, not those of the whole text
-    cut = docs.withColumn("lines", F.split(F.lower("text"), "\n")).select("key", F.explode(F.transform(blocks, unit)).alias("u"))
+    cut = split.select("key", F.explode(F.transform(blocks, unit)).alias("u"))
     return cut.select("key", "u.line", "u.n", "u.unit")
 
 
@@ -225,7 +244,7 @@ def scan(docs: DataFrame, id_col: str, path: Column, text_col: str = "text", set
     weight = {t: math.log((1.0 + n) / (1.0 + found.get(t, 0))) + 1.0 for t in vocabulary}
     # units that hold a heavy term, cut into terms
     heavy = f"(?<![a-z0-9]){_any_of(heavy_terms(weight, s.least))}(?![a-z0-9])"
-    units = _units(texts.where(F.lower("text").rlike(heavy))).where(F.col("unit").rlike(heavy))
+    units = _units(texts.where(F.lower("text").rlike(heavy)), heavy)
     terms = units.select("key", "line", "n", F.explode(_terms(F.col("unit"))).alias("term"))
     tf = terms.groupBy("key", "line", "n", "term").agg(F.count(F.lit(1)).alias("tf"))
     weighed = tf.join(df, tf["term"] == df["d_term"]).withColumn("w", F.col("tf") * _idf(F.col("df"), n))

@@ -23,6 +23,8 @@ distribution. Those draws are done for all words of a batch together.
 No piece crosses from a word into the blank after it, so the lattice of a text is
 a chain of the lattices of its words (and of what else no piece crosses). A different
 word, known by a 64-bit hash, is laid out once and kept for the texts that follow.
+Texts without blanks are a word of any length: beyond ``LONG`` characters its sums are formed
+node by node, and the rest of a path is drawn by an edge for each node that is left.
 Numbers are seeded by the row's key: they don't depend on batches or order.
 """
 
@@ -47,7 +49,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 FAR = -3.0
 POWER = 0x2545F4914F6CDD1D
-NEAR_END = 8  # with fewer words left, a node's children are always drawn one by one
+NEAR_END = 8  # with fewer words left, and none of them long, a node's children are drawn one by one
+LONG = 256  # characters, or steps of a draw, from which on a word is worked on by itself
 END = "\x00"
 STOPS = ".,;:!?)\""
 BATCH_CHARS = 1 << 18
@@ -256,9 +259,12 @@ class Lattice:
         bounds = [*cuts.tolist(), len(node)]
         edge_bounds = np.r_[starts, len(by)]
         to, w = high[by], weight[by]
+        far = int(np.searchsorted(step, LONG, "right"))
+        bounds = [x for x in bounds if x < far] + [far]
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             lo, hi = edge_bounds[a], edge_bounds[b]
             sums[node[a:b]] = np.logaddexp.reduceat(w[lo:hi] + sums[to[lo:hi]], starts[a:b] - lo)
+        _sum_each(sums, node, edge_bounds, to, w, far)
         logp = weight + sums[high] - sums[low]
         per = np.bincount(low, minlength=size)
         first = np.cumsum(per) - per
@@ -305,12 +311,13 @@ class Lattice:
 
     def draw(self, node: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A path from each node to the end of its word: (which word, edge) in order of the words."""
-        at, which, edges = node.copy(), [], []
+        at, which, edges, turns = node.copy(), [], [], []
         live = np.flatnonzero(~self.final[at])
         at, seed = at[live], seed[live]
         turn = 0
-        while len(live):
+        while len(live) and turn < LONG:
             turn += 1
+            turns.append(np.full(len(live), turn))
             u = _uniform(seed + np.uint64(turn * 0x9E3779B97F4A7C15 & (1 << 64) - 1)).astype(np.float32)
             e = self.first[at]
             on = np.flatnonzero(self.upto[e] <= u)
@@ -322,19 +329,40 @@ class Lattice:
             at = self.to[e]
             stay = np.flatnonzero(~self.final[at])
             live, at, seed = live[stay], at[stay], seed[stay]
+        for w, n, x in zip(live.tolist(), at.tolist(), seed, strict=True):
+            edges.append(self._walk(n, x))
+            which.append(np.full(len(edges[-1]), w))
+            turns.append(np.arange(turn + 1, turn + 1 + len(edges[-1])))
         if not edges:
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        turns = [len(w) for w in which]
-        which, edges = np.concatenate(which), np.concatenate(edges)
+        which, edges, turns = np.concatenate(which), np.concatenate(edges), np.concatenate(turns)
         # the turns are in order each: place of a draw is that of its word and its turn
         per = np.bincount(which, minlength=len(node))
-        place = (np.cumsum(per) - per)[which]
-        turn = np.repeat(np.arange(len(turns)), turns)
-        place += turn
+        place = (np.cumsum(per) - per)[which] + turns - 1
         out, word = np.empty(len(edges), np.int64), np.empty(len(edges), np.int64)
         out[place], word[place] = edges, which
         return word, out
 
+    def _walk(self, node: int, seed: np.uint64) -> np.ndarray:
+        """A path from a node to the end of its word: an edge is drawn for each node that is left, those on the way are taken."""
+        left = int(np.argmax(self.final[node:]))
+        turn = np.arange(LONG + 1, LONG + 1 + left, dtype=np.uint64)
+        u = _uniform(seed + turn * np.uint64(0x9E3779B97F4A7C15)).astype(np.float32)
+        e = self.first[node : node + left].astype(np.int64)
+        on = np.flatnonzero(self.upto[e] <= u)
+        while len(on):
+            e[on] += 1
+            on = on[self.upto[e[on]] <= u[on]]
+        to, at, path = (self.to[e] - node).tolist(), 0, []
+        while at < left:
+            path.append(at)
+            at = to[at]
+        return e[path]
+
+    def long_from(self, node: int) -> bool:
+        """Whether the word goes on for ``LONG`` characters."""
+        return not self.final[node : node + LONG].any()
+
     def spelled(self, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of edges one behind the other, and how many each has."""
         n = self.n[edges]
@@ -343,6 +371,24 @@ class Lattice:
         return self.ids[flat], n
 
 
+def _sum_each(sums: np.ndarray, node: np.ndarray, bounds: np.ndarray, to: np.ndarray, weight: np.ndarray, first: int) -> None:
+    """Backward sums of the nodes from the ``first`` on, one after the other."""
+    value = memoryview(sums)
+    for a in range(first, len(node), 1 << 16):
+        nodes = node[a : a + (1 << 16)].tolist()
+        ends = bounds[a : a + len(nodes) + 1]
+        lo, hi = int(ends[0]), int(ends[-1])
+        towards, weights, at = to[lo:hi].tolist(), weight[lo:hi].tolist(), 0
+        for x, end in zip(nodes, (ends[1:] - lo).tolist(), strict=True):
+            if end == at + 1:
+                value[x] = weights[at] + value[towards[at]]
+            else:
+                terms = [weights[i] + value[towards[i]] for i in range(at, end)]
+                most = max(terms)
+                value[x] = most + math.log(sum([math.exp(t - most) for t in terms]))
+            at = end
+
+
 def _longer(key: np.ndarray, char: np.ndarray) -> np.ndarray:
     """The hash of a text with one more character."""
     x = (key + char + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
@@ -397,7 +443,7 @@ def _descend(s: Search, lat: Lattice) -> tuple | None:
     minus, _, word, node, mass, path, without = heapq.heappop(s.agenda)
     top, first, to, logp, rng = -minus, lat.first, lat.to, lat.logp, s.rng
     n = len(s.starts)
-    while word < n and not (mass < FAR and n - word >= NEAR_END):
+    while word < n and not (mass < FAR and (n - word >= NEAR_END or lat.long_from(node))):
         lo, hi = int(first[node]), int(first[node + 1])
         if hi == lo + 1:
             best = lo

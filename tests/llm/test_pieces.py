@@ -1,6 +1,7 @@
 """Sampled segmentations: distribution, order, inclusion scores and round trips."""
 
 import math
+import time
 from collections import Counter
 
 import numpy as np
@@ -106,3 +107,31 @@ def test_ids_decode_with_the_library_too(lattice):
         if "▁" not in text and "\x00" not in text:
             for ids, *_ in pieces.search([text], [7], lattice, 3)[0]:
                 assert sp.decode(ids.tolist()) == text
+
+
+def test_long_words_follow_the_same_probabilities(lattice, monkeypatch):
+    """With ``LONG`` at two characters every word counts as long: sums and draws stay those of the lattice."""
+    monkeypatch.setattr(pieces, "LONG", 2)
+    short = pieces.Lattice(lattice.v, 0.3)
+    true, n = every(lattice, "thecat"), 4000
+    got = pieces.search(["thecat"] * n, list(range(n)), short, 3)
+    first = Counter(tuple(g[0][0].tolist()) for g in got)
+    for g in got:
+        assert len({x[0].tobytes() for x in g}) == 3
+        assert all(p == pytest.approx(true[tuple(ids.tolist())], abs=1e-4) for ids, p, _, _ in g)
+    for path, times in first.most_common(6):
+        p = math.exp(true[path])
+        assert abs(times / n - p) < 5 * math.sqrt(p * (1 - p) / n)
+
+
+def test_a_million_characters_without_a_blank(lattice):
+    rng = np.random.default_rng(3)
+    text = "".join(rng.choice(list("abcdefghiklmnoprstuwyz"), 1_000_000))
+    begun = time.process_time()
+    got = pieces.search([text], [7], pieces.Lattice(lattice.v, 0.3), 2)[0]
+    assert time.process_time() - begun < 20  # 6 s on an idle machine, quadratic work takes minutes
+    assert all(pieces.decode_ids(ids.tolist(), lattice.v.table) == text for ids, *_ in got)
+    # where a word stands, and with which others, changes nothing
+    again = pieces.search(["some words", text[:5000], "a"], [1, 7, 2], lattice, 2)[1]
+    alone = pieces.search([text[:5000]], [7], pieces.Lattice(lattice.v, 0.3), 2)[0]
+    assert [x[0].tolist() for x in again] == [x[0].tolist() for x in alone]

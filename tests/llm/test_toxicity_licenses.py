@@ -4,6 +4,7 @@ import math
 import random
 import re
 import textwrap
+import time
 import zlib
 from collections import Counter
 
@@ -170,3 +171,14 @@ def test_the_prefilter_loses_nothing():
         whole = sum((n * weight[t]) ** 2 for t, n in terms.items()) ** 0.5
         # the light terms alone are the best text without a heavy term
         assert sum(v * v for v in light.values()) ** 0.5 / whole < 0.75
+
+
+def test_many_lines_take_linear_time(spark):
+    lines = [f"value {i} of the list" if i % 7 else "" for i in range(400_000)]
+    lines[200_000:200_000] = ["", *GPL.format(":", ",", 3).split("\n"), ""]
+    df = spark.createDataFrame([(1, "a/LICENSE", "\n".join(lines)), (2, "a/x", PROSE)], "doc_id bigint, path string, text string")
+    begun = time.monotonic()
+    got = {r["doc_id"]: r["license"] for r in licenses.scan(df, "doc_id", F.col("path")).collect()}
+    taken = time.monotonic() - begun
+    assert got == {1: "GPL-3.0", 2: "GPL-3.0"}
+    assert taken < 60, taken  # 400,000 lines; work that grew with their square took over an hour
