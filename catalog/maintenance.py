@@ -147,11 +147,12 @@ def append_merging_schema(spark, d):
 )
 def create_tables(spark, d):
     """Rows of the silver table after creating it, empty, with its schema, and filling it."""
-    path = scratch_path(spark, "silver")
+    path, kind = scratch_path(spark, "silver"), TABLES["silver"]
     storage.create_table(spark, "silver", path)
     rows = silver(spark, d).withColumn("observation_time", F.col("observation_time").cast("timestamp"))
     rows = rows.withColumn("processed_time", F.col("processed_time").cast("timestamp"))
-    storage.append(rows.select(*storage.create_table(spark, "silver", path).columns), path, TABLES["silver"].partition_by)
+    columns = storage.create_table(spark, "silver", path).drop(*kind.derived).columns
+    storage.append(rows.select(*columns), path, kind.partition_by, kind.derived, kind.order)
     kept = storage.create_table(spark, "silver", path)
     return kept.select(
         "city", F.col("observation_time").cast("timestamp_ntz").alias("observation_time"), "temperature_celsius", "is_valid"

@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# A folder for each key costs a file for each, and keys have no bound: tables take that many folders for all of them.
+BUCKETS = 64
 # Nested form, as an API sends it.
 API_PAYLOAD = (
     "main struct<temp: double, humidity: int, pressure: int>, wind struct<speed: double>, "
@@ -39,18 +44,47 @@ EVENTS = (
 )
 
 
+def bucket(key: Column | str) -> Column:
+    """The folder of a key, from 0; NULL has one as well."""
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
 @dataclass(frozen=True)
 class Layout:
-    """Schema and partition columns of a table."""
+    """Schema and partition columns of a table.
+
+    ``key`` names a text column that the table is partitioned by. Its rows stand in ``BUCKETS`` folders of
+    ``<key>_bucket``, sorted by the key in each file, however many keys there are. ``derived`` computes that
+    column for writers, ``holds`` selects the rows of a key from its folder alone.
+    """
 
     schema: str
     partition_by: tuple[str, ...] = field(default=())
+    key: str | None = None
+
+    @property
+    def stored(self) -> str:
+        """The schema as read back: with the column of the folders."""
+        return f"{self.schema}, {self.key}_bucket int" if self.key else self.schema
+
+    @property
+    def derived(self) -> dict[str, Column]:
+        return {f"{self.key}_bucket": bucket(self.key)} if self.key else {}
+
+    @property
+    def order(self) -> tuple[str, ...]:
+        """What files are sorted by."""
+        return (self.key,) if self.key else ()
+
+    def holds(self, value: str | None) -> Column:
+        text = F.lit(value).cast("string")
+        return F.col(self.key).eqNullSafe(text) & (F.col(f"{self.key}_bucket") == bucket(text))
 
 
 TABLES = {
-    "raw": Layout(RAW, ("source", "source_city")),
-    "silver": Layout(SILVER, ("city",)),
-    "daily": Layout(DAILY, ("city", "observation_date")),
-    "trend": Layout(TREND, ("city",)),
-    "events": Layout(EVENTS, ("city",)),
+    "raw": Layout(RAW, ("source", "source_city_bucket"), "source_city"),
+    "silver": Layout(SILVER, ("city_bucket",), "city"),
+    "daily": Layout(DAILY, ("city_bucket", "observation_date"), "city"),
+    "trend": Layout(TREND, ("city_bucket",), "city"),
+    "events": Layout(EVENTS, ("city_bucket",), "city"),
 }

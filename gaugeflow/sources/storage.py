@@ -33,17 +33,24 @@ def read_if_present(spark: SparkSession, path: str, schema=None, merge: bool = T
 def create_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     """An empty table of a known schema, unless it exists; then the table."""
     layout = TABLES[name]
-    if read_if_present(spark, path, layout.schema) is None:
-        with staging.writing(spark, path):
-            if not staging.exists(spark, path):
-                staging.save(spark.createDataFrame([], layout.schema), path, "errorifexists", layout.partition_by)
-    return read_if_present(spark, path, layout.schema)
+    found = read_if_present(spark, path, layout.stored)
+    if found is not None:
+        return found
+    with staging.writing(spark, path):
+        if not staging.exists(spark, path):
+            staging.save(spark.createDataFrame([], layout.stored), path, "errorifexists", layout.partition_by)
+    return read_if_present(spark, path, layout.stored)
+
 
+def append(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), derived: Mapping[str, Column] | None = None, order: Sequence[str] = ()
+) -> None:
+    """Add rows; new columns widen the table.
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Add rows; new columns widen the table."""
+    Partition columns that are functions of others are ``derived``; with ``order``, the rows of each file are sorted by it.
+    """
     with staging.writing(df.sparkSession, path):
-        staging.save(df, path, "append", partition_by)
+        staging.save(df.withColumns(dict(derived)) if derived else df, path, "append", partition_by, order=order)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -1,13 +1,17 @@
 """Tables under writers that die, writers at the same time, readers, and neighbours."""
 
+import re
 import threading
 import time
+from datetime import datetime, timedelta
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from gaugeflow.runtime import delete, scratch_path
 from gaugeflow.sources import staging, storage
+from gaugeflow.sources.schemas import TABLES
 
 KEYS = ["city", "observation_time"]
 
@@ -150,3 +154,39 @@ def test_a_living_writer_is_waited_for_and_one_taken_over_does_not_commit(spark,
         with pytest.raises(staging.TableBusy):
             storage.overwrite(frame(spark, [("a", 1, 2)]), path)
     assert rows(spark.read.parquet(path)) == [("a", 1, 1)] and staging._read(spark, lease.file) == "somebody else"
+
+
+def test_folders_of_a_table_do_not_grow_with_its_keys(spark):
+    """``create_tables`` over 300 keys, some users without a number."""
+    from catalog import QUERIES
+
+    data = [(i, datetime(2024, 1, 1) + timedelta(minutes=i), i % 300 if i % 7 else None, "view", float(i % 90), '{"k": 5}') for i in range(900)]
+    events = spark.createDataFrame(data, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string")
+    d = scratch_path(spark, "given")
+    events.write.parquet(f"{d}/events.parquet")
+    got = QUERIES["create_tables"].plan(spark, d)
+    assert len({f.rpartition("/")[0] for f in got.inputFiles()}) <= 64
+    want = events.select(F.concat(F.lit("station-"), "user_id"), "ts", "value", (F.col("value") <= 60) & (F.col("event_id") % 170 <= 150) & ((F.col("event_id") % 350 + 780).between(800, 1100)))
+    assert rows(got) == rows(want)
+
+
+def test_a_key_is_read_from_its_folder_alone(spark):
+    kind, path = TABLES["trend"], scratch_path(spark, "trend")
+    columns = storage.create_table(spark, "trend", path).drop(*kind.derived)
+    cities = [None, "", "a/b=c%", "New York", *(f"c{i}" for i in range(200))]
+    df = spark.createDataFrame([(c, float(i)) for i, c in enumerate(cities * 3)], "city string, temperature_celsius double")
+    df = df.select(*[c if c in df.columns else F.lit(None).cast(columns.schema[c].dataType).alias(c) for c in columns.columns])
+    storage.append(df, path, kind.partition_by, kind.derived, kind.order)
+    storage.append(df.limit(0), path, kind.partition_by, kind.derived, kind.order)
+    table = storage.create_table(spark, "trend", path)
+    assert rows(table, "city", "temperature_celsius") == rows(df, "city", "temperature_celsius")
+    for city in (None, "", "a/b=c%", "c7"):
+        one = table.where(kind.holds(city))
+        assert rows(one, "temperature_celsius") == rows(df.where(F.col("city").eqNullSafe(F.lit(city).cast("string"))), "temperature_celsius")
+        assert re.search(r"PartitionFilters: \[[^]]*city_bucket#\d+ = \d+", one._jdf.queryExecution().executedPlan().toString())
+    # an upsert knows the folder of a key as well
+    change = df.where("city = 'c7'").limit(1).withColumns({"observation_time": F.lit(datetime(2024, 1, 1)), "temperature_celsius": F.lit(-1.0)})
+    for _ in range(2):
+        storage.upsert(change, path, ["city", "observation_time"], kind.partition_by, schema=kind.stored, derived=kind.derived)
+    table = storage.create_table(spark, "trend", path)
+    assert rows(table.where(kind.holds("c7")), "temperature_celsius").count((-1.0,)) == 1 and table.where("city = 'c8'").count() == 3
