@@ -4,7 +4,9 @@ A linear sort by (a, b) gives files narrow spans of ``a`` and the whole span of
 ``cluster`` sorts by a space-filling curve instead. Each column is ranked against
 quantiles of itself, so skewed values spread over all ranks, and the bits of
 the ranks are interleaved: with k columns, the spans of each shrink by about the k-th
-root of the number of files, and a filter on any of them skips files.
+root of the number of files, and a filter on any of them skips files. A file is sorted by
+one task: there are as many as hold the rows of each to ``spark.gaugeflow.maxSortBytes``
+in memory, however well they compress.
 
 ``pack`` writes the small files of each folder again as few of about the target size.
 Larger files keep their path and bytes. It goes on until no two small files would
@@ -19,12 +21,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeflow.runtime import written
+from gaugeflow.runtime import MAX_SORT_BYTES, limit, written
 from gaugeflow.sources import staging
 
 BITS = 8  # of a rank
 SAMPLE = 64  # sampled rows for each rank
 FILE_BYTES = 256 << 20
+SORTED_ROW = 64  # bytes of a row in a sort besides its columns: pointers, prefixes, lengths
 
 
 def _quantiles(df: DataFrame, columns: Sequence[str], bits: int, rows: int) -> dict[str, list]:
@@ -58,19 +61,29 @@ def curve(ranks: Sequence[Column], bits: int = BITS) -> Column:
     return out
 
 
+def _in_memory(df: DataFrame) -> tuple[int, int]:
+    """Rows, and about the bytes that sorting them takes: eight per column, and the lengths of texts and nested values."""
+    texts = [F.col(f.name) for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    nested = [F.to_json(f.name) for f in df.schema if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
+    width = sum([F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in texts + nested], F.lit(SORTED_ROW + 8 * len(df.columns)).cast("bigint"))
+    return tuple(df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first())
+
+
 def clustered(df: DataFrame, by: Sequence[str], files: int, partition_by: Sequence[str] = (), bits: int = BITS) -> DataFrame:
-    """``df`` in ``files`` parts along the curve of ``by``, within each value of ``partition_by``.
+    """``df`` in ``files`` parts along the curve of ``by``, within each value of ``partition_by``; in more where a task could not sort one.
 
-    Equal rows of the columns may be many: a hash of the row cuts them further.
+    Equal rows of the columns may be many: a hash of the row cuts them further, and the place of a copy cuts copies.
     """
     by = [c for c in by if c not in partition_by]
     bits = min(bits, 62 // max(len(by), 1))
-    cuts = _quantiles(df, by, bits, df.count()) if by else {}
+    rows, held = _in_memory(df)
+    files = max(files, -(-held // limit(df.sparkSession, MAX_SORT_BYTES)))
+    cuts = _quantiles(df, by, bits, rows) if by else {}
     place = curve([rank(F.col(c), cuts[c], df.schema[c].dataType, bits) for c in by], bits)
     hashed = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    order = [*partition_by, "_curve", *by, "_row"]
-    placed = df.withColumns({"_curve": place, "_row": F.xxhash64(*hashed)})
-    return placed.repartitionByRange(files, *order).sortWithinPartitions(*order).drop("_curve", "_row")
+    order = [*partition_by, "_curve", *by, "_row", "_copy"]
+    placed = df.withColumns({"_curve": place, "_row": F.xxhash64(*hashed), "_copy": F.monotonically_increasing_id()})
+    return placed.repartitionByRange(files, *order).sortWithinPartitions(*order).drop("_curve", "_row", "_copy")
 
 
 def files_of(spark: SparkSession, path: str) -> DataFrame:
@@ -85,7 +98,7 @@ def cluster(
     spark: SparkSession, path: str, by: Sequence[str], partition_by: Sequence[str] = (), target: str | None = None,
     file_bytes: int = FILE_BYTES, bits: int = BITS,
 ) -> None:
-    """Rewrite a table along the curve of ``by``, in place or to ``target``, in files of about ``file_bytes``."""
+    """Rewrite a table along the curve of ``by``, in place or to ``target``, in files of about ``file_bytes``, or less by ``clustered``."""
     to = target or path
     with staging.writing(spark, to) as lease:
         size = files_of(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]

@@ -101,3 +101,21 @@ def test_a_pack_that_dies_is_read_whole_and_finished(spark, monkeypatch):
     with staging.writing(spark, path):
         pass
     assert rows(spark.read.parquet(path), "key", "at", "v", "p") == rows(df, "key", "at", "v", "p") and len(files(spark, path)) == 2
+
+
+def test_a_task_sorts_a_bounded_number_of_bytes(spark):
+    """Rows of some 90 bytes, a third of them copies of one row, and rows with nested values and long texts; all well compressed."""
+    df = grid(spark, 6000).unionByName(spark.range(3000).selectExpr("'k0' AS key", "1 AS at", "1 AS v"))
+    wide = df.limit(3000).select("key", "at", "v", F.lit("x" * 600).alias("text"), F.array_repeat(F.lit("y" * 30), 20).alias("list"), F.lit(None).cast("string").alias("none"))
+    spark.conf.set("spark.gaugeflow.maxSortBytes", "100000")
+    try:
+        for given, by, most in ((df, ["key", "at"], 2000), (wide, ["key", "at"], 180), (df.where("v = 1 AND at = 1"), [], 2000)):
+            path, target = scratch_path(spark, "t"), scratch_path(spark, "u")
+            storage.append(given.repartition(4), path)
+            storage.compact(spark, path, target, by, ["at"] if not by else [])
+            got = spark.read.parquet(target)
+            assert rows(got, "key", "at", "v") == rows(given, "key", "at", "v")
+            sizes = [r["rows"] for r in layout.spans(got, ["v"]).collect()]
+            assert max(sizes) <= most and len(sizes) <= 3 * -(-sum(sizes) // most) + 1
+    finally:
+        spark.conf.unset("spark.gaugeflow.maxSortBytes")
