@@ -100,6 +100,8 @@ def links(fps: DataFrame, most: int = 3, long_list: int = LONG_LIST) -> DataFram
 
     ``fps`` holds every fingerprint once. Pairs from short lists are all pairs
     within ``most`` (3) bits; members of long lists are linked through a third.
+    Spark sizes an exploded table like the one before, a 35th or 2081st of its
+    rows, and would broadcast it: these joins are merge joins.
     """
     if most != 3:
         raise ValueError("the index is laid out for three bits")
@@ -108,7 +110,7 @@ def links(fps: DataFrame, most: int = 3, long_list: int = LONG_LIST) -> DataFram
     short = listed.join(long, "key", "left_anti")
     a, b = short.alias("x"), short.alias("y")
     on = (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp"))
-    pairs = a.join(b, on & _linked(F.col("x.fp"), F.col("y.fp"), F.col("x.key"), most))
+    pairs = a.hint("merge").join(b, on & _linked(F.col("x.fp"), F.col("y.fp"), F.col("x.key"), most))
     near = pairs.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
     # members of long lists
     members = listed.join(long, "key", "left_semi").select("fp").distinct()
@@ -117,7 +119,7 @@ def links(fps: DataFrame, most: int = 3, long_list: int = LONG_LIST) -> DataFram
     reach = lambda ms: F.explode(F.array(*[F.lit(m - (1 << 64) if m >> 63 else m) for m in ms]))
     at = lambda ms: members.select("fp", reach(ms).alias("m")).select("fp", F.col("fp").bitwiseXOR(F.col("m")).alias("at"))
     centre = at(one).groupBy("at").agg(F.min("fp").alias("to"))
-    met = at(two).join(centre, "at").where(F.col("fp") != F.col("to")).select(F.col("fp").alias("a"), F.col("to").alias("b"))
+    met = at(two).hint("merge").join(centre, "at").where(F.col("fp") != F.col("to")).select(F.col("fp").alias("a"), F.col("to").alias("b"))
     return near.unionAll(met.distinct())
 
 

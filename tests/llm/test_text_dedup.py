@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import pytest
 import xxhash
@@ -58,6 +59,18 @@ def texts():
     return list(enumerate(made))
 
 
+def under(plan, *names):
+    """Whether a printed plan has nodes of these names, each somewhere below the one before."""
+    above = []
+    for edge, node in re.findall(r"^([ :+|-]*)(?:\*\(\d+\) )?(\w+)", plan, re.M):
+        above = [x for x in above if x < len(edge)]
+        if node == names[len(above)]:
+            above.append(len(edge))
+            if len(above) == len(names):
+                return True
+    return False
+
+
 def frame(spark, rows):
     return spark.createDataFrame(rows, "doc_id bigint, text string").withColumns(
         {"fingerprint": F.lit("mine"), "n_words": F.lit(-1), "component_id": F.lit("x")}
@@ -73,6 +86,16 @@ def test_simhash_matches_brute_force(spark, texts):
         assert {r["doc_id"]: r["component_id"] for r in got} == least
 
 
+def test_simhash_broadcasts_no_exploded_table(spark):
+    """Spark takes an exploded table to be as small as the one before; of its 35 or 2081 rows for each none may go to the driver."""
+    fps = spark.createDataFrame([(i * 0x9E3779B97F4A7C15 % 2**62 ^ 1 << b,) for i in range(20) for b in range(3)], "fp bigint")
+    for long_list in (2000, 1):
+        links = simhash.links(fps, long_list=long_list)
+        assert links.count() and links.collect()
+        final = links._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert under(final, "Generate") and not under(final, "BroadcastExchange", "Generate")
+
+
 def test_simhash_of_chunks_is_that_of_the_whole():
     rng = random.Random(1)
     text = " ".join(rng.choice("abcdefgh") * 40 for _ in range(60000))
