@@ -119,6 +119,19 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataF
     return docs.select(name(id_col).alias("id"), digest.alias("digest"), name(source_col).alias("source"), name(text_col).alias("text"))
 
 
+def _numbered(drawn: DataFrame, sources: DataFrame) -> DataFrame:
+    """(shard, slot, at, i, quota): a slot is the i-th of its source.
+
+    Spark sizes ``drawn`` by its file, some five bytes a row, and would broadcast
+    every slot to save the shuffle of the counts: the join is a merge join.
+    """
+    counts = running_sum(drawn.groupBy("at", "shard").count(), ["at"], "shard", "count", "before")
+    rank = F.row_number().over(Window.partitionBy("at", "shard").orderBy("slot")) - 1
+    ranked = drawn.withColumn("rank", rank).hint("merge").join(counts, ["at", "shard"])
+    numbered = ranked.join(sources.select("at", "quota"), "at")
+    return numbered.select("shard", "slot", "at", (F.col("before") + F.col("rank")).alias("i"), "quota")
+
+
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", settings: Settings = Settings()
 ) -> Mix:
@@ -156,10 +169,7 @@ def mix(
     slots = spark.range(total).select(F.floor(F.col("id") / s.slots).alias("shard"), F.col("id").alias("slot"))
     slots = slots.withColumn("draw", F.pmod(F.xxhash64(F.lit(s.seed), "shard", "slot"), F.lit(max(total, 1)).cast("bigint")))
     drawn, _ = stored(_within(slots, "draw", sources, "q_low", "q_high", total, n).select("shard", "slot", "at"), "mix-drawn")
-    counts = running_sum(drawn.groupBy("at", "shard").count(), ["at"], "shard", "count", "before")
-    rank = F.row_number().over(Window.partitionBy("at", "shard").orderBy("slot")) - 1
-    numbered = drawn.withColumn("rank", rank).join(counts, ["at", "shard"]).join(sources.select("at", "quota"), "at")
-    numbered, _ = stored(numbered.select("shard", "slot", "at", (F.col("before") + F.col("rank")).alias("i"), "quota"), "mix-numbered")
+    numbered, _ = stored(_numbered(drawn, sources), "mix-numbered")
     # slots beyond a quota go to the sources that fell short
     over = numbered.where("i >= quota").select("shard", "slot")
     spare = running_sum(over.groupBy("shard").count(), [], "shard", "count", "before")

@@ -1,4 +1,5 @@
 import os
+import re
 import sys
 
 import pytest
@@ -37,6 +38,18 @@ def rows(df, *columns):
     return sorted((tuple(r) for r in picked.collect()), key=repr)
 
 
+def under(plan, *texts):
+    """Whether a printed plan has nodes with these texts, each somewhere below the one before."""
+    above = []
+    for edge, node in re.findall(r"^([ :+|-]*)(?:\*\(\d+\) )?(\w.*)", plan, re.M):
+        above = [x for x in above if x < len(edge)]
+        if texts[len(above)] in node:
+            above.append(len(edge))
+            if len(above) == len(texts):
+                return True
+    return False
+
+
 CITIES = ["London", "New York", "Tokyo", "Sydney", "Berlin", "Mumbai", "Singapore", "Dubai"]
 CONDITIONS = ["Clear", "Clouds", "Rain", "Snow", "Thunderstorm", "Drizzle", "Mist"]
 

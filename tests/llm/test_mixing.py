@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from conftest import under
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import mixing
@@ -117,3 +118,14 @@ def test_repeated_rows_and_nothing(spark):
     assert sorted((r["doc_id"], r["size"], r["source_size"], r["taken"]) for r in got) == [(1, 2, 6, 2), (1, 4, 6, 4), (1, 4, 6, 4), (2, 0, 0, 0)]
     none = df.where("false")
     assert mixing.report(none).count() == 0 and mixing.mix_documents(none).count() == 0
+
+
+def test_slots_are_numbered_without_a_broadcast_of_all(spark, tmp_path):
+    spark.range(20000).selectExpr("floor(id / 100) AS shard", "id AS slot", "CAST(id * 7 % 5 AS INT) AS at").write.parquet(f"{tmp_path}/drawn")
+    sources = spark.range(5).selectExpr("CAST(id AS INT) AS at", "10 * id AS quota")
+    numbered = mixing._numbered(spark.read.parquet(f"{tmp_path}/drawn"), sources)
+    slots = sorted(numbered.collect(), key=lambda r: r["slot"])
+    got = {at: [(r["i"], r["quota"]) for r in slots if r["at"] == at] for at in range(5)}
+    assert got == {at: [(i, 10 * at) for i in range(4000)] for at in range(5)}
+    final = numbered._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert under(final, "row_number") and not under(final, "BroadcastExchange", "row_number")

@@ -2,10 +2,10 @@
 
 import hashlib
 import random
-import re
 
 import pytest
 import xxhash
+from conftest import under
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import simhash, substring
@@ -59,18 +59,6 @@ def texts():
     return list(enumerate(made))
 
 
-def under(plan, *names):
-    """Whether a printed plan has nodes of these names, each somewhere below the one before."""
-    above = []
-    for edge, node in re.findall(r"^([ :+|-]*)(?:\*\(\d+\) )?(\w+)", plan, re.M):
-        above = [x for x in above if x < len(edge)]
-        if node == names[len(above)]:
-            above.append(len(edge))
-            if len(above) == len(names):
-                return True
-    return False
-
-
 def frame(spark, rows):
     return spark.createDataFrame(rows, "doc_id bigint, text string").withColumns(
         {"fingerprint": F.lit("mine"), "n_words": F.lit(-1), "component_id": F.lit("x")}
